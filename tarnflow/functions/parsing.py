@@ -17,13 +17,13 @@ ISO_DATE = r"^(?!0000)\d{4}-\d{2}-\d{2}\z"
 
 def iso_timestamp(text: Column) -> Column:
     """ISO text to TIMESTAMP; no offset means UTC (the session zone), bad text gives NULL."""
-    dotted = F.translate(text, ",", ".")
-    # Spark wants minutes and seconds in front of an offset; only tried when the plain cast fails.
-    with_minutes = F.regexp_replace(dotted, r"^(.{13})(Z|[+-].*)$", "$1:00$2")
-    with_seconds = F.regexp_replace(with_minutes, r"^(.{16})(Z|[+-].*)$", "$1:00$2")
+    # Rarely needed: Spark wants a point before the fraction, and minutes and seconds before an offset.
+    padded = F.translate(text, ",", ".")
+    for width in (13, 16):
+        padded = F.regexp_replace(padded, rf"^(.{{{width}}})(Z|[+-].*)$", "$1:00$2")
     return F.when(
         text.rlike(ISO_TIMESTAMP),
-        F.coalesce(F.try_to_timestamp(dotted), F.try_to_timestamp(with_seconds)),
+        F.coalesce(F.try_to_timestamp(text), F.try_to_timestamp(padded)),
     )
 
 
@@ -74,24 +74,20 @@ def as_date(column: Column, dtype: T.DataType) -> Column:
     return F.coalesce(iso_date(text), iso_timestamp(text).cast("date"))
 
 
-def json_type(value: Column) -> Column:
-    """Name of a variant's JSON type; VOID for a JSON null, NULL for an absent field."""
-    return F.schema_of_variant(value)
+# JSON text of what counts as empty: null, "", zero, false, an empty list or object.
+_FALSY_JSON = r'^(null|""|-?0(\.0*)?([eE][+-]?\d+)?|false|\[\]|\{\})\z'
 
 
-def json_falsy(value: Column) -> Column:
-    """True for an absent field and for JSON null, false, 0, "", [] and {}."""
-    kind = json_type(value)
-    return (
-        F.when(value.isNull() | (kind == "VOID"), True)
-        .when(kind == "STRING", F.try_variant_get(value, "$", "string") == "")
-        .when(kind == "BOOLEAN", ~F.try_variant_get(value, "$", "boolean"))
-        .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), F.to_json(value).isin("[]", "{}"))
-        .otherwise(F.try_variant_get(value, "$", "double") == 0)
-    )
+def json_at(document: str, path: str) -> Column:
+    """JSON text at a path of a variant column, quotes included; NULL when it is not there."""
+    return F.expr(f"to_json(try_variant_get({document}, '{path}', 'variant'))")
+
+
+def json_truthy(document: str, path: str) -> Column:
+    """False for what is absent and for null, "", 0, false, [] and {}."""
+    return ~F.coalesce(json_at(document, path), F.lit("null")).rlike(_FALSY_JSON)
 
 
-def json_text(value: Column) -> Column:
-    """Text of a variant, NULL when it is falsy; scalars that are not strings are rendered."""
-    text = F.try_variant_get(value, "$", "string")
-    return F.when(json_type(value) == "STRING", F.nullif(text, F.lit(""))).when(~json_falsy(value), text)
+def maybe_falsy(text: Column) -> Column:
+    """Whether text taken from JSON could be the rendering of 0, false, [] or {}."""
+    return F.substring(text, 1, 1).isin("0", "-", "f", "[", "{") & text.rlike(_FALSY_JSON)

@@ -16,6 +16,7 @@ from tarnflow.sources.mark import mark_literal
 SCHEMA_STAGE = "schema"
 ENVELOPE_STAGE = "envelope"
 
+_TESTED = ("id", "session_id", "event_type", "platform", "dt")
 _COPIED = ("url", "browser_version", "screen", "screen_size", "app_version")
 
 
@@ -28,7 +29,7 @@ def normalize_events(
 
     ``keep`` names further input columns to carry along, such as a source file name.
 
-    One narrow projection: each event is parsed once by ``from_json``. ``event_ts`` keeps its
+    Narrow, and each event is parsed once by ``from_json``. ``event_ts`` keeps its
     microseconds here, because the future rule looks at them; the sinks cut to milliseconds.
     """
     if ingested_at is None:
@@ -39,79 +40,98 @@ def normalize_events(
     parsed = events.select(
         *keep,
         "pos",
-        F.coalesce("raw", "malformed").alias("raw"),
-        F.col("malformed").isNotNull().alias("_bad_envelope"),
-        F.col("raw").isNull().alias("_null_event"),
-        F.nullif(F.col("envelope_dt"), F.lit("")).alias("_envelope_dt"),
-        F.coalesce(F.nullif(F.col("batch_id"), F.lit("")), F.lit(fixed.UNKNOWN_BATCH)).alias(
-            "batch_id"
-        ),
+        "raw",
+        "malformed",
+        F.nullif("envelope_dt", F.lit("")).alias("envelope_dt"),
+        F.coalesce(F.nullif("batch_id", F.lit("")), F.lit(fixed.UNKNOWN_BATCH)).alias("batch_id"),
         ingested_at.alias("ingested_at"),
         F.from_json("raw", schemas.EVENT, {"columnNameOfCorruptRecord": "_malformed"}).alias("e"),
     )
-    # JSON values are turned to text by truthiness: what counts as empty becomes NULL.
-    texts = parsed.select(
-        "*",
-        *[
-            parsing.json_text(F.col(f"e.{name}")).alias(f"_{name}")
-            for name in ("id", "session_id", "event_type", "platform", "dt")
-        ],
-        F.try_variant_get(F.col("e.event_timestamp"), "$", "string").alias("_ts_text"),
-        F.try_variant_get(F.col("e.attributes"), "$", schemas.ATTRIBUTES_DDL).alias("_attributes"),
+    flat = parsed.select(
+        *[c for c in parsed.columns if c != "e"],
+        (F.col("e").isNull() | F.col("e._malformed").isNotNull()).alias("odd"),
+        *[F.col(f"e.{name}").alias(name) for name in _TESTED],
+        *[F.col(f"e.attributes.{name}").alias(name) for name in ("username", "device", "os")],
+        F.col("e.attributes.geo").alias("country"),
+        *[F.col(f"e.{name}").alias(name) for name in _COPIED],
+        parsing.iso_timestamp(F.col("e.event_timestamp")).alias("event_ts"),
+        parsing.iso_date(F.col("envelope_dt")).alias("landed_date"),
     )
-    typed = texts.select(
-        "*",
-        parsing.iso_timestamp(F.col("_ts_text")).alias("event_ts"),
-        parsing.iso_date(F.col("_dt")).alias("_own_date"),
-        parsing.iso_date(F.col("_envelope_dt")).alias("_landed_date"),
+    # JSON types matter to a few odd events only: those are parsed once more, as a variant.
+    suspect = F.col("odd") | F.col("event_ts").isNull()
+    for name in _TESTED:
+        suspect = suspect | F.coalesce(parsing.maybe_falsy(F.col(name)), F.lit(False))
+    typed = flat.withColumn("doc", F.when(suspect, F.try_parse_json("raw")))
+    tested = typed.withColumns({name: _present(name) for name in _TESTED}).withColumn(
+        "own_date", parsing.iso_date(F.col("dt"))
     )
-    landed_date = F.coalesce("_landed_date", F.col("ingested_at").cast("date"))
-    reason = _first_failure()
-    stage = F.when(F.col("_bad_envelope"), ENVELOPE_STAGE).when(reason.isNotNull(), SCHEMA_STAGE)
-    row = F.struct(
-        F.col("_id").alias("event_id"),
-        F.col("_session_id").alias("session_id"),
-        F.col("_attributes.username").alias("username"),
-        F.col("_event_type").alias("event_type"),
-        F.col("_platform").alias("platform"),
+    landed_date = F.coalesce("landed_date", F.col("ingested_at").cast("date"))
+    judged = tested.select(
+        *keep,
+        F.col("id").alias("event_id"),
+        "session_id",
+        "username",
+        "event_type",
+        "platform",
         "event_ts",
-        F.when(F.col("_dt").isNull(), landed_date).otherwise(F.col("_own_date")).alias("event_date"),
+        F.when(F.col("dt").isNull(), landed_date).otherwise(F.col("own_date")).alias("event_date"),
         "batch_id",
         "ingested_at",
-        F.col("_attributes.device").alias("device"),
-        F.col("_attributes.os").alias("os"),
-        F.col("_attributes.geo").alias("country"),
-        *[F.col(f"e.{c}").alias(c) for c in _COPIED],
+        "device",
+        "os",
+        "country",
+        *_COPIED,
         landed_date.alias("envelope_date"),
         "pos",
-        "raw",
-        stage.alias("dq_stage"),
-        reason.alias("dq_reason"),
+        F.coalesce("raw", "malformed").alias("raw"),
+        _first_failure().alias("dq_reason"),
+    )
+    stage = F.when(F.col("dq_reason") == fixed.MALFORMED_ENVELOPE, ENVELOPE_STAGE).when(
+        F.col("dq_reason").isNotNull(), SCHEMA_STAGE
+    )
+    return judged.withColumn("dq_stage", stage)
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Keep filters above ``df``: a one-element inline over its columns, no shuffle.
+
+    Catalyst would push a filter on the verdict below the projections that compute it and so
+    repeat the whole parse, once to filter and once to project. Not needed (and a little slower)
+    where nothing filters, as on the way into the one-pass sink.
+    """
+    return df.select(F.inline_outer(F.array(F.struct(*df.columns))))
+
+
+def _present(name: str) -> Column:
+    """Text of a field, NULL when its value is falsy."""
+    empty = (F.col(name) == "") | (
+        F.col("doc").isNotNull() & ~parsing.json_truthy("doc", f"$.{name}")
     )
-    # A one-element inline instead of a plain projection: a filter on the verdict stays above it.
-    # Pushed below, it would repeat the whole parse, once to filter and once to project.
-    return typed.select(*keep, F.inline_outer(F.array(row)))
+    return F.when(~empty, F.col(name))
 
 
 def _first_failure() -> Column:
     """The first reason that applies, NULL for a valid event (and for an empty batch)."""
-    timestamp, attributes = F.col("e.event_timestamp"), F.col("e.attributes")
-    not_an_object = F.col("_null_event") | F.col("e._malformed").isNotNull()
+    not_an_object = F.col("odd") & ~F.coalesce(
+        parsing.json_at("doc", "$").startswith("{"), F.lit(False)
+    )
+    bad_time = F.when(
+        parsing.json_truthy("doc", "$.event_timestamp")
+        & ~parsing.json_at("doc", "$.event_timestamp").startswith('"'),
+        fixed.UNEXPECTED,
+    ).otherwise(fixed.INVALID_EVENT_TIMESTAMP)
+    bad_own_date = F.col("dt").isNotNull() & F.col("own_date").isNull()
+    bad_landed_date = F.col("envelope_dt").isNotNull() & F.col("landed_date").isNull()
     return (
-        F.when(F.col("_bad_envelope"), fixed.MALFORMED_ENVELOPE)
+        F.when(F.col("malformed").isNotNull(), fixed.MALFORMED_ENVELOPE)
         .when(F.col("pos").isNull(), F.lit(None).cast("string"))
         .when(not_an_object, fixed.UNEXPECTED)
-        .when(F.col("_id").isNull(), fixed.MISSING_ID)
-        .when(F.col("_session_id").isNull(), fixed.MISSING_SESSION_ID)
-        .when(F.col("_event_type").isNull(), fixed.MISSING_EVENT_TYPE)
-        .when(F.col("_platform").isNull(), fixed.MISSING_PLATFORM)
-        # A time that is neither text nor empty is an error of its own.
-        .when(
-            (parsing.json_type(timestamp) != "STRING") & ~parsing.json_falsy(timestamp),
-            fixed.UNEXPECTED,
-        )
-        .when(F.col("event_ts").isNull(), fixed.INVALID_EVENT_TIMESTAMP)
-        .when(F.col("_dt").isNotNull() & F.col("_own_date").isNull(), fixed.INVALID_DT)
-        .when(F.col("_envelope_dt").isNotNull() & F.col("_landed_date").isNull(), fixed.INVALID_DT)
-        .when(F.col("_attributes").isNull() & ~parsing.json_falsy(attributes), fixed.UNEXPECTED)
+        .when(F.col("id").isNull(), fixed.MISSING_ID)
+        .when(F.col("session_id").isNull(), fixed.MISSING_SESSION_ID)
+        .when(F.col("event_type").isNull(), fixed.MISSING_EVENT_TYPE)
+        .when(F.col("platform").isNull(), fixed.MISSING_PLATFORM)
+        .when(F.col("event_ts").isNull(), bad_time)
+        .when(bad_own_date | bad_landed_date, fixed.INVALID_DT)
+        # Attributes that are no object make the event odd without making it invalid so far.
+        .when(F.col("odd") & parsing.json_truthy("doc", "$.attributes"), fixed.UNEXPECTED)
     )

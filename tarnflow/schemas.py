@@ -15,16 +15,26 @@ ENVELOPE = T.StructType(
     ]
 )
 
-# One event. The fields whose JSON type decides the verdict are variants, the rest plain text.
+# One event. Scalars of another type are taken as their text.
 EVENT = T.StructType(
     [
-        T.StructField("id", T.VariantType()),
-        T.StructField("session_id", T.VariantType()),
-        T.StructField("event_type", T.VariantType()),
-        T.StructField("platform", T.VariantType()),
-        T.StructField("event_timestamp", T.VariantType()),
-        T.StructField("dt", T.VariantType()),
-        T.StructField("attributes", T.VariantType()),
+        T.StructField("id", T.StringType()),
+        T.StructField("session_id", T.StringType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("event_timestamp", T.StringType()),
+        T.StructField("platform", T.StringType()),
+        T.StructField("dt", T.StringType()),
+        T.StructField(
+            "attributes",
+            T.StructType(
+                [
+                    T.StructField("username", T.StringType()),
+                    T.StructField("device", T.StringType()),
+                    T.StructField("os", T.StringType()),
+                    T.StructField("geo", T.StringType()),
+                ]
+            ),
+        ),
         T.StructField("url", T.StringType()),
         T.StructField("browser_version", T.StringType()),
         T.StructField("screen", T.StringType()),
@@ -34,8 +44,6 @@ EVENT = T.StructType(
     ]
 )
 
-ATTRIBUTES_DDL = "struct<username: string, device: string, os: string, geo: string>"
-
 RAW = T.StructType(
     [
         T.StructField("event_id", T.StringType()),

@@ -9,6 +9,8 @@ SQL_SETTINGS = {
     # Zone-less event times mean UTC, and the stored mark is read back as UTC.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # HotSpot does not compile methods above 8000 bytes of code: fall back before that.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # JSON objects with a repeated key keep the last value instead of failing the row.
     "spark.sql.variant.allowDuplicateKeys": "true",
     # Skewed join sides are split, and rebalanced writes get files of a sane size.
