@@ -1,0 +1,31 @@
+"""Every registered query against its SQL counterpart, and the driver contract."""
+
+import pytest
+
+import __spark_entry__ as contract
+from verify import oracle, rows
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return oracle(SF)
+
+
+def test_every_query_has_an_oracle():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(contract.queries()))
+def test_query(spark, duck, name):
+    got = contract.queries()[name](spark, SF).toPandas()
+    want = duck.sql(contract.oracle_sql()[name]).df()
+    assert sorted(got.columns) == sorted(want.columns)
+    assert rows(got) == rows(want)
+
+
+def test_entry(spark):
+    result = contract.entry(spark)
+    assert result.columns == ["geo_region", "device_family", "event_category", "n"]
+    assert result.count() > 0
