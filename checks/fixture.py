@@ -100,16 +100,18 @@ def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def land_envelopes(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Write the derived table as envelope files. An envelope never holds more than 400 events."""
+    """Write the derived table as envelope files. An envelope never holds more than 400 events.
+
+    The envelopes of a batch land together, at most 50 of them: a big batch is several files.
+    """
     (
         feed(spark, sf_dir)
-        .groupBy(
-            F.col("envelope_dt").alias("dt"),
-            "batch_id",
-            F.expr("seq div 2000").alias("_chunk"),
-        )
+        .withColumnsRenamed({"envelope_dt": "day"})
+        .withColumns({"_chunk": F.expr("seq div 2000"), "_file": F.expr("seq div 100000")})
+        .repartition("day", "batch_id", "_file")
+        .groupBy("day", "batch_id", "_file", "_chunk")
         .agg(F.collect_list(event_struct()).alias("events"))
-        .select("dt", F.size("events").alias("count"), "batch_id", "events")
+        .select(F.col("day").alias("dt"), F.size("events").alias("count"), "batch_id", "events")
         .write.json(path)
     )
 

@@ -89,17 +89,11 @@ def normalize_events(
     stage = F.when(F.col("dq_reason") == fixed.MALFORMED_ENVELOPE, ENVELOPE_STAGE).when(
         F.col("dq_reason").isNotNull(), SCHEMA_STAGE
     )
-    return judged.withColumn("dq_stage", stage)
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Keep filters above ``df``: a one-element inline over its columns, no shuffle.
-
-    Catalyst would push a filter on the verdict below the projections that compute it and so
-    repeat the whole parse, once to filter and once to project. Not needed (and a little slower)
-    where nothing filters, as on the way into the one-pass sink.
-    """
-    return df.select(F.inline_outer(F.array(F.struct(*df.columns))))
+    # A one-element inline over the finished columns, no shuffle: a filter on the verdict stays
+    # above it. Pushed below, it would repeat the whole parse, once to filter, once to project.
+    done = [c for c in judged.columns if c not in keep]
+    settled = judged.select(*keep, F.inline_outer(F.array(F.struct(*done))))
+    return settled.withColumn("dq_stage", stage)
 
 
 def _present(name: str) -> Column:

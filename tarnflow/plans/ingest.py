@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tarnflow import schemas
 from tarnflow.operators import quality
-from tarnflow.operators.normalize import normalize_events, settle
+from tarnflow.operators.normalize import normalize_events
 from tarnflow.session import require_utc
 from tarnflow.sources import raw
 from tarnflow.sources.envelopes import read_envelopes
@@ -33,11 +33,9 @@ def classify(
     ingested_at: datetime | None = None,
     as_of: datetime | None = None,
     keep: Sequence[str] = (),
-    settled: bool = True,
 ) -> DataFrame:
-    """Events with both verdicts, narrow over the envelope scan; ``settled`` for filtering on."""
-    normalized = normalize_events(events, ingested_at, keep)
-    return quality.apply_dq(settle(normalized) if settled else normalized, as_of)
+    """Events with both verdicts, narrow over the envelope scan."""
+    return quality.apply_dq(normalize_events(events, ingested_at, keep), as_of)
 
 
 def run_ingest(
@@ -64,7 +62,7 @@ def run_ingest(
     is_event = F.col("pos").isNotNull()
     totals = Observation()
     classified = classify(
-        read_envelopes(spark, envelopes, multi_line, spread), ingested_at, as_of, settled=False
+        read_envelopes(spark, envelopes, multi_line, spread), ingested_at, as_of
     ).observe(
         totals,
         F.count("pos").alias("received"),

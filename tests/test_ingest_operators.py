@@ -1,7 +1,6 @@
 import json
 from datetime import datetime, timedelta, timezone
 
-import pytest
 from pyspark.sql import functions as F
 
 from tarnflow.operators import quality
@@ -138,8 +137,7 @@ def test_repeated_json_key_keeps_the_last(spark, folder):
     assert classify(read_envelopes(spark, path), AS_OF, AS_OF).first().event_id == "e2"
 
 
-@pytest.mark.parametrize("settled", [True, False])
-def test_envelope_defaults_and_accounting(spark, folder, settled):
+def test_envelope_defaults_and_accounting(spark, folder):
     late_dt = change(dt="2024-01-04")
     path = land(
         folder,
@@ -152,7 +150,7 @@ def test_envelope_defaults_and_accounting(spark, folder, settled):
         {"dt": "2024-01-07", "batch_id": "odd", "events": {"a": 1}},
         "this is no JSON",
     )
-    done = classify(read_envelopes(spark, path), AS_OF, AS_OF, settled=settled)
+    done = classify(read_envelopes(spark, path), AS_OF, AS_OF)
     summary = {
         (r.batch_id, str(r.event_date)): (r.received, r.good, r.bad_schema, r.bad_dq, r.dq_reasons)
         for r in quality.batch_summary(done).collect()
