@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import atexit
-import shutil
 import tempfile
 import uuid
+from contextlib import suppress
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +15,7 @@ from tarnflow import schemas
 from tarnflow.operators.quality import good_rows
 from tarnflow.plans.ingest import classify
 from tarnflow.session import configure
+from tarnflow.sources.storage import delete_path
 
 AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
 MARK = datetime(2024, 1, 15, tzinfo=timezone.utc)
@@ -126,10 +127,19 @@ def raw_rows(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder for tables a query writes: shared if the session names one, else temporary."""
+    """A new folder for tables a query writes: shared if the session names one, else temporary.
+
+    The answer is read from it after the query returns, so it goes when the process ends.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        return f"{configured.rstrip('/')}/tarnflow-checks/{uuid.uuid4().hex}"
-    folder = tempfile.mkdtemp(prefix="tarnflow-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        folder = f"{configured.rstrip('/')}/tarnflow-checks/{uuid.uuid4().hex}"
+    else:
+        folder = tempfile.mkdtemp(prefix="tarnflow-")
+    atexit.register(_drop, spark, folder)
     return folder
+
+
+def _drop(spark: SparkSession, folder: str) -> None:
+    with suppress(Exception):  # the JVM may be gone already
+        delete_path(spark, folder)

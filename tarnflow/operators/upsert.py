@@ -147,10 +147,7 @@ def _merge_partitions(
 ) -> None:
     target_only = [c for c in target.columns if c not in source.columns]
     carried = [key, partition, *([newer_than] if newer_than else []), *target_only]
-    # The one look at the whole target: narrow, and cut to the size of the source.
-    lookup = target.select(*map(quote, dict.fromkeys(carried))).join(
-        source.select(quote(key)), key, "left_semi"
-    )
+    lookup = matching_rows(target.select(*map(quote, dict.fromkeys(carried))), source, key)
     with storage.staged(spark, lookup, path) as matched:
         winners = source
         if newer_than:
@@ -185,6 +182,19 @@ def _merge_partitions(
             storage.delete_path(spark, f"{path.rstrip('/')}/{partition}={folder}")
 
 
+def matching_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """Target rows whose key is in the source: the one look at the whole target, so it is narrow.
+
+    The bounds of the source keys change no answer. They let Parquet skip row groups where keys
+    rise with time, and, being a selective predicate, they let Spark build a run-time Bloom filter
+    from the source, so that of a target too big to be joined by broadcast only likely matches
+    are shuffled.
+    """
+    column = F.col(quote(key))
+    low, high = source.agg(F.min(column), F.max(column)).first()
+    return target.join(source.select(column).where(column.between(low, high)), key, "left_semi")
+
+
 def _in(partition: str, values) -> Column:
     """Partition predicate that also finds the NULL partition."""
     column = F.col(quote(partition))

@@ -18,12 +18,14 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # The key lookup of an upsert is a big-target semi join: let Spark build a Bloom filter from
-    # the increment and drop non-matching target keys before they are shuffled.
+    # The key lookup of an upsert is a semi join of a big table with an increment. Let Spark build
+    # its Bloom filter from increments of some size too, with room for some million keys.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "512m",
-    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "50000000",
-    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "536870912",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "8000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "8000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "67108864",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "67108864",
 }
 
 

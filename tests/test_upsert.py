@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
-from tarnflow.operators.upsert import merge_into_table, upsert, upsert_parquet
+from tarnflow.operators.upsert import matching_rows, merge_into_table, upsert, upsert_parquet
 from tarnflow.sources import storage
 from tests.conftest import plan_of
 
@@ -174,3 +174,35 @@ def test_merge_into_table_needs_a_table_with_row_level_operations(spark):
         merge_into_table(spark, frame(spark, TARGET).drop("event_id"), "lake.plain")
     with pytest.raises((AnalysisException, PySparkException)):
         merge_into_table(spark, frame(spark, TARGET).withColumn("extra", F.lit(1)), "lake.plain")
+
+
+def test_key_lookup_filters_before_it_shuffles(spark, folder):
+    """For a target too big for a broadcast: narrow read, bounds pushed down, Bloom filter first."""
+    rows = spark.range(5000).select(
+        F.format_string("k%05d", "id").alias("event_id"), F.lit(D[1]).alias("event_date"), F.lit("v").alias("v")
+    )
+    rows.write.parquet(f"{folder}/t")
+    rows.where("substr(event_id, 6) = '7'").write.parquet(f"{folder}/s")
+    target, source = spark.read.parquet(f"{folder}/t"), spark.read.parquet(f"{folder}/s")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        found = matching_rows(target.select("event_id", "event_date"), source, "event_id")
+        plan = plan_of(found)
+        assert "might_contain" in plan
+        assert "GreaterThanOrEqual(event_id,k00007)" in plan and "v:string" not in plan
+        assert found.count() == source.count() == 500
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_lookup_with_null_keys_only(spark, folder):
+    upsert_parquet(spark, folder, frame(spark, TARGET))
+    upsert_parquet(spark, folder, frame(spark, [(None, D[1], "x", 1)]))
+    assert read(spark, folder).count() == len(TARGET) + 1
