@@ -111,11 +111,12 @@ def upsert_parquet(
 ) -> None:
     """Upsert into a Parquet table partitioned by a date (or integer) column.
 
-    Only touched partitions are rewritten: those that hold a key of the source, found by a semi
-    join over the key column alone, and those the source rows belong to. Everything else is not
-    read beyond that one column. Keys of the table are taken to be unique; should an interrupted
-    commit have left two copies of a key, running the same increment again folds them into one.
-    One writer at a time. The source is written to a scratch table first unless it already is one.
+    Only partitions that hold a key of the source are rewritten; they are found by a semi join over
+    the key column alone, and nothing else of the table is read. Rows for other partitions are
+    appended, so an increment of new keys rewrites nothing. Keys of the table are taken to be
+    unique; should an interrupted commit have left two copies of a key, running the same increment
+    again folds them into one. One writer at a time. The source is written to a scratch table
+    first unless it already is one.
     """
     if not isinstance(source.schema[partition].dataType, (T.DateType, T.IntegralType)):
         raise ValueError(f"partition column {partition!r} must be a date or an integer")
@@ -164,17 +165,23 @@ def _merge_partitions(
         }
         arriving = {row[0] for row in winners.select(quote(partition)).distinct().collect()}
         emptied = _emptied(target, partition, leaving, leaving.keys() - arriving)
-
-        kept = target.where(_in(partition, leaving.keys() | arriving)).join(
-            winners.select(quote(key)), key, "left_anti"
-        )
         if target_only:
             extra = matched.groupBy(quote(key)).agg(
                 *[F.max_by(quote(c), quote(partition)).alias(c) for c in target_only]
             )
             winners = winners.join(extra, key, "left_outer")
-        merged = kept.select(*map(quote, target.columns)).unionAll(_shape(winners, target.schema))
-        _write(merged, path, partition, "overwrite")
+        incoming = _shape(winners, target.schema)
+        rewritten = F.coalesce(_in(partition, leaving), F.lit(False))
+
+        # Appended before the old copies go: a crash in between leaves two copies, never none.
+        if arriving - leaving.keys():
+            _write(incoming.where(~rewritten), path, partition, "append")
+        if leaving:
+            kept = target.where(_in(partition, leaving)).join(
+                winners.select(quote(key)), key, "left_anti"
+            )
+            merged = kept.select(*map(quote, target.columns)).unionAll(incoming.where(rewritten))
+            _write(merged, path, partition, "overwrite")
         # Dynamic overwrite replaces partitions that get rows; one that lost all its rows to
         # another partition has to go explicitly.
         for value in emptied:

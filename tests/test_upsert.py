@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from tarnflow.operators.upsert import matching_rows, merge_into_table, upsert, upsert_parquet
+from tarnflow.operators import upsert as module
 from tarnflow.sources import storage
 from tests.conftest import plan_of
 
@@ -96,6 +97,35 @@ def test_only_touched_partitions_are_rewritten(spark, folder):
     assert {d for d in before if before[d] != after[d]} == {f"event_date={D[2]}"}
 
 
+def test_new_keys_rewrite_nothing(spark, folder):
+    upsert_parquet(spark, folder, frame(spark, TARGET))
+    files = set(read(spark, folder).inputFiles())
+    upsert_parquet(spark, folder, frame(spark, [("x", D[2], "x", 0), ("y", D[7], "y", 0)]))
+    assert files < set(read(spark, folder).inputFiles())
+    assert read(spark, folder).count() == len(TARGET) + 2
+
+
+def test_crash_between_append_and_rewrite(spark, folder, monkeypatch):
+    """A moved row is appended to its new partition before its old copy goes; a rerun repairs it."""
+    upsert_parquet(spark, folder, frame(spark, TARGET))
+    source = frame(spark, [("c", D[5], "moved", 1), ("n", D[5], "new", 1), ("a", D[1], "a2", 1)])
+    expected = as_set(upsert(frame(spark, TARGET), source))
+    write = module._write
+
+    def crash(df, path, partition, mode):
+        if mode == "overwrite":
+            raise RuntimeError("lost")
+        write(df, path, partition, mode)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "_write", crash)
+        with pytest.raises(RuntimeError):
+            upsert_parquet(spark, folder, source)
+    assert read(spark, folder).count() == len(TARGET) + 2
+    upsert_parquet(spark, folder, source)
+    assert as_set(read(spark, folder)) == expected
+
+
 def test_row_that_moves_away_empties_its_partition(spark, folder):
     source = frame(spark, [("c", D[5], "moved", 1)])
     rows = both_ways(spark, folder, frame(spark, TARGET), source)
