@@ -21,62 +21,44 @@ AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
 MARK = datetime(2024, 1, 15, tzinfo=timezone.utc)
 LOOKBACK_DAYS = 3
 
-DEVICES = ("iPhone 15", "Pixel 8", " Samsung S23 ", "iPad", "MacBook Pro", "Windows Laptop", "old mac mini", None)
-SYSTEMS = ("iOS", "Android", "macOS", "Windows", "Linux")
+DEVICES = "'iPhone 15', 'Pixel 8', ' Samsung S23 ', 'iPad', 'MacBook Pro', 'Windows Laptop', 'old mac mini', NULL"
+SYSTEMS = "'iOS', 'Android', 'macOS', 'Windows', 'Linux'"
 PLACES = (
-    "Alberta", "British Columbia", "Manitoba", "New Brunswick", "Newfoundland and Labrador",
-    "Nova Scotia", "Ontario", "Prince Edward Island", "Quebec", "Saskatchewan",
-    " Ontario ", "quebec", None,
-)
-TYPES = {"click": " Clicks ", "view": "PageView", "signup": "signups", "purchase": "delete_account", "error": "log_in"}
+    "'Alberta', 'British Columbia', 'Manitoba', 'New Brunswick', 'Newfoundland and Labrador', "
+    "'Nova Scotia', 'Ontario', 'Prince Edward Island', 'Quebec', 'Saskatchewan', "
+    "' Ontario ', 'quebec', NULL"
+)
+COLUMNS = {
+    "seq": "i",
+    "id": "CASE WHEN i % 101 <> 0 THEN 'e' || IF(i % 14 = 0, i DIV 2, IF(i % 3 = 1, i - 1, i)) END",
+    "session_id": "IF(i % 103 = 0, '', 's' || user_id)",
+    "username": "'u' || user_id",
+    "device": f"get(array({DEVICES}), CAST(i % 8 AS INT))",
+    "os": f"get(array({SYSTEMS}), CAST(i % 5 AS INT))",
+    "geo": f"get(array({PLACES}), CAST(i % 13 AS INT))",
+    "event_type": """CASE WHEN i % 107 = 0 THEN NULL WHEN i % 17 = 0 THEN 'other_thing' ELSE
+        CASE event_type WHEN 'click' THEN ' Clicks ' WHEN 'view' THEN 'PageView' WHEN 'signup' THEN 'signups'
+             WHEN 'purchase' THEN 'delete_account' WHEN 'error' THEN 'log_in' ELSE event_type END END""",
+    "platform": """CASE WHEN i % 127 = 0 THEN NULL WHEN i % 113 = 0 THEN 'WEB' WHEN i % 109 = 0 THEN 'tv'
+        ELSE IF(i % 2 = 0, 'web', 'mobile') END""",
+    "event_timestamp": """CASE WHEN i % 131 = 0 THEN 'not-a-ts' WHEN i % 137 = 0 THEN '2024-03-01T00:00:00.000Z'
+        ELSE date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'") END""",
+    "dt": "CASE WHEN i % 139 = 0 THEN 'bad-date' WHEN i % 149 <> 0 THEN date_format(ts, 'yyyy-MM-dd') END",
+    "url": "IF(i % 2 = 0, 'https://example.com/' || (i % 8), NULL)",
+    "browser_version": "IF(i % 2 = 0, 'Chrome/' || (90 + i % 40) || '.0', NULL)",
+    "screen": "IF(i % 2 = 1, 'Home', NULL)",
+    "screen_size": "IF(i % 2 = 1, '1080x2400', NULL)",
+    "app_version": "IF(i % 2 = 1, (1 + i % 5) || '.' || (i % 21) || '.0', NULL)",
+    "batch_id": "'b' || (i % 5)",
+    "envelope_dt": "date_format(ts, 'yyyy-MM-dd')",
+}
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived table, one row per event of the driver's table."""
     configure(spark)
-    i = F.col("event_id")
-
-    def divides(n: int):
-        return i % n == 0
-
-    def pick(values):
-        return F.get(F.array(*[F.lit(v) for v in values]), (i % len(values)).cast("int"))
-
-    number = F.when(divides(14), (i / 2).cast("bigint")).when(i % 3 == 1, i - 1).otherwise(i)
-    day = F.date_format("ts", "yyyy-MM-dd")
-    event_type = F.col("event_type")
-    renamed = event_type
-    for old, new in TYPES.items():
-        renamed = F.when(event_type == old, new).otherwise(renamed)
-    null = F.lit(None).cast("string")
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        i.alias("seq"),
-        F.when(~divides(101), F.concat(F.lit("e"), number)).alias("id"),
-        F.when(divides(103), "").otherwise(F.concat(F.lit("s"), "user_id")).alias("session_id"),
-        F.concat(F.lit("u"), "user_id").alias("username"),
-        pick(DEVICES).alias("device"),
-        pick(SYSTEMS).alias("os"),
-        pick(PLACES).alias("geo"),
-        F.when(divides(107), null).when(divides(17), "other_thing").otherwise(renamed).alias("event_type"),
-        F.when(divides(127), null)
-        .when(divides(113), "WEB")
-        .when(divides(109), "tv")
-        .when(divides(2), "web")
-        .otherwise("mobile")
-        .alias("platform"),
-        F.when(divides(131), "not-a-ts")
-        .when(divides(137), "2024-03-01T00:00:00.000Z")
-        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-        .alias("event_timestamp"),
-        F.when(divides(139), "bad-date").when(divides(149), null).otherwise(day).alias("dt"),
-        F.when(divides(2), F.concat(F.lit("https://example.com/"), i % 8)).alias("url"),
-        F.when(divides(2), F.concat(F.lit("Chrome/"), 90 + i % 40, F.lit(".0"))).alias("browser_version"),
-        F.when(~divides(2), "Home").alias("screen"),
-        F.when(~divides(2), "1080x2400").alias("screen_size"),
-        F.when(~divides(2), F.concat(1 + i % 5, F.lit("."), i % 21, F.lit(".0"))).alias("app_version"),
-        F.concat(F.lit("b"), i % 5).alias("batch_id"),
-        day.alias("envelope_dt"),
-    )
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumnRenamed("event_id", "i")
+    return events.selectExpr(*[f"{rule} AS {name}" for name, rule in COLUMNS.items()])
 
 
 def event_struct():

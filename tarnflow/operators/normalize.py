@@ -17,7 +17,6 @@ SCHEMA_STAGE = "schema"
 ENVELOPE_STAGE = "envelope"
 
 _TESTED = ("id", "session_id", "event_type", "platform", "dt")
-_COPIED = ("url", "browser_version", "screen", "screen_size", "app_version")
 
 
 def normalize_events(
@@ -47,15 +46,15 @@ def normalize_events(
         ingested_at.alias("ingested_at"),
         F.from_json("raw", schemas.EVENT, {"columnNameOfCorruptRecord": "_malformed"}).alias("e"),
     )
-    flat = parsed.select(
-        *[c for c in parsed.columns if c != "e"],
-        (F.col("e").isNull() | F.col("e._malformed").isNotNull()).alias("odd"),
-        *[F.col(f"e.{name}").alias(name) for name in _TESTED],
-        *[F.col(f"e.attributes.{name}").alias(name) for name in ("username", "device", "os")],
-        F.col("e.attributes.geo").alias("country"),
-        *[F.col(f"e.{name}").alias(name) for name in _COPIED],
-        parsing.iso_timestamp(F.col("e.event_timestamp")).alias("event_ts"),
-        parsing.iso_date(F.col("envelope_dt")).alias("landed_date"),
+    flat = (
+        parsed.withColumn("odd", F.col("e").isNull() | F.col("e._malformed").isNotNull())
+        .select("*", "e.*", "e.attributes.*")
+        .withColumns(
+            {
+                "event_ts": parsing.iso_timestamp(F.col("event_timestamp")),
+                "landed_date": parsing.iso_date(F.col("envelope_dt")),
+            }
+        )
     )
     # JSON types matter to a few odd events only: those are parsed once more, as a variant.
     suspect = F.col("odd") | F.col("event_ts").isNull()
@@ -79,8 +78,12 @@ def normalize_events(
         "ingested_at",
         "device",
         "os",
-        "country",
-        *_COPIED,
+        F.col("geo").alias("country"),
+        "url",
+        "browser_version",
+        "screen",
+        "screen_size",
+        "app_version",
         landed_date.alias("envelope_date"),
         "pos",
         F.coalesce("raw", "malformed").alias("raw"),
