@@ -257,6 +257,10 @@ ORACLE = {
         "username AS payload_username FROM bad"
     ),
     "ingest_job": query(SUMMARY_OUT, SUMMARY),
+    "ingest_job_raw": query(f"SELECT * EXCLUDE (seq) {TEXT} FROM good"),
+    "ingest_job_quarantine": query(
+        "SELECT envelope_dt AS event_date, batch_id, dq_stage, dq_reason, username, id AS payload_id FROM bad"
+    ),
     "partition_pruned_scan": query(
         "SELECT strftime(event_date, '%Y-%m-%d') AS event_date, count(*) AS n FROM good "
         "WHERE event_date >= DATE '2024-01-12' GROUP BY ALL"

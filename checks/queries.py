@@ -10,7 +10,7 @@ from tarnflow import schemas
 from tarnflow.functions import parsing
 from tarnflow.operators import features, incremental, quality, standardize
 from tarnflow.operators.upsert import upsert, upsert_parquet
-from tarnflow.plans.ingest import run_ingest
+from tarnflow.plans.ingest import IngestRun, run_ingest
 from tarnflow.plans.silver import run_silver, silver_rows
 from tarnflow.sources import mark as marks
 from tarnflow.sources import raw
@@ -98,15 +98,38 @@ def quarantine_table(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def ingest_job(spark: SparkSession, sf: str) -> DataFrame:
+def _ingest(spark: SparkSession, sf: str) -> tuple[IngestRun, str]:
     folder = fx.scratch(spark)
     fx.land_envelopes(spark, sf, f"{folder}/landed")
-    run = run_ingest(
-        spark, f"{folder}/landed", f"{folder}/lake", ingested_at=fx.AS_OF, as_of=fx.AS_OF
-    )
+    lake = f"{folder}/lake"
+    return run_ingest(spark, f"{folder}/landed", lake, ingested_at=fx.AS_OF, as_of=fx.AS_OF), lake
+
+
+def ingest_job(spark: SparkSession, sf: str) -> DataFrame:
+    run, _ = _ingest(spark, sf)
     return as_text(run.summary.withColumn("dq_reasons", F.to_json("dq_reasons")))
 
 
+def ingest_job_raw(spark: SparkSession, sf: str) -> DataFrame:
+    _, lake = _ingest(spark, sf)
+    return as_text(spark.read.schema(schemas.RAW).parquet(raw.raw_path(lake)))
+
+
+def ingest_job_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    _, lake = _ingest(spark, sf)
+    bad = raw.read_quarantine(spark, raw.quarantine_path(lake))
+    return as_text(
+        bad.select(
+            "event_date",
+            "batch_id",
+            "dq_stage",
+            "dq_reason",
+            "username",
+            F.get_json_object("raw", "$.id").alias("payload_id"),
+        )
+    )
+
+
 # ---- incremental reads ----
 
 
@@ -274,6 +297,8 @@ QUERIES = {
         quarantine_union,
         quarantine_table,
         ingest_job,
+        ingest_job_raw,
+        ingest_job_quarantine,
         partition_pruned_scan,
         incremental_filter,
         next_watermark,
