@@ -1,5 +1,6 @@
 import os
 from datetime import datetime, timedelta, timezone
+from types import SimpleNamespace
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -135,9 +136,10 @@ def test_staged_table_is_read_back_and_removed(spark, folder):
     assert not os.path.exists(path)
 
 
-def test_scratch_follows_the_session(spark):
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        assert storage.scratch_root(spark, "/lake/silver").startswith(configured.rstrip("/"))
-    else:
-        assert storage.scratch_root(spark, "/lake/silver/") == "/lake/silver__scratch"
+@pytest.mark.parametrize(
+    "configured, expected",
+    [(None, "/lake/silver__scratch"), ("s3a://shared/ck/", "s3a://shared/ck/tarnflow")],
+)
+def test_scratch_follows_the_session(configured, expected):
+    session = SimpleNamespace(conf={"spark.checkpoint.dir": configured} if configured else {})
+    assert storage.scratch_root(session, "/lake/silver/") == expected
