@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 21):
     Keeps the work space of vectorised code over a text column bounded by the longest text.
     """
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start = held = 0
         for row, size in enumerate(sizes):
             if row > start and held + size > most:
@@ -88,3 +89,27 @@ def sorted_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tabl
             last = keys[a]
     if held:
         yield pa.Table.from_batches(held)
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Like the input, sorted by ``key``, but cut so that no key's rows lie in two tables."""
+    import numpy as np
+
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        if not len(keys):
+            continue
+        at = int(np.flatnonzero(keys != keys[-1])[-1]) + 1 if keys[0] != keys[-1] else 0
+        if at or (held and keys[0] != last):
+            if held and not at:
+                yield pa.Table.from_batches(held)
+                held = []
+            elif at:
+                yield pa.Table.from_batches([*held, batch.slice(0, at)])
+                held = []
+        held.append(batch.slice(at))
+        last = keys[-1]
+    if held:
+        yield pa.Table.from_batches(held)

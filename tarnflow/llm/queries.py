@@ -5,8 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnflow.llm import exact_dedup, line_dedup, secret_scan
-from tarnflow.llm.common import read_table, scratch_path
+from tarnflow.llm import (
+    exact_dedup,
+    language_id,
+    line_dedup,
+    ngram_join,
+    packing,
+    quality,
+    secret_scan,
+)
+from tarnflow.llm.common import crc32_mod, read_table, scratch_path
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.quality_scores(
+        read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+        read_table(spark, sf_dir, "labels"),
+        may_learn=crc32_mod("doc_id", 5) != 0,
+    )
+    return scored.select(
+        "doc_id",
+        (crc32_mod("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,13 +55,33 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = language_id.learn_profiles(docs.where(crc32_mod("doc_id", 4) != 2))
+    return language_id.predict_language(docs, profiles).select(
+        "doc_id", (crc32_mod("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 QUERIES = {
+    "op4_quality": op4_quality,
     "op5_secret_scan": op5_secret_scan,
     "op6_line_dedup": op6_line_dedup,
+    "op7_packing": op7_packing,
+    "op8_language_id": op8_language_id,
+    "op9_ngram_join": op9_ngram_join,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
