@@ -50,7 +50,7 @@ def crc32_mod(column: str, divisor: int) -> Column:
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(divisor))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 21):
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 18):
     """Parts of Arrow batches that hold at most ``most`` bytes of ``column`` (one row at least).
 
     Keeps the work space of vectorised code over a text column bounded by the longest text.

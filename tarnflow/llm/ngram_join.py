@@ -8,7 +8,7 @@ the size of the intersection from above, and that holds for any grouping, fine o
   shingles only. The minima over all other coordinates sum to less than the overlap that a partner
   needs, so two linked texts always meet in an entry. Which order counts as "rare" is free; frequent
   shingles, counted over the corpus, come last, so that entries stay small.
-* Below an entry, 64 coarse groups: points of an entry are compared by size and by summed minima.
+* Below an entry, coarse groups: points of an entry are compared by size and by summed minima.
   Points that may link are tied together (a forest, never all pairs), over all entries.
 * Leaves: texts that are tied together meet once more, in blocks of bounded size, with their whole
   sets, and 100 * intersection >= 75 * union decides. A text that is found leaves the pool; pairs
@@ -37,6 +37,7 @@ from tarnflow.llm.common import slices, stage, whole_runs
 from tarnflow.llm.components import connected_components
 from tarnflow.llm.text_arrays import shingle_sets
 
+#: Least number of coarse groups.
 GROUPS = 64
 #: Similarity in hundredths.
 SIMILARITY = 75
@@ -52,9 +53,53 @@ _TOP = np.uint64(1 << 63)
 
 
 def group_counts(items: np.ndarray) -> np.ndarray:
-    """Counts by coarse group; held at 65,535, which keeps the bound right for smaller partners."""
-    counts = np.bincount((items >> np.uint64(20)).astype(np.int64) % GROUPS, minlength=GROUPS)
-    return np.minimum(counts, 65535).astype(np.uint16)
+    """Counts by coarse group, one byte each.
+
+    Longer texts get more groups, a power of two of about one per eight shingles: with fewer, any
+    two long texts would look alike. Should a count not fit, all are set to 255, which bounds from
+    above for every partner that size alone does not rule out.
+    """
+    groups = max(GROUPS, 1 << max(0, (len(items) - 1) // 8).bit_length())
+    counts = np.bincount((items >> np.uint64(20)).astype(np.int64) & (groups - 1), minlength=groups)
+    return np.full(groups, 255, np.uint8) if counts.max() > 254 else counts.astype(np.uint8)
+
+
+class _Counts:
+    """The group counts of some rows, and the summed minima of pairs of them."""
+
+    def __init__(self, column: pa.ChunkedArray):
+        raw = column.to_pylist()
+        self.groups = np.array([len(r) for r in raw])
+        self.place = np.zeros(len(raw), int)
+        self.tables = {}
+        for g in np.unique(self.groups).tolist():
+            rows = np.flatnonzero(self.groups == g)
+            self.place[rows] = np.arange(len(rows))
+            self.tables[g] = np.frombuffer(b"".join(raw[r] for r in rows), np.uint8).reshape(-1, g)
+
+    def at(self, rows: np.ndarray, groups: int) -> np.ndarray:
+        """Counts over ``groups`` groups; finer ones are added up."""
+        out = np.zeros((len(rows), groups), np.uint16)
+        for g in np.unique(self.groups[rows]).tolist():
+            own = self.groups[rows] == g
+            out[own] = self.tables[g][self.place[rows[own]]].reshape(-1, g // groups, groups).sum(axis=1, dtype=np.uint16)
+        return out
+
+    def minima(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(a), np.int64)
+        coarse = np.minimum(self.groups[a], self.groups[b])
+        for g in np.unique(coarse).tolist():
+            at = np.flatnonzero(coarse == g)
+            step = max(1, (1 << 21) // g)
+            for c in range(0, len(at), step):
+                part = at[c : c + step]
+                i, j = a[part], b[part]
+                if (self.groups[i] == g).all() and (self.groups[j] == g).all():
+                    x, y = self.tables[g][self.place[i]], self.tables[g][self.place[j]]
+                else:
+                    x, y = self.at(i, g), self.at(j, g)
+                out[part] = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+        return out
 
 
 def may_link(n_a, n_b, minima, similarity: int = SIMILARITY):
@@ -128,12 +173,6 @@ def _entries(frequent: np.ndarray, similarity: int):
     return run
 
 
-def _vectors(table: pa.Table) -> np.ndarray:
-    raw = table.column("vec").combine_chunks()
-    raw = raw.chunk(0) if isinstance(raw, pa.ChunkedArray) else raw
-    return np.frombuffer(b"".join(raw.to_pylist()), np.uint16).reshape(len(raw), GROUPS)
-
-
 class _Forest:
     """Edges found in a task, each once."""
 
@@ -171,20 +210,16 @@ def _tie(similarity: int):
         for table in whole_runs(batches, "key"):
             key = table.column("key").to_numpy()
             ids, n = table.column("id").to_numpy(), table.column("n").to_numpy()
-            vec = _vectors(table)
+            vec = _Counts(table.column("vec"))
             cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
             sizes = np.diff(cuts)
             run_size = np.repeat(sizes, sizes)
             us, vs = [], []
 
             def fits(a, b):
-                ok = np.minimum(n[a], n[b]) * 100 >= similarity * np.maximum(n[a], n[b])
-                out = np.zeros(len(ok), bool)
-                for c in range(0, len(ok), 50_000):
-                    at = np.flatnonzero(ok[c : c + 50_000]) + c
-                    minima = np.minimum(vec[a[at]], vec[b[at]]).sum(axis=1, dtype=np.int64)
-                    small = np.minimum(n[a[at]], n[b[at]]) <= 65535
-                    out[at] = ~small | may_link(n[a[at]], n[b[at]], minima, similarity)
+                out = np.minimum(n[a], n[b]) * 100 >= similarity * np.maximum(n[a], n[b])
+                at = np.flatnonzero(out)
+                out[at] = may_link(n[a[at]], n[b[at]], vec.minima(a[at], b[at]), similarity)
                 return out
 
             # Small entries all at once: rows that are d apart in the same entry.
@@ -230,15 +265,14 @@ def _verify(similarity: int):
         forest = _Forest()
         for table in whole_runs(batches, "key"):
             key = table.column("key").to_numpy()
-            ids, n, vec = table.column("id").to_numpy(), table.column("n").to_numpy(), _vectors(table)
+            ids, n, vec = table.column("id").to_numpy(), table.column("n").to_numpy(), _Counts(table.column("vec"))
             items = [np.frombuffer(x, np.uint64) for x in table.column("items").to_pylist()]
 
             def links(p, rest):
                 ok = np.minimum(n[p], n[rest]) * 100 >= similarity * np.maximum(n[p], n[rest])
                 at = np.flatnonzero(ok)
-                minima = np.minimum(vec[p], vec[rest[at]]).sum(axis=1, dtype=np.int64)
-                small = np.minimum(n[p], n[rest[at]]) <= 65535
-                at = at[~small | may_link(n[p], n[rest[at]], minima, similarity)]
+                minima = vec.minima(np.full(len(at), p), rest[at])
+                at = at[may_link(n[p], n[rest[at]], minima, similarity)]
                 out = np.zeros(len(rest), bool)
                 if len(at):
                     mine = items[p]

@@ -177,19 +177,17 @@ def _sample(rows: DataFrame, most: int) -> np.ndarray:
     return np.array(picked["x"].tolist(), float).reshape(-1, MEASURES)
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None,
-                   id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-                   sample: int = SAMPLE, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Id, the ``keep`` columns and ``score`` (0 to 1) of every row.
-
-    ``may_learn`` is a condition on the id: labels of other ids are not looked at, and unlabelled
-    text comes from it too.
-    """
-    row = F.struct(F.col(id_col).alias("id"), *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)])
-    rows = docs.select(row.alias("row"), F.col(text_col).alias("text"))
+def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(row.id, x)``: the measures of every row, in a narrow table on shared storage."""
+    rows = docs.select(F.struct(F.col(id_col).alias("id")).alias("row"), F.col(text_col).alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
-    taken = stage(rows.mapInArrow(_measure, f"row {kind}, x array<float>"), "measures")
+    return stage(rows.mapInArrow(_measure, f"row {kind}, x array<float>"), "measures")
+
 
+def learn(taken: DataFrame, labels: DataFrame, may_learn: Column | None = None, id_col: str = "doc_id",
+          label_col: str = "quality", sample: int = SAMPLE) -> Model:
+    """The classifier. ``may_learn`` is a condition on the id: labels of other ids are not looked
+    at, and unlabelled text does not come from them either."""
     allowed = F.lit(True) if may_learn is None else may_learn
     known = (
         labels.where(allowed & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
@@ -197,23 +195,40 @@ def quality_scores(docs: DataFrame, labels: DataFrame, may_learn: Column | None
     )
     counts = known.groupBy().agg(F.count_if(F.col("label") == 1).alias("p"), F.count("*").alias("n")).first()
     prior = (counts["p"] + 0.5) / (counts["n"] + 1)
-    learn = taken.withColumn(id_col, F.col("row.id")).where(allowed & F.col(id_col).isNotNull()).drop(id_col)
-    joined = learn.join(known, F.col("row.id") == F.col("label_id"), "left")
+    rows = taken.withColumn(id_col, F.col("row.id")).where(allowed & F.col(id_col).isNotNull()).drop(id_col)
+    trusted = rows.join(known.where("label = 1"), F.col("row.id") == F.col("label_id"), "left_semi")
     labelled = labels.select(F.col(id_col).alias("any_id")).where("any_id IS NOT NULL").distinct()
-    model = fit_pu(
-        _sample(joined.where("label = 1"), sample),
-        _sample(learn.join(labelled, F.col("row.id") == F.col("any_id"), "left_anti"), sample),
-        min(max(prior, 0.01), 0.99),
-    )
+    unlabelled = rows.join(labelled, F.col("row.id") == F.col("any_id"), "left_anti")
+    return fit_pu(_sample(trusted, sample), _sample(unlabelled, sample), min(max(prior, 0.01), 0.99))
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None,
+                   id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+                   sample: int = SAMPLE) -> DataFrame:
+    """Id and ``score`` (0 to 1) of every row."""
+    taken = measured(docs, id_col, text_col)
+    model = learn(taken, labels, may_learn, id_col, label_col, sample)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, MEASURES)
             yield pa.record_batch([batch.column("row"), pa.array(model.score(x.astype(float)))], ["row", "score"])
 
-    scored = taken.mapInArrow(score, f"row {kind}, score double")
-    return scored.select(
-        F.col("row.id").alias(id_col),
-        *[F.col(f"row.k{i}").alias(c) for i, c in enumerate(keep)],
-        "score",
-    )
+    kind = taken.schema["row"].dataType.simpleString()
+    return taken.mapInArrow(score, f"row {kind}, score double").select(F.col("row.id").alias(id_col), "score")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
+              id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score ``threshold`` or more.
+
+    Texts are measured once to learn and once to decide, so that no text is joined or moved.
+    """
+    model = learn(measured(docs, id_col, text_col), labels, None, id_col, label_col)
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, text_col):
+            good = model.score(measures(part.column(text_col)).astype(np.float32).astype(float)) >= threshold
+            yield part.filter(pa.array(good))
+
+    return docs.mapInArrow(decide, docs.schema)

@@ -6,17 +6,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnflow.llm import (
+    embedding_dedup,
     exact_dedup,
     language_id,
     line_dedup,
     ngram_join,
     packing,
+    passage_dedup,
     quality,
     secret_scan,
+    sentencepiece_codec,
 )
 from tarnflow.llm.common import crc32_mod, read_table, scratch_path
 
 
+def op1_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per stretch that repeats an earlier one: where it lies and who keeps the first."""
+    return passage_dedup.repeated_stretches(read_table(spark, sf_dir, "documents"))
+
+
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode_summary(read_table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.quality_scores(
         read_table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -75,7 +91,16 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from corpus_pipeline import run
+
+    return run(spark, sf_dir)
+
+
 QUERIES = {
+    "op1_passage_dedup": op1_passage_dedup,
+    "op2_embedding_dedup": op2_embedding_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_quality": op4_quality,
     "op5_secret_scan": op5_secret_scan,
     "op6_line_dedup": op6_line_dedup,
@@ -83,6 +108,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_ngram_join": op9_ngram_join,
     "op10_exact_dedup": op10_exact_dedup,
+    "pipeline": pipeline,
 }
 
 

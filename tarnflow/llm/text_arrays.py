@@ -92,11 +92,11 @@ def shingles(hashed: np.ndarray, text: np.ndarray, n_texts: int, k: int = 5):
         extra = np.array(
             [
                 (hashed[first[d] : first[d + 1]] * _WEIGHTS[: counts[d]]).sum(dtype=np.uint64)
-                + np.uint64(counts[d]) * _WEIGHTS[k + 1]
                 for d in short
             ],
             np.uint64,
         )
+        extra = extra + counts[short].astype(np.uint64) * _WEIGHTS[k + 1]
         full, owner = np.concatenate([full, mix(extra)]), np.concatenate([owner, short])
         order = np.argsort(owner, kind="stable")
         full, owner = full[order], owner[order]
@@ -108,5 +108,12 @@ def shingle_sets(column: pa.Array, k: int = 5) -> list[np.ndarray]:
     data, places = column_bytes(column)
     hashed, text, _, _ = words(data, places)
     full, owner = shingles(hashed, text, len(column), k)
-    cuts = np.searchsorted(owner, np.arange(len(column) + 1))
-    return [np.unique(full[a:b]) for a, b in zip(cuts, cuts[1:])]
+    cuts = np.searchsorted(owner, np.arange(len(column) + 1)).tolist()
+    full = np.ascontiguousarray(full)
+    for a, b in zip(cuts, cuts[1:]):
+        full[a:b].sort()
+    new = np.ones(len(full), bool)
+    new[1:] = (full[1:] != full[:-1]) | (owner[1:] != owner[:-1])
+    full, owner = full[new], owner[new]
+    cuts = np.searchsorted(owner, np.arange(len(column) + 1)).tolist()
+    return [full[a:b] for a, b in zip(cuts, cuts[1:])]
