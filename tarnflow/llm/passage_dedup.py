@@ -32,7 +32,8 @@ from tarnflow.llm.components import connected_components
 from tarnflow.llm.text_arrays import column_bytes, mix, shingles, words
 
 SIMILARITY = 75
-REACH = 8
+#: Anchors lie 13 words apart on average, so a passage of 50 words holds whole paragraphs.
+REACH = 6
 BANDS, ROWS = 5, 2
 LEAST_WORDS = 20
 #: Words between two repeated paragraphs (too short to be one) that do not end a stretch.
@@ -40,6 +41,19 @@ GAP = 5
 _SEEDS = np.random.default_rng(5).integers(1, 2**62, BANDS * ROWS, dtype=np.uint64)
 
 
+def _sliding_min(values: np.ndarray, first: int, last: int) -> np.ndarray:
+    """The minimum of ``values[i + first]`` to ``values[i + last]``, for every i; by doubling."""
+    reach = max(abs(first), abs(last))
+    edge = np.full(reach, 2**64 - 1, np.uint64)
+    least = np.concatenate([edge, values, edge])[reach + first : reach + len(values) + last]
+    width, wanted = 1, last - first + 1
+    while width < wanted:
+        step = min(width, wanted - width)
+        least = np.minimum(least[: len(least) - step], least[step:])
+        width += step
+    return least
+
+
 def paragraphs(column: pa.Array):
     """Paragraphs of five words or more of each text, and their word hashes.
 
@@ -59,14 +73,8 @@ def paragraphs(column: pa.Array):
     cut[1:m] = (text[1:] != text[:-1]) | (lines[start[1:]] != lines[end[:-1]])
     # Anchors: the smallest window hash for REACH words around.
     window = mix(hashed + np.roll(hashed, -1) * np.uint64(3) + np.roll(hashed, -2) * np.uint64(7))
-    padded = np.concatenate([np.full(REACH, 2**64 - 1, np.uint64), window, np.full(REACH, 2**64 - 1, np.uint64)])
-    least = padded[: m + 2 * REACH]
-    width = 1
-    while width < 2 * REACH + 1:  # sliding minimum by doubling
-        step = min(width, 2 * REACH + 1 - width)
-        least = np.minimum(least[: len(least) - step], least[step:])
-        width += step
-    cut[:m] |= window == least[:m]
+    # (the leftmost of equals, so that a text of one word again and again stays whole)
+    cut[:m] |= (window < _sliding_min(window, -REACH, -1)) & (window <= _sliding_min(window, 1, REACH))
     at = np.flatnonzero(cut)
     begin, count = at[:-1], np.diff(at)
     long = count >= 5
@@ -81,7 +89,8 @@ def paragraphs(column: pa.Array):
     inverse = np.full(m + 1, pow(0x9E3779B97F4A7C15, -1, 2**64), np.uint64)
     inverse[0] = 1
     inverse = np.multiply.accumulate(inverse)
-    sums = np.concatenate([[0], np.cumsum(mix(hashed) * power[:m], dtype=np.uint64)]).astype(np.uint64)
+    sums = np.zeros(m + 1, np.uint64)
+    np.cumsum(mix(hashed) * power[:m], out=sums[1:])
     key = mix((sums[begin + count] - sums[begin]) * inverse[begin] + count.astype(np.uint64))
     found = (
         owner, begin - first[owner], count,
