@@ -4,8 +4,9 @@ Paragraphs are stretches of a line: long lines are also cut where the hash of a
 the smallest for ``REACH`` words around, so that a passage which was copied into the middle of
 another line is cut in the same places. A paragraph's set holds its distinct five-word shingles.
 
-Equal paragraphs are one. Each distinct one has ``BANDS`` keys of ``ROWS`` MinHash values; at a
-Jaccard similarity of 0.75 it shares a key with probability 1 - (1 - 0.75^2)^5 = 98.4 percent.
+Equal paragraphs are one. Each distinct one has ``BANDS`` keys of ``ROWS`` MinHash values. Sets this
+small need short bands: at a Jaccard similarity of 0.75 two of them share a key with probability
+1 - (1 - 0.75)^3 = 98.4 percent, as with five bands of two values, which are more rows to shuffle.
 Paragraphs that collide are compared with the smallest and the largest of their bucket, by exact
 Jaccard of their shingle sets (100 * intersection >= 75 * union), and linked ones form classes by
 connected components. The first occurrence of a class by (id, place) stays. Later ones are merged
@@ -34,7 +35,7 @@ from tarnflow.llm.text_arrays import column_bytes, mix, shingles, words
 SIMILARITY = 75
 #: Anchors lie 13 words apart on average, so a passage of 50 words holds whole paragraphs.
 REACH = 6
-BANDS, ROWS = 5, 2
+BANDS, ROWS = 3, 1
 LEAST_WORDS = 20
 #: Words between two repeated paragraphs (too short to be one) that do not end a stretch.
 GAP = 5
@@ -169,7 +170,7 @@ def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
     units = stage(rows.mapInArrow(_units, "id long, key long, place int, n int, start int, end int"), "paragraphs")
     place = F.struct("id", "place")
-    distinct = stage(units.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("c")), "distinct")
+    distinct = units.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("c"))
 
     bucket = W.partitionBy("band")
     met = (
@@ -183,7 +184,11 @@ def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "pairs",
     )
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("key")).distinct()
-    where = distinct.join(wanted, "key").groupBy(F.col("first.id").alias("id")).agg(F.collect_set("key").alias("wanted"))
+    # From here on only paragraphs that occur twice or collide: one look at all distinct ones.
+    core = stage(
+        distinct.join(wanted.withColumn("met", F.lit(True)), "key", "left").where("c > 1 OR met"), "candidates"
+    )
+    where = core.where("met").groupBy(F.col("first.id").alias("id")).agg(F.collect_set("key").alias("wanted"))
     sets = stage(
         rows.join(where, "id").select("text", "wanted").mapInArrow(_sets, "key long, items array<long>")
         .groupBy("key").agg(F.min("items").alias("items")),
@@ -196,7 +201,7 @@ def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .where(100 * common >= similarity * (F.size("a") + F.size("b") - common))
     )
     classes = connected_components(linked.select("u", "v"))
-    classed = distinct.join(classes, F.col("key") == F.col("node"), "left").select(
+    classed = core.join(classes, F.col("key") == F.col("node"), "left").select(
         "key", "first", "c", F.coalesce("component", "key").alias("class")
     )
     kept = (
@@ -227,7 +232,7 @@ def remove_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     spans = (
         repeated_stretches(docs, id_col, text_col, **options)
         .groupBy(F.col(id_col).alias("__id"))
-        .agg(F.sort_array(F.collect_list(F.struct(F.col("start").cast("long"), F.col("end").cast("long")))).alias("__spans"))
+        .agg(F.sort_array(F.collect_list(F.struct(F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")))).alias("__spans"))
     )
     columns = docs.columns
     joined = docs.join(spans, F.col(id_col) == F.col("__id"), "left")

@@ -80,7 +80,9 @@ def test_repeated_passages(spark):
     assert set(hit) == set(range(10, 20))  # later ones only, clean ones never
     by = dict(rows)
     for i, r in hit.items():
-        assert r.keep_id == i - 10 and by[i][r.start : r.end] in passages[i - 10]
+        found, passage = by[i][r.start : r.end].split(), passages[i - 10].split()
+        # A near copy at an end of the passage may bring a few words of what stands beside it.
+        assert r.keep_id == i - 10 and len(set(found) & set(passage)) >= 0.75 * len(found)
     cut = {r.doc_id: r.text for r in passage_dedup.remove_stretches(clashing(spark, rows)).collect()}
     assert len(cut[12]) < len(by[12]) and cut[3] == by[3] and cut[1003] is None
     assert passage_dedup.repeated_stretches(table(spark, rows).where("false")).count() == 0
