@@ -34,17 +34,24 @@ f AS (
          ELSE 'mobile' END AS platform,
     CASE WHEN event_id % 131 = 0 THEN 'not-a-ts'
          WHEN event_id % 137 = 0 THEN '2024-03-01T00:00:00.000Z'
+         WHEN event_id % 179 = 0 THEN strftime(ts, '%Y%m%dT%H%M%S.%gZ')
          ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') END AS event_timestamp,
     CASE WHEN event_id % 139 = 0 THEN 'bad-date'
          WHEN event_id % 149 = 0 THEN NULL
+         WHEN event_id % 151 = 0 THEN strftime(ts - INTERVAL 10 DAYS, '%Y-%m-%d')
+         WHEN event_id % 181 = 0 THEN strftime(ts, '%G-W%V-%u')
+         WHEN event_id % 197 = 0 THEN strftime(ts, '%Y%m%d')
          ELSE strftime(ts, '%Y-%m-%d') END AS dt,
     CASE WHEN event_id % 2 = 0 THEN concat('https://example.com/', event_id % 8) END AS url,
     CASE WHEN event_id % 2 = 0 THEN concat('Chrome/', 90 + event_id % 40, '.0') END AS browser_version,
     CASE WHEN event_id % 2 = 1 THEN 'Home' END AS screen,
     CASE WHEN event_id % 2 = 1 THEN '1080x2400' END AS screen_size,
     CASE WHEN event_id % 2 = 1 THEN concat(1 + event_id % 5, '.', event_id % 21, '.0') END AS app_version,
-    concat('b', event_id % 5) AS batch_id,
-    strftime(ts, '%Y-%m-%d') AS envelope_dt
+    CASE WHEN event_id % 157 <> 0 THEN concat('b', event_id % 5) END AS landed_batch,
+    coalesce(landed_batch, 'unknown') AS batch_id,
+    CASE WHEN event_id % 163 <> 0 THEN strftime(ts, '%Y-%m-%d') END AS landed_dt,
+    coalesce(landed_dt, '2024-01-31') AS envelope_dt,
+    ts AS landed_ts
   FROM events
 )"""
 
@@ -52,18 +59,22 @@ f AS (
 CHECKED = """
 typed AS (
   SELECT *,
-    TRY_CAST(replace(replace(event_timestamp, 'T', ' '), 'Z', '') AS TIMESTAMP) AS parsed_ts,
-    TRY_CAST(coalesce(dt, envelope_dt) AS DATE) AS parsed_date
+    coalesce(try_strptime(event_timestamp, '%Y%m%dT%H%M%S.%gZ'),
+      TRY_CAST(replace(replace(event_timestamp, 'T', ' '), 'Z', '') AS TIMESTAMP)) AS parsed_ts,
+    CASE WHEN dt LIKE '%W%' OR regexp_matches(dt, '^[0-9]{8}$') THEN CAST(landed_ts AS DATE)
+         ELSE TRY_CAST(coalesce(dt, envelope_dt) AS DATE) END AS parsed_date
   FROM f
 ),
 schema_checked AS (
   SELECT *,
-    CASE WHEN coalesce(id, '') = '' THEN 'missing_id'
+    CASE WHEN seq % 167 = 0 THEN 'unexpected_normalize_error'
+         WHEN coalesce(id, '') = '' THEN 'missing_id'
          WHEN coalesce(session_id, '') = '' THEN 'missing_session_id'
          WHEN coalesce(event_type, '') = '' THEN 'missing_event_type'
          WHEN coalesce(platform, '') = '' THEN 'missing_platform'
          WHEN parsed_ts IS NULL THEN 'invalid_event_timestamp'
-         WHEN parsed_date IS NULL THEN 'invalid_dt' END AS schema_reason
+         WHEN parsed_date IS NULL THEN 'invalid_dt'
+         WHEN seq % 173 = 0 THEN 'unexpected_normalize_error' END AS schema_reason
   FROM typed
 ),
 checked AS (
@@ -86,7 +97,7 @@ RAW_COLUMNS = """id AS event_id, session_id, username, event_type, platform,
 
 GOOD = f"""
 good AS (
-  SELECT seq, {RAW_COLUMNS}
+  SELECT seq, {RAW_COLUMNS.replace("parsed_date AS", "CAST(envelope_dt AS DATE) AS")}
   FROM checked WHERE schema_reason IS NULL AND rule_reason IS NULL
 )"""
 
@@ -167,18 +178,44 @@ SUMMARY_BODY = """
     count(*) FILTER (WHERE schema_reason IS NULL AND rule_reason IS NULL) AS good,
     count(*) FILTER (WHERE schema_reason IS NOT NULL) AS bad_schema,
     count(*) FILTER (WHERE rule_reason IS NOT NULL) AS bad_dq,
+    0 AS bad_envelope,
     count(*) FILTER (WHERE rule_reason = 'invalid_platform') AS n_platform,
     count(*) FILTER (WHERE rule_reason = 'event_ts_in_future') AS n_future
   FROM checked GROUP BY batch_id, envelope_dt
 """
 SUMMARY = f"summary AS ({SUMMARY_BODY})"
 SUMMARY_OUT = """
-SELECT batch_id, event_date, received, good, bad_schema, bad_dq,
+SELECT batch_id, event_date, received, good, bad_schema, bad_dq, CAST(bad_envelope AS BIGINT) AS bad_envelope,
   concat('{', concat_ws(',',
     CASE WHEN n_platform > 0 THEN concat('"invalid_platform":', n_platform) END,
     CASE WHEN n_future > 0 THEN concat('"event_ts_in_future":', n_future) END), '}') AS dq_reasons
 FROM summary
 """
+# What lands beside the events: lines that are no single envelope, envelopes without events.
+ODD_LINES = """
+broken AS (
+  SELECT CASE (seq // 191) % 3
+    WHEN 0 THEN concat('{"dt": "2024-01-05", "events": [{"id": "x', seq, '"')
+    WHEN 1 THEN concat('{"dt": "2024-01-05", "batch_id": "two", "events": [{"id": "', seq, '"}]}{"events": []}')
+    ELSE concat('{"dt": "2024-01-05", "events": []} tail', seq) END AS raw
+  FROM f WHERE seq % 191 = 0
+),
+empty AS (
+  SELECT DISTINCT concat('empty', seq % 7) AS batch_id, landed_dt AS event_date
+  FROM f WHERE seq % 193 = 0 AND landed_dt IS NOT NULL
+)"""
+JOB_SUMMARY = f"""per_batch AS ({SUMMARY_BODY}),
+summary AS (
+  SELECT batch_id, event_date, CAST(sum(received) AS BIGINT) AS received, CAST(sum(good) AS BIGINT) AS good,
+    CAST(sum(bad_schema) AS BIGINT) AS bad_schema, CAST(sum(bad_dq) AS BIGINT) AS bad_dq,
+    sum(bad_envelope) AS bad_envelope, CAST(sum(n_platform) AS BIGINT) AS n_platform, CAST(sum(n_future) AS BIGINT) AS n_future
+  FROM (SELECT * FROM per_batch
+    UNION ALL BY NAME SELECT batch_id, event_date, 0 AS received, 0 AS good, 0 AS bad_schema, 0 AS bad_dq,
+      0 AS bad_envelope, 0 AS n_platform, 0 AS n_future FROM empty
+    UNION ALL BY NAME SELECT 'unknown' AS batch_id, '2024-01-31' AS event_date, 0 AS received, 0 AS good,
+      0 AS bad_schema, 0 AS bad_dq, 1 AS bad_envelope, 0 AS n_platform, 0 AS n_future FROM broken)
+  GROUP BY batch_id, event_date
+)"""
 
 # Upsert fixture: old rows as target, corrected old rows plus new rows as source.
 SIDES = [
@@ -221,6 +258,23 @@ TWO_RUNS = [
     silver("silver", "merged"),
 ]
 
+# Late rows in the second run, which reads ten days back from the first one's latest time.
+LATE_RUNS = [
+    f"""first_in AS (SELECT * FROM good WHERE event_ts <= {MARK}
+    AND NOT (seq % 11 = 0 AND event_ts > TIMESTAMP '2024-01-07 00:00:00'))""",
+    "second_in AS (SELECT * FROM good WHERE event_ts > (SELECT max(event_ts) FROM first_in) - INTERVAL 10 DAYS)",
+    f"first_run AS ({latest('first_in')})",
+    f"second_run AS ({latest('second_in')})",
+    """merged AS (
+  SELECT s.* FROM second_run s LEFT JOIN first_run t ON s.event_id = t.event_id
+  WHERE t.event_id IS NULL OR s.event_ts >= t.event_ts
+  UNION ALL
+  SELECT t.* FROM first_run t LEFT JOIN second_run s ON s.event_id = t.event_id
+  WHERE s.event_id IS NULL OR s.event_ts < t.event_ts
+)""",
+    silver("silver", "merged"),
+]
+
 MARK_TEXT = """CASE WHEN strftime(max(event_ts), '%f') = '000000'
     THEN strftime(max(event_ts), '%Y-%m-%dT%H:%M:%SZ')
     ELSE strftime(max(event_ts), '%Y-%m-%dT%H:%M:%S.%fZ') END"""
@@ -232,7 +286,11 @@ def counts(column: str) -> str:
 
 ORACLE = {
     "envelope_scan": query(
-        "SELECT batch_id, envelope_dt, count(*) AS events FROM f GROUP BY batch_id, envelope_dt"
+        """SELECT batch_id, envelope_dt, count(seq) AS events FROM (
+  SELECT landed_batch AS batch_id, landed_dt AS envelope_dt, seq FROM f
+  UNION ALL SELECT NULL, NULL, NULL FROM broken
+  UNION ALL SELECT batch_id, event_date, NULL FROM empty) GROUP BY batch_id, envelope_dt""",
+        ODD_LINES,
     ),
     "normalize_flatten": query(
         f"SELECT * {TEXT} FROM (SELECT {RAW_COLUMNS} FROM checked WHERE schema_reason IS NULL)"
@@ -245,7 +303,8 @@ ORACLE = {
     "batch_summary": query(SUMMARY_OUT, SUMMARY),
     "ingest_totals": query(
         "SELECT CAST(sum(good) AS BIGINT) AS total_good, "
-        "CAST(sum(bad_schema + bad_dq) AS BIGINT) AS total_bad FROM summary",
+        "CAST(sum(bad_schema + bad_dq) AS BIGINT) AS total_bad, "
+        "CAST(sum(bad_envelope) AS BIGINT) AS total_bad_envelope FROM summary",
         SUMMARY,
     ),
     "quarantine_union": query(
@@ -253,13 +312,44 @@ ORACLE = {
         "UNION ALL SELECT seq, dq_stage, dq_reason FROM bad WHERE dq_stage = 'schema'"
     ),
     "quarantine_table": query(
-        "SELECT envelope_dt AS event_date, batch_id, dq_stage, dq_reason, id AS payload_id, "
-        "username AS payload_username FROM bad"
+        "SELECT envelope_dt AS event_date, batch_id, dq_stage, dq_reason, "
+        "CASE WHEN seq % 167 <> 0 THEN id END AS payload_id, "
+        "CASE WHEN seq % 167 <> 0 AND seq % 173 <> 0 THEN username END AS payload_username FROM bad"
     ),
-    "ingest_job": query(SUMMARY_OUT, SUMMARY),
+    "ingest_job": query(SUMMARY_OUT, ODD_LINES, JOB_SUMMARY),
     "ingest_job_raw": query(f"SELECT * EXCLUDE (seq) {TEXT} FROM good"),
     "ingest_job_quarantine": query(
-        "SELECT envelope_dt AS event_date, batch_id, dq_stage, dq_reason, username, id AS payload_id FROM bad"
+        "SELECT envelope_dt AS event_date, batch_id, dq_stage, dq_reason, "
+        "CASE WHEN seq % 167 <> 0 AND seq % 173 <> 0 THEN username END AS username, "
+        "CASE WHEN seq % 167 <> 0 THEN id END AS payload_id FROM bad "
+        "UNION ALL SELECT '2024-01-31', 'unknown', 'envelope', 'malformed_envelope', NULL, NULL FROM broken",
+        ODD_LINES,
+    ),
+    "malformed_lines": query(
+        "SELECT '2024-01-31' AS event_date, 'unknown' AS batch_id, 'malformed_envelope' AS dq_reason, raw FROM broken",
+        ODD_LINES,
+    ),
+    "malformed_events": query(
+        "SELECT seq, 'schema' AS dq_stage, seq % 167 = 0 AS no_id FROM checked "
+        "WHERE schema_reason = 'unexpected_normalize_error'"
+    ),
+    "envelope_defaults": query(
+        "SELECT seq, batch_id, envelope_dt AS envelope_date FROM checked "
+        "WHERE schema_reason IS NULL AND rule_reason IS NULL AND (batch_id = 'unknown' OR envelope_dt = '2024-01-31')"
+    ),
+    "empty_batches": query(
+        "SELECT batch_id, event_date, CAST(0 AS BIGINT) AS received FROM empty "
+        "WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.batch_id = empty.batch_id)",
+        ODD_LINES,
+    ),
+    "ingest_repeated": query(f"SELECT * EXCLUDE (seq) {TEXT} FROM good"),
+    "null_filters": query(
+        f"SELECT event_id, {ts_text('event_ts')} AS event_ts FROM kept_latest",
+        f"""kept AS (SELECT * FROM good WHERE seq % 10 NOT IN (0, 1))""",
+        f"kept_latest AS ({latest('kept', _REST_WITH_SEQ)})",
+    ),
+    "run_batch_default": query(
+        "SELECT TRUE AS from_time, count(DISTINCT event_id) AS n, CAST(1 AS BIGINT) AS ids FROM good"
     ),
     "partition_pruned_scan": query(
         "SELECT strftime(event_date, '%Y-%m-%d') AS event_date, count(*) AS n FROM good "
@@ -329,6 +419,7 @@ FROM latest_narrow""",
         *SIDES,
     ),
     "incremental_two_runs": query(f"SELECT * {TEXT} FROM silver", *TWO_RUNS),
+    "late_rows_tolerated": query(f"SELECT * {TEXT} FROM silver", *LATE_RUNS),
     "stored_mark": query(
         f"SELECT {MARK_TEXT} AS last_processed_event_ts, {MARK_TEXT} AS parsed_back FROM good"
     ),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from tarnflow import schemas
 from tarnflow.functions import parsing
 from tarnflow.operators import features, incremental, quality, standardize
 from tarnflow.operators.upsert import upsert, upsert_parquet
-from tarnflow.plans.ingest import IngestRun, run_ingest
+from tarnflow.plans.ingest import IngestRun, run_ingest, run_ingest_stream
 from tarnflow.plans.silver import run_silver, silver_rows
 from tarnflow.sources import mark as marks
 from tarnflow.sources import raw
@@ -112,7 +114,8 @@ def ingest_job(spark: SparkSession, sf: str) -> DataFrame:
 
 def ingest_job_raw(spark: SparkSession, sf: str) -> DataFrame:
     _, lake = _ingest(spark, sf)
-    return as_text(spark.read.schema(schemas.RAW).parquet(raw.raw_path(lake)))
+    rows = spark.read.schema(schemas.RAW).parquet(raw.raw_path(lake))
+    return as_text(rows.select(*schemas.RAW.names))
 
 
 def ingest_job_quarantine(spark: SparkSession, sf: str) -> DataFrame:
@@ -130,6 +133,56 @@ def ingest_job_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _landed(spark: SparkSession, sf: str) -> str:
+    path = f"{fx.scratch(spark)}/landed"
+    fx.land_envelopes(spark, sf, path)
+    return path
+
+
+def malformed_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole lines that are not one envelope, in quarantine with their text."""
+    path = f"{fx.scratch(spark)}/lake"
+    run_ingest(spark, _landed(spark, sf), path, ingested_at=fx.AS_OF, as_of=fx.AS_OF)
+    bad = raw.read_quarantine(spark, raw.quarantine_path(path)).where("dq_stage = 'envelope'")
+    return as_text(bad.select("event_date", "batch_id", "dq_reason", "raw"))
+
+
+def malformed_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events that are no object, or whose attributes are none."""
+    found = fx.classified(spark, sf).where(F.col("dq_reason") == "unexpected_normalize_error")
+    return found.select("seq", "dq_stage", F.col("event_id").isNull().alias("no_id"))
+
+
+def envelope_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """Envelopes without a batch id or a date, valid events of theirs."""
+    filled = fx.classified(spark, sf).where(
+        "dq_reason IS NULL AND (batch_id = 'unknown' OR envelope_date = DATE '2024-01-31')"
+    )
+    return as_text(filled.select("seq", "batch_id", "envelope_date"))
+
+
+def empty_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches that came without events; lines that are no envelope are none of them."""
+    run = run_ingest(
+        spark, _landed(spark, sf), f"{fx.scratch(spark)}/lake", ingested_at=fx.AS_OF, as_of=fx.AS_OF
+    )
+    empty = run.summary.where("received = 0 AND bad_envelope = 0")
+    return as_text(empty.select("batch_id", "event_date", "received"))
+
+
+def ingest_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """Files that land in two parts, taken in three calls: each event is there once."""
+    landed, folder = f"{fx.scratch(spark)}/landed", fx.scratch(spark)
+    for part in ("seq % 3 = 0", "seq % 3 > 0", None):
+        if part:
+            fx.land_envelopes(spark, sf, landed, part)
+        run_ingest_stream(
+            spark, landed, f"{folder}/lake", f"{folder}/progress", ingested_at=fx.AS_OF, as_of=fx.AS_OF
+        )
+    rows = spark.read.schema(schemas.RAW).parquet(raw.raw_path(f"{folder}/lake"))
+    return as_text(rows.select(*schemas.RAW.names))
+
+
 # ---- incremental reads ----
 
 
@@ -202,6 +255,26 @@ def silver_counts(spark: SparkSession, sf: str) -> DataFrame:
     return count_by(silver, "geo_region", "device_family", "event_category")
 
 
+def null_filters(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows without a key or a time do not get into silver."""
+    rows = fx.raw_rows(spark, sf, "seq").withColumns(
+        {
+            "event_id": F.when(F.col("seq") % 10 != 0, F.col("event_id")),
+            "event_ts": F.when(F.col("seq") % 10 != 1, F.col("event_ts")),
+        }
+    )
+    return as_text(standardize.standardize(rows).select("event_id", "event_ts"))
+
+
+def run_batch_default(spark: SparkSession, sf: str) -> DataFrame:
+    """Without a batch id, rows get one id made from the current time."""
+    rows = silver_rows(fx.raw_rows(spark, sf).drop("batch_id"))
+    made = F.col("batch_id").rlike("^run_[0-9]{14}$")
+    return rows.groupBy(made.alias("from_time")).agg(
+        F.count("*").alias("n"), F.countDistinct("batch_id").alias("ids")
+    )
+
+
 def missing_column_defaults(spark: SparkSession, sf: str) -> DataFrame:
     lacking = fx.raw_rows(spark, sf).drop("device", "country", "event_type", "batch_id")
     return as_text(silver_rows(standardize.add_if_absent(lacking, "batch_id", "run_fixed")))
@@ -224,26 +297,37 @@ def _upsert_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return old.withColumn("note", F.lit("kept")), source
 
 
+def _held(spark: SparkSession):
+    """Written once, so that a query that looks at a side twice does not derive it twice."""
+
+    def hold(side: DataFrame) -> DataFrame:
+        path = f"{fx.scratch(spark)}/side"
+        side.write.parquet(path)
+        return spark.read.schema(side.schema).parquet(path)
+
+    return hold
+
+
 def upsert_rows(spark: SparkSession, sf: str) -> DataFrame:
-    target, source = _upsert_sides(spark, sf)
+    target, source = map(_held(spark), _upsert_sides(spark, sf))
     return as_text(upsert(target.drop("note"), source, check_unique=False))
 
 
 def upsert_target_only_columns(spark: SparkSession, sf: str) -> DataFrame:
-    target, source = _upsert_sides(spark, sf)
+    target, source = map(_held(spark), _upsert_sides(spark, sf))
     return upsert(target, source, check_unique=False).select("event_id", "os", "note")
 
 
 def upsert_older_rows_ignored(spark: SparkSession, sf: str) -> DataFrame:
     """The optional guard: old rows offered to a table that already holds newer ones."""
-    target, source = _upsert_sides(spark, sf)
+    target, source = map(_held(spark), _upsert_sides(spark, sf))
     return as_text(
         upsert(source, target.drop("note"), newer_than="event_ts", check_unique=False)
     )
 
 
 def upsert_parquet_table(spark: SparkSession, sf: str) -> DataFrame:
-    target, source = _upsert_sides(spark, sf)
+    target, source = map(_held(spark), _upsert_sides(spark, sf))
     path = f"{fx.scratch(spark)}/table"
     upsert_parquet(spark, path, target, check_unique=False)
     upsert_parquet(spark, path, source)
@@ -264,6 +348,19 @@ def incremental_two_runs(spark: SparkSession, sf: str) -> DataFrame:
     return as_text(spark.read.schema(schemas.SILVER).parquet(places[2]))
 
 
+def late_rows_tolerated(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that come after the mark has passed them by a week, read with a tolerance of ten days."""
+    folder = fx.scratch(spark)
+    places = (f"{folder}/raw", f"{folder}/mark.json", f"{folder}/silver")
+    rows = fx.raw_rows(spark, sf, "seq")
+    first = "event_ts <= TIMESTAMP '2024-01-15 00:00:00' AND NOT (seq % 11 = 0 AND event_ts > TIMESTAMP '2024-01-07 00:00:00')"
+    raw.write_raw(rows.where(first), places[0])
+    run_silver(spark, *places)
+    raw.write_raw(rows.where(f"NOT ({first})"), places[0])
+    run_silver(spark, *places, late_tolerance=timedelta(days=10), newer_than="event_ts")
+    return as_text(spark.read.schema(schemas.SILVER).parquet(places[2]))
+
+
 def stored_mark(spark: SparkSession, sf: str) -> DataFrame:
     """The mark document after a run over everything, read back."""
     folder = fx.scratch(spark)
@@ -299,6 +396,11 @@ QUERIES = {
         ingest_job,
         ingest_job_raw,
         ingest_job_quarantine,
+        malformed_lines,
+        malformed_events,
+        envelope_defaults,
+        empty_batches,
+        ingest_repeated,
         partition_pruned_scan,
         incremental_filter,
         next_watermark,
@@ -311,6 +413,8 @@ QUERIES = {
         event_category_counts,
         silver_features,
         silver_counts,
+        null_filters,
+        run_batch_default,
         missing_column_defaults,
         sample_rows,
         upsert_rows,
@@ -318,6 +422,7 @@ QUERIES = {
         upsert_older_rows_ignored,
         upsert_parquet_table,
         incremental_two_runs,
+        late_rows_tolerated,
         stored_mark,
         stream_available_now,
     )

@@ -15,21 +15,71 @@ ISO_TIMESTAMP = (
 ISO_DATE = r"^(?!0000)\d{4}-\d{2}-\d{2}\z"
 
 
+# Basic forms: no dashes, no colons, ISO weeks; any one character between date and time.
+_BASIC_DATE = r"^(\d{4})(\d{2})(\d{2})(?=\D|\z)"
+_WEEK_DATE = r"^(\d{4})(?:-W(\d{2})(?:-(\d))?|W(\d{2})(\d)?)(?=\D|\z)"
+_BASIC_SECONDS = r"^(.{11}\d{2})(\d{2})(\d{2})(?=[.,Z+-]|\z)"
+_BASIC_MINUTES = r"^(.{11}\d{2})(\d{2})(?=[Z+-]|\z)"
+
+
+def _week_day(text: Column) -> Column:
+    """The day an ISO week form begins with, as ``YYYY-MM-DD``; NULL when there is no such week."""
+
+    def part(*groups: int) -> Column:
+        return F.coalesce(*[F.nullif(F.regexp_extract(text, _WEEK_DATE, g), F.lit("")) for g in groups])
+
+    week, day = part(2, 4).try_cast("int"), F.coalesce(part(3, 5).try_cast("int"), F.lit(1))
+    first = F.date_trunc("week", F.concat(part(1), F.lit("-01-04")).try_cast("date")).cast("date")
+    found = F.date_add(first, (week - 1) * 7 + day - 1)
+    real = day.between(1, 7) & (F.weekofyear(F.date_add(first, (week - 1) * 7)) == week)
+    return F.when(real, F.date_format(found, "yyyy-MM-dd"))
+
+
+def _extended(text: Column) -> Column:
+    """Basic ISO forms rewritten to extended ones; other text comes back as it is."""
+    day = F.when(
+        text.rlike(_WEEK_DATE), F.concat(_week_day(text), F.regexp_replace(text, _WEEK_DATE, ""))
+    ).otherwise(F.regexp_replace(text, _BASIC_DATE, "$1-$2-$3"))
+    out = F.regexp_replace(day, r"^(.{10})[^T](?=\d)", "$1T")
+    out = F.regexp_replace(out, _BASIC_SECONDS, "$1:$2:$3")
+    return F.regexp_replace(out, _BASIC_MINUTES, "$1:$2")
+
+
+def _rewritten(text: Column, parse) -> Column:
+    """``parse`` of the extended form of odd text, which is worked out once and bound to a name."""
+    one = F.transform(F.array(F.when(_could_be_basic(text), text)), _extended)
+    return F.get(F.transform(one, parse), F.lit(0))
+
+
+def _could_be_basic(text: Column) -> Column:
+    """Whether text could be a basic or week form at all: a cheap test before any rewriting."""
+    return text.rlike(r"^\d{4}[-W]?[\dW]")
+
+
 def iso_timestamp(text: Column) -> Column:
-    """ISO text to TIMESTAMP; no offset means UTC (the session zone), bad text gives NULL."""
+    """ISO text to TIMESTAMP; no offset means UTC (the session zone), bad text gives NULL.
+
+    Extended forms, which nearly all texts have, are told by one pattern; only others are
+    rewritten from the basic and week forms first.
+    """
+    return F.when(text.rlike(ISO_TIMESTAMP), _extended_timestamp(text)).otherwise(
+        _rewritten(text, lambda t: F.when(t.rlike(ISO_TIMESTAMP), _extended_timestamp(t)))
+    )
+
+
+def _extended_timestamp(text: Column) -> Column:
     # Rarely needed: Spark wants a point before the fraction, and minutes and seconds before an offset.
     padded = F.translate(text, ",", ".")
     for width in (13, 16):
         padded = F.regexp_replace(padded, rf"^(.{{{width}}})(Z|[+-].*)$", "$1:00$2")
-    return F.when(
-        text.rlike(ISO_TIMESTAMP),
-        F.coalesce(F.try_to_timestamp(text), F.try_to_timestamp(padded)),
-    )
+    return F.coalesce(F.try_to_timestamp(text), F.try_to_timestamp(padded))
 
 
 def iso_date(text: Column) -> Column:
-    """``YYYY-MM-DD`` text to DATE, anything else gives NULL."""
-    return F.when(text.rlike(ISO_DATE), text.try_cast("date"))
+    """ISO text to DATE: ``YYYY-MM-DD``, without dashes, or by week; anything else gives NULL."""
+    return F.when(text.rlike(ISO_DATE), text.try_cast("date")).otherwise(
+        _rewritten(text, lambda t: F.when(t.rlike(ISO_DATE), t.try_cast("date")))
+    )
 
 
 def plain_text(ts: Column) -> Column:

@@ -64,16 +64,26 @@ def normalize_events(
     tested = typed.withColumns({name: _present(name) for name in _TESTED}).withColumn(
         "own_date", parsing.iso_date(F.col("dt"))
     )
+    # The verdict, key and time go through a one-element inline (no shuffle), as these get filtered
+    # on: a filter stays above. Pushed below, it would repeat the whole parse, once to filter, once
+    # to project. The other columns are projected above; those that nobody asks for are not built.
+    kept_above = F.struct(
+        _first_failure().alias("dq_reason"),
+        F.col("id").alias("event_id"),
+        F.col("event_ts").alias("_ts"),
+        F.col("own_date").alias("_own"),
+    )
+    judged = tested.select("*", F.inline_outer(F.array(kept_above)))
     landed_date = F.coalesce("landed_date", F.col("ingested_at").cast("date"))
-    judged = tested.select(
+    settled = judged.select(
         *keep,
-        F.col("id").alias("event_id"),
+        "event_id",
         "session_id",
         "username",
         "event_type",
         "platform",
-        "event_ts",
-        F.when(F.col("dt").isNull(), landed_date).otherwise(F.col("own_date")).alias("event_date"),
+        F.col("_ts").alias("event_ts"),
+        F.when(F.col("dt").isNull(), landed_date).otherwise(F.col("_own")).alias("event_date"),
         "batch_id",
         "ingested_at",
         "device",
@@ -87,15 +97,11 @@ def normalize_events(
         landed_date.alias("envelope_date"),
         "pos",
         F.coalesce("raw", "malformed").alias("raw"),
-        _first_failure().alias("dq_reason"),
+        "dq_reason",
     )
     stage = F.when(F.col("dq_reason") == fixed.MALFORMED_ENVELOPE, ENVELOPE_STAGE).when(
         F.col("dq_reason").isNotNull(), SCHEMA_STAGE
     )
-    # A one-element inline over the finished columns, no shuffle: a filter on the verdict stays
-    # above it. Pushed below, it would repeat the whole parse, once to filter, once to project.
-    done = [c for c in judged.columns if c not in keep]
-    settled = judged.select(*keep, F.inline_outer(F.array(F.struct(*done))))
     return settled.withColumn("dq_stage", stage)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnflow.functions import fixed_values as fixed
-from tarnflow.operators.normalize import SCHEMA_STAGE
+from tarnflow.operators.normalize import ENVELOPE_STAGE, SCHEMA_STAGE
 from tarnflow.sources.mark import mark_literal
 
 DQ_STAGE = "dq"
@@ -64,6 +64,9 @@ def reason_histogram(classified: DataFrame) -> DataFrame:
 def batch_summary(classified: DataFrame) -> DataFrame:
     """Accounting per batch and envelope date; an empty batch is listed with zero received.
 
+    Lines that are no envelope belong to no batch: they are counted as ``bad_envelope`` under the
+    unknown batch of the day they came in, never as events.
+
     One hash aggregate with map-side partial sums: a batch that holds a third of all rows reaches
     the reducer as one row per task. The reason map needs no second pass, as the reasons are a
     fixed list; it holds the data-quality stage only and leaves out reasons that did not occur.
@@ -86,6 +89,7 @@ def batch_summary(classified: DataFrame) -> DataFrame:
         F.count_if(is_event & F.col("dq_reason").isNull()).alias("good"),
         F.count_if(at_stage == SCHEMA_STAGE).alias("bad_schema"),
         F.count_if(at_stage == DQ_STAGE).alias("bad_dq"),
+        F.count_if(at_stage == ENVELOPE_STAGE).alias("bad_envelope"),
         reasons.alias("dq_reasons"),
     )
 
@@ -95,4 +99,5 @@ def ingest_totals(summary: DataFrame) -> DataFrame:
     return summary.agg(
         F.coalesce(F.sum("good"), F.lit(0)).alias("total_good"),
         F.coalesce(F.sum(F.col("bad_schema") + F.col("bad_dq")), F.lit(0)).alias("total_bad"),
+        F.coalesce(F.sum("bad_envelope"), F.lit(0)).alias("total_bad_envelope"),
     )

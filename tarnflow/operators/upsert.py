@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from contextlib import nullcontext
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +14,10 @@ from tarnflow.sources import names, storage
 from tarnflow.sources.names import quote
 
 
+#: Below the table: commits on their way, and the file that makes one final.
+COMMITS, RECORD = "_commits", "READY.json"
+
+
 def assert_unique(source: DataFrame, key: str) -> None:
     """A source that names a key twice has no defined result. NULL keys never match and may repeat."""
     repeated = (
@@ -81,9 +87,7 @@ def upsert(
             for f in target.schema
         ]
     )
-    # Distinct first: partial aggregation folds a repeated target key before the shuffle.
-    known = target.select(quote(key)).distinct()
-    inserted = _shape(source.join(known, key, "left_anti"), target.schema)
+    inserted = _shape(source.join(target.select(quote(key)), key, "left_anti"), target.schema)
     return updated.unionAll(inserted)
 
 
@@ -120,6 +124,7 @@ def upsert_parquet(
     """
     if not isinstance(source.schema[partition].dataType, (T.DateType, T.IntegralType)):
         raise ValueError(f"partition column {partition!r} must be a date or an integer")
+    recover(spark, path)
     target = storage.read_parquet_if_exists(spark, path)
     if target is None:
         if key not in source.columns:
@@ -130,7 +135,7 @@ def upsert_parquet(
         return
 
     _check_columns(target.schema, source.schema, key)
-    hold = nullcontext(source) if source_is_staged else storage.staged(spark, source, path)
+    hold = nullcontext(source) if source_is_staged else storage.staged(spark, source)
     with hold as increment:
         if check_unique:
             assert_unique(increment, key)
@@ -149,7 +154,7 @@ def _merge_partitions(
     target_only = [c for c in target.columns if c not in source.columns]
     carried = [key, partition, *([newer_than] if newer_than else []), *target_only]
     lookup = matching_rows(target.select(*map(quote, dict.fromkeys(carried))), source, key)
-    with storage.staged(spark, lookup, path) as matched:
+    with storage.staged(spark, lookup) as matched:
         winners = source
         if newer_than:
             held = matched.groupBy(quote(key)).agg(F.max(quote(newer_than)).alias("_held"))
@@ -181,12 +186,41 @@ def _merge_partitions(
                 winners.select(quote(key)), key, "left_anti"
             )
             merged = kept.select(*map(quote, target.columns)).unionAll(incoming.where(rewritten))
-            _write(merged, path, partition, "overwrite")
-        # Dynamic overwrite replaces partitions that get rows; one that lost all its rows to
-        # another partition has to go explicitly.
-        for value in emptied:
-            folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-            storage.delete_path(spark, f"{path.rstrip('/')}/{partition}={folder}")
+            _commit(spark, merged, path, partition, emptied)
+
+
+def _commit(spark: SparkSession, merged: DataFrame, path: str, partition: str, emptied: list) -> None:
+    """Replace the partitions of ``merged``, and drop the emptied ones, so that a crash loses nothing.
+
+    The new partitions are written beside the table, under a name readers ignore. The record that
+    follows makes the commit: from then on it can be carried out again and again until it is done.
+    """
+    commit = f"{path.rstrip('/')}/{COMMITS}/{uuid.uuid4().hex}"
+    _write(merged, commit, partition, "append")
+    gone = ["__HIVE_DEFAULT_PARTITION__" if v is None else str(v) for v in emptied]
+    storage.replace_text(spark, f"{commit}/{RECORD}", json.dumps([f"{partition}={v}" for v in gone]))
+    recover(spark, path)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Carry out commits that are recorded and not finished; clear away those never recorded.
+
+    Per partition: the old folder goes, the new one takes its name. A new folder that is no longer
+    there has taken it already. Runs at the start of every upsert; a reader that comes after a
+    crash and before the next upsert calls it itself.
+    """
+    table = path.rstrip("/")
+    for commit in storage.child_folders(spark, f"{table}/{COMMITS}"):
+        record = f"{commit}/{RECORD}"
+        if storage.path_exists(spark, record):
+            for folder in storage.child_folders(spark, commit):
+                name = folder.rsplit("/", 1)[-1]
+                if "=" in name:
+                    storage.delete_path(spark, f"{table}/{name}")
+                    storage.rename_path(spark, folder, f"{table}/{name}")
+            for name in json.loads(spark.read.text(record, wholetext=True).first()[0]):
+                storage.delete_path(spark, f"{table}/{name}")
+        storage.delete_path(spark, commit)
 
 
 def matching_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:

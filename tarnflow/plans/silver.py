@@ -65,7 +65,7 @@ def run_silver(
     mark = marks.read_mark(spark, mark_path, strict_mark)
 
     # One DataFrame, one file listing: statistics, mark and merge all see the same files.
-    scanned = read_raw_events(spark, raw_path, mark, lookback_days)
+    scanned = read_raw_events(spark, raw_path, mark, lookback_days, late_tolerance)
     scanned = ensure_date(ensure_timestamp(scanned, "event_ts"), "event_date")
     stats = _measure(scanned, mark, late_tolerance, cap_mark_at)
     sample: list[Row] = []
@@ -77,7 +77,7 @@ def run_silver(
             loaded = storage.read_parquet_if_exists(spark, silver_path)
             sample = sample_rows(loaded).collect() if loaded else []
         else:
-            with storage.staged(spark, rows, silver_path or raw_path) as increment:
+            with storage.staged(spark, rows) as increment:
                 merge_increment(spark, increment, silver_path, table, newer_than)
                 sample = sample_rows(increment).collect()
         if stats["mark"]:

@@ -28,27 +28,45 @@ def read_parquet_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def scratch_root(spark: SparkSession, near: str) -> str:
-    """Shared folder for intermediate tables.
+def scratch_root(spark: SparkSession) -> str:
+    """Shared folder for intermediate tables, outside every table.
 
-    The folder the cluster names in ``spark.checkpoint.dir``; without one, a folder beside
-    ``near``, which is on storage that every executor reaches because the table is there too.
+    The folder the cluster names in ``spark.checkpoint.dir``; without one, a folder in the
+    warehouse, which every executor reaches too. Its name starts with ``_``, so that nobody takes
+    it for a table.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return f"{configured.rstrip('/')}/tarnflow"
-    return f"{near.rstrip('/')}__scratch"
+    root = configured or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/_tarnflow"
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders right below ``path``, without a look into them; none if it is not there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not file_system.exists(hadoop_path):
+        return []
+    found = [s.getPath() for s in file_system.listStatus(hadoop_path) if s.isDirectory()]
+    return sorted(f"{path.rstrip('/')}/{p.getName()}" for p in found)
+
+
+def rename_path(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder; the target must not be there."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    file_system = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not file_system.rename(hadoop.Path(path), hadoop.Path(to)):
+        raise OSError(f"cannot rename {path} to {to}")
 
 
 @contextmanager
-def staged(spark: SparkSession, df: DataFrame, near: str) -> Iterator[DataFrame]:
+def staged(spark: SparkSession, df: DataFrame) -> Iterator[DataFrame]:
     """``df`` written once to a scratch table and read back.
 
     This cuts the lineage on shared storage, so a lost executor costs a re-read and not a re-run
     of the shuffles behind ``df``; it gives later steps column pruning and a true size, on which
     the choice of a broadcast join rests. The table is deleted on the way out.
     """
-    path = f"{scratch_root(spark, near)}/{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{uuid.uuid4().hex}"
     try:
         df.write.mode("errorifexists").parquet(path)
         yield spark.read.schema(df.schema).parquet(path)

@@ -33,7 +33,7 @@ def run_silver_stream(
 
     def merge_batch(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        with storage.staged(session, silver_rows(batch), silver_path or raw_path) as increment:
+        with storage.staged(session, silver_rows(batch)) as increment:
             if not increment.isEmpty():
                 merge_increment(session, increment, silver_path, table, newer_than)
 

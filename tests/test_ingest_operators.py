@@ -178,8 +178,8 @@ def test_envelope_defaults_and_accounting(spark, folder):
 
 
 def test_totals_of_nothing(spark):
-    empty = spark.createDataFrame([], "good bigint, bad_schema bigint, bad_dq bigint")
-    assert tuple(quality.ingest_totals(empty).first()) == (0, 0)
+    empty = spark.createDataFrame([], "good bigint, bad_schema bigint, bad_dq bigint, bad_envelope bigint")
+    assert tuple(quality.ingest_totals(empty).first()) == (0, 0, 0)
 
 
 def test_concat_bad_keeps_duplicates_and_fills_columns(spark):
@@ -204,4 +204,5 @@ def test_parse_happens_once(spark, folder):
 
     path = land(folder, {"events": [GOOD]})
     plan = plan_of(quality.good_rows(classify(read_envelopes(spark, path), AS_OF, AS_OF)))
-    assert plan.count("from_json") == 1 and "Exchange" not in plan
+    # Line, list of documents, envelope, event: one parse each.
+    assert plan.count("from_json") == 4 and "Exchange" not in plan

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from tarnflow import schemas
 from tarnflow.plans import silver as silver_plan
-from tarnflow.plans.ingest import run_ingest
+from tarnflow.plans.ingest import run_ingest, run_ingest_stream
 from tarnflow.plans.silver import run_silver
 from tarnflow.sources import mark as marks
-from tarnflow.sources import raw
+from tarnflow.sources import raw, storage
 from tarnflow.streaming.silver_stream import run_silver_stream
 from tests.test_ingest_operators import AS_OF, GOOD, change, land
 from tests.test_sources import raw_df
@@ -49,11 +49,11 @@ def test_ingest_writes_both_tables_in_one_pass(spark, folder):
     )
     run = run_ingest(spark, f"{folder}/in", f"{folder}/lake", ingested_at=AS_OF, as_of=AS_OF)
     assert (run.received, run.total_good, run.total_bad) == (5, 2, 3)
-    assert sorted(os.listdir(f"{folder}/lake/feed=session_events")) == ["event_date=2024-01-04", "event_date=2024-01-05"]
+    # Filed under the envelope's date, also the event with an older date of its own.
+    assert os.listdir(f"{folder}/lake/feed=session_events") == ["event_date=2024-01-05"]
     good = raw.read_raw_events(spark, raw.raw_path(f"{folder}/lake"), marks.EPOCH)
     assert good.columns and set(good.columns) == set(schemas.RAW.names)
     assert {(str(r.event_date), r.event_ts.microsecond, r.ingested_at is None) for r in good.collect()} == {
-        ("2024-01-04", 123000, False),
         ("2024-01-05", 123000, False),
     }
     bad = raw.read_quarantine(spark, raw.quarantine_path(f"{folder}/lake")).collect()
@@ -72,6 +72,81 @@ def test_ingest_writes_both_tables_in_one_pass(spark, folder):
     assert good.sparkSession.read.parquet(raw.raw_path(f"{folder}/lake")).count() == 4  # appended
 
 
+def test_a_repeated_run_id_replaces_its_rows(spark, folder):
+    land(f"{folder}/in", {"dt": "2024-01-05", "batch_id": "b1", "events": [GOOD, change(id="")]})
+    for _ in range(2):
+        run = run_ingest(spark, f"{folder}/in", f"{folder}/lake", as_of=AS_OF, run_id="r1")
+    assert spark.read.parquet(raw.raw_path(f"{folder}/lake")).count() == 1
+    assert raw.read_quarantine(spark, raw.quarantine_path(f"{folder}/lake")).count() == 1
+    assert run.summary.select("received", "good", "bad_schema").collect() == [(2, 1, 1)]
+
+
+def test_nothing_that_landed_vanishes(spark, folder):
+    """Cut-off, doubled and trailed documents are kept whole and counted, apart from events."""
+    envelope = json.dumps({"dt": "2024-01-05", "batch_id": "b1", "events": [GOOD]})
+    odd = [envelope + envelope, envelope + " tail", envelope[:-3], "7", envelope + "," + envelope, envelope + "] x", envelope + "} x"]
+    land(f"{folder}/in", envelope, *odd, "", "[" + envelope + "," + envelope + "]")
+    run = run_ingest(spark, f"{folder}/in", f"{folder}/lake", ingested_at=AS_OF, as_of=AS_OF)
+    assert (run.received, run.total_good, run.total_bad, run.bad_envelopes) == (3, 3, 0, len(odd))
+    kept = raw.read_quarantine(spark, raw.quarantine_path(f"{folder}/lake")).collect()
+    assert sorted(r.raw for r in kept) == sorted(odd)
+    assert {(r.dq_stage, r.dq_reason) for r in kept} == {("envelope", "malformed_envelope")}
+    summary = {r.batch_id: (r.received, r.good, r.bad_envelope) for r in run.summary.collect()}
+    assert summary == {"b1": (3, 3, 0), "unknown": (0, 0, len(odd))}
+
+
+def test_spread_does_not_multiply_files(spark, folder):
+    envelopes = [
+        {"dt": f"2024-01-{d:02}", "batch_id": f"b{d}", "events": [change(dt=f"2024-01-{d:02}")] * 50} for d in range(1, 21)
+    ]
+    land(f"{folder}/in", *envelopes)
+    files = []
+    for spread in (None, 16):
+        root = f"{folder}/lake{spread}"
+        run_ingest(spark, f"{folder}/in", root, as_of=AS_OF, spread=spread)
+        files.append(sum(f.endswith(".parquet") for _, _, names in os.walk(root) for f in names))
+    assert files[0] <= 25 and files[1] <= 25
+
+
+def test_streamed_ingest_takes_each_file_once(spark, folder):
+    places = (f"{folder}/in", f"{folder}/lake", f"{folder}/progress")
+    land(places[0], {"dt": "2024-01-05", "batch_id": "b1", "events": [GOOD]})
+    run_ingest_stream(spark, *places, as_of=AS_OF)
+    run_ingest_stream(spark, *places, as_of=AS_OF)
+    os.rename(f"{places[0]}/landed.json", f"{folder}/old.json")
+    land(places[0] + "/more", {"dt": "2024-01-05", "batch_id": "b2", "events": [change(id="e2")]})
+    os.rename(f"{places[0]}/more/landed.json", f"{places[0]}/second.json")
+    run_ingest_stream(spark, *places, as_of=AS_OF)
+    assert {r.event_id for r in spark.read.parquet(raw.raw_path(places[1])).collect()} == {"e1", "e2"}
+
+
+def test_event_with_an_old_date_of_its_own_reaches_silver(spark, folder):
+    lake, mark = f"{folder}/lake", f"{folder}/mark.json"
+    marks.write_mark(spark, mark, "2024-01-19T10:00:00Z")
+    event = change(event_timestamp="2024-01-20T09:00:00Z", dt="2024-01-01")
+    land(f"{folder}/in", {"dt": "2024-01-20", "batch_id": "b", "events": [event]})
+    run_ingest(spark, f"{folder}/in", lake, as_of=AS_OF)
+    run_silver(spark, raw.raw_path(lake), mark, f"{folder}/silver")
+    rows = spark.read.parquet(f"{folder}/silver").collect()
+    assert [(r.event_id, str(r.event_date)) for r in rows] == [("e1", "2024-01-20")]
+
+
+def test_late_tolerance_reaches_behind_the_lookback(lake):
+    lake.add(("a", "2024-01-20", "b1"))
+    lake.run()
+    lake.add(("late", "2024-01-13", "b2"))
+    assert lake.run(late_tolerance=timedelta(days=10), lookback_days=3).rows_new == 2
+    assert {r[0] for r in lake.rows()} == {"a", "late"}
+
+
+def test_scratch_does_not_disturb_a_reader_of_the_root(spark, folder):
+    land(f"{folder}/in", {"dt": "2024-01-05", "batch_id": "b1", "events": [GOOD]})
+    run = run_ingest(spark, f"{folder}/in", f"{folder}/lake", as_of=AS_OF)
+    with storage.staged(spark, spark.range(3)):
+        assert run.summary.count() == 1
+        assert spark.read.parquet(f"{folder}/lake").count() == 1
+
+
 def test_ingest_of_a_hot_batch(spark, folder):
     """One batch id in many envelopes holds most rows; nothing is lost or merged."""
     envelopes = [{"dt": "2024-01-05", "batch_id": "hot", "events": [GOOD] * 40} for _ in range(50)]

@@ -1,5 +1,5 @@
 import random
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,7 +42,7 @@ def test_iso_timestamp_accepts(spark):
 
 @pytest.mark.parametrize(
     "text",
-    ["2025", "10:15", "20250101", "", "not-a-ts", "2025-02-30", "2025-01-01T25:00:00Z",
+    ["2025", "10:15", "2025011", "2025-W54", "2025W538", "20250101T1", "", "not-a-ts", "2025-02-30", "2025-01-01T25:00:00Z",
      " 2025-01-01T10:15:30Z", "2025-01-01T10:15:30Z\n", "2025-1-1", "0000-01-01", "now", None],
 )
 def test_iso_timestamp_refuses(spark, text):
@@ -71,13 +71,43 @@ def test_iso_timestamp_like_python(spark):
 
 def test_iso_date(spark):
     df = spark.createDataFrame(
-        [("2025-01-31",), ("2025-02-30",), ("bad-date",), ("20250131",), ("2025-01-31T00:00:00",), ("",), (None,)],
+        [("2025-01-31",), ("2025-02-30",), ("bad-date",), ("202501",), ("2025-01-31T00:00:00",), ("",), (None,)],
         "t string",
     )
     got = [str(r[0]) for r in df.select(parsing.iso_date(F.col("t"))).collect()]
     assert got == ["2025-01-31"] + ["None"] * 6
 
 
+BASIC = [
+    "20240119", "20240229", "20230229", "20241301", "2024-W03", "2024-W03-5", "2024W03", "2024W035", "2020-W53-7",
+    "2021-W53-1", "2024-W00-1", "2024-W03-8", "2024-W03-0", "2024W03-5", "2024-W035", "2026-W01-1", "2024-0119", "202401-19",
+]
+TIMES = ["T10", "T1000", "T100000", "T100000.5", "T100000,123456", "T10:00:00", "T100000Z", "T1000+0530", "T10-03", " 100000", "x10:00"]
+
+
+def python_value(kind, text):
+    try:
+        return kind.fromisoformat(text)
+    except ValueError:
+        return None
+
+
+def test_basic_and_week_dates_like_python(spark):
+    df = spark.createDataFrame([(t,) for t in BASIC], "t string")
+    got = {r.t: r.d for r in df.select("t", parsing.iso_date(F.col("t")).alias("d")).collect()}
+    assert got == {t: python_value(date, t) for t in BASIC}
+
+
+def test_basic_timestamps_like_python(spark):
+    texts = [d + t for d in [*BASIC, "2024-01-19"] for t in ["", *TIMES]]
+    want = []
+    for text in texts:
+        value = python_value(datetime, text)
+        want.append(None if value is None else micros(value.isoformat()))
+    got = parse_all(spark, texts)
+    assert [(t, g) for t, g in zip(texts, got)] == list(zip(texts, want))
+
+
 def test_iso_utc_text_drops_zero_fraction(spark):
     df = spark.sql(
         "SELECT * FROM VALUES (1, timestamp'2025-01-01 10:15:30'), (2, timestamp'2025-01-01 10:15:30.123'),"

@@ -30,11 +30,22 @@ def test_raw_round_trip_layout_and_precision(spark, folder):
     df = raw_df(spark, [("a", "2024-01-14 01:02:03.123987", "123e4"), ("b", "2024-01-15 00:00:00", "b1")])
     raw.write_raw(df, folder)
     raw.write_raw(df.where("event_id = 'b'"), folder)  # append
-    assert os.path.isdir(f"{folder}/event_date=2024-01-14/batch_id=123e4")
+    assert sorted(d for d in os.listdir(folder) if "=" in d) == ["event_date=2024-01-14", "event_date=2024-01-15"]
     rows = raw.read_raw_events(spark, folder, MARK).orderBy("event_id").collect()
     assert [(r.event_id, r.batch_id) for r in rows] == [("a", "123e4"), ("b", "b1"), ("b", "b1")]
     assert rows[0].event_ts.microsecond == 123000
-    assert any(f.endswith(".snappy.parquet") for f in os.listdir(f"{folder}/event_date=2024-01-15/batch_id=b1"))
+    assert any(f.endswith(".snappy.parquet") for f in os.listdir(f"{folder}/event_date=2024-01-15"))
+
+
+def test_old_date_folders_are_not_listed(spark, folder):
+    days = [f"2024-01-{d:02}" for d in range(1, 21)]
+    raw.write_raw(raw_df(spark, [(d, d, f"b{d}") for d in days]), folder)
+    os.mkdir(f"{folder}/event_date=2024-01-02/event_date=2024-01-03")  # would break a listing
+    os.mkdir(f"{folder}/event_date=2024-01-02/other=1")
+    scan = raw.read_raw_events(spark, folder, MARK, lookback_days=3)
+    assert {r.event_id for r in scan.collect()} == set(days[11:])
+    assert raw.read_raw_events(spark, f"{folder}/none", MARK).count() == 0
+    assert raw.read_raw_events(spark, folder, MARK + timedelta(days=60)).count() == 0
 
 
 def test_nothing_written_without_rows(spark, folder):
@@ -105,8 +116,8 @@ def test_mark_micros_round_trip():
 
 
 def test_scan_start_before_the_epoch():
-    assert str(raw.scan_start(marks.EPOCH, 3)) == "1969-12-29"
-    assert str(raw.scan_start(MARK + timedelta(hours=23), 0)) == "2024-01-15"
+    assert str(raw.scan_start(marks.EPOCH)) == "1969-12-29"
+    assert str(raw.scan_start(MARK + timedelta(hours=23), timedelta(0))) == "2024-01-15"
 
 
 def test_names():
@@ -130,7 +141,7 @@ def test_resolve_by_existence(spark):
 
 def test_staged_table_is_read_back_and_removed(spark, folder):
     df = spark.range(10).withColumn("part", F.col("id") % 2)
-    with storage.staged(spark, df, folder) as table:
+    with storage.staged(spark, df) as table:
         path = table.inputFiles()[0].removeprefix("file:").removeprefix("//").rsplit("/", 1)[0]
         assert table.count() == 10 and table.dtypes == df.dtypes and os.path.isdir(path)
     assert not os.path.exists(path)
@@ -138,8 +149,10 @@ def test_staged_table_is_read_back_and_removed(spark, folder):
 
 @pytest.mark.parametrize(
     "configured, expected",
-    [(None, "/lake/silver__scratch"), ("s3a://shared/ck/", "s3a://shared/ck/tarnflow")],
+    [(None, "/house/_tarnflow"), ("s3a://shared/ck/", "s3a://shared/ck/_tarnflow")],
 )
 def test_scratch_follows_the_session(configured, expected):
-    session = SimpleNamespace(conf={"spark.checkpoint.dir": configured} if configured else {})
-    assert storage.scratch_root(session, "/lake/silver/") == expected
+    session = SimpleNamespace(
+        conf={"spark.sql.warehouse.dir": "/house"} | ({"spark.checkpoint.dir": configured} if configured else {})
+    )
+    assert storage.scratch_root(session) == expected
