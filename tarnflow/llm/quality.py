@@ -36,6 +36,7 @@ from tarnflow.llm.text_arrays import column_bytes, shingles, words
 SAMPLE = 20_000
 THRESHOLD = 0.3
 MEASURES = 24
+BATCH = 1024
 
 _UPPER, _LOWER, _DIGIT, _SPACE, _WORDY = (np.zeros(256, bool) for _ in range(5))
 _UPPER[65:91] = _LOWER[97:123] = _DIGIT[48:58] = True
@@ -147,7 +148,7 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: i
         zp, zu = (np.clip((a - mean) / scale, -8, 8) for a in (positive, unlabelled))
         m, v = [np.zeros_like(x) for x in p], [np.zeros_like(x) for x in p]
         for t in range(1, steps + 1):
-            a, b = zp[rng.integers(0, len(zp), 512)], zu[rng.integers(0, len(zu), 512)]
+            a, b = zp[rng.integers(0, len(zp), BATCH)], zu[rng.integers(0, len(zu), BATCH)]
             z = np.vstack([a, b])
             h = np.tanh(z @ p[0] + p[1])
             g = h @ p[2] + p[3]
