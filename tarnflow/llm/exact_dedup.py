@@ -79,9 +79,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.lit(True).alias("__kept"),
     )
     maybe = rows.where("__maybe")
-    groups = maybe.groupBy("__key").agg(
-        F.count("*").alias("__size"),
-        F.min(F.struct(-F.col("__chars"), F.col("__id").isNull(), F.col("__id").alias("id"))).alias("__best"),
+    # Written, so that the join sees a plain table and Spark can split a large group of copies.
+    groups = stage(
+        maybe.groupBy("__key").agg(
+            F.count("*").alias("__size"),
+            F.min(F.struct(-F.col("__chars"), F.col("__id").isNull(), F.col("__id").alias("id"))).alias("__best"),
+        ),
+        "groups",
     )
     # Rows that agree in id and text: number them, so that just one stays. Dealt by key and id,
     # so a large group of copies is spread.
