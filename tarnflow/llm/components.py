@@ -27,12 +27,13 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     edges = stage(edges.where("u <> v").distinct(), "edges")
     for _ in range(rounds):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # Written, so that the joins see plain tables and Spark can split a hub's neighbours.
+        least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         # Large star: every larger neighbour hangs on the smallest neighbour.
         large = _star(both, least).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         # Small star: what hangs on a node hangs on the smallest of these.
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = stage(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = _star(large, low).select(
             F.explode(
                 F.array(

@@ -321,9 +321,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     points = stage(docs.mapInArrow(_points, "id long, n long, k1 long, k2 long, vec binary"), "points")
     known = points.where("n > 0 AND id IS NOT NULL")
-    copies = known.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep"), F.count("*").alias("c"))
+    # Written, so that the join sees a plain table and Spark can split a large group of copies.
+    groups = stage(
+        known.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep"), F.count("*").alias("c")).where("c > 1"),
+        "groups",
+    )
     copies = stage(
-        known.join(copies.where("c > 1"), ["k1", "k2", "n"]).where("id <> rep")
+        known.select("id", "k1", "k2", "n").join(groups, ["k1", "k2", "n"]).where("id <> rep")
         .select(F.col("rep").alias("u"), F.col("id").alias("v")).distinct(),
         "copies",
     )
