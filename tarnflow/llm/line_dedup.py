@@ -48,9 +48,11 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """``(id, row, starts)``: for each text that loses lines, the sorted starts of later windows."""
     found = stage(windows(docs, id_col, text_col).distinct(), "windows")
     place = F.struct(F.col("id").isNull(), F.col("id"), F.col("row"), F.col("at"))
-    repeated = (
+    # Written, so that the join sees a plain table and Spark can split a frequent window.
+    repeated = stage(
         found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first"))
-        .where("n > 1").select("h1", "h2", "first")
+        .where("n > 1").select("h1", "h2", "first"),
+        "repeated",
     )
     later = found.join(repeated, ["h1", "h2"]).where(place != F.col("first"))
     return later.groupBy("id", "row").agg(F.sort_array(F.collect_list("at")).alias("starts"))

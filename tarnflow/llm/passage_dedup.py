@@ -207,7 +207,8 @@ def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kept = (
         classed.groupBy("class").agg(F.min("first").alias("kept"), F.sum("c").alias("total")).where("total > 1")
     )
-    repeated = classed.join(kept, "class").select("key", "kept")
+    # Written, so that the join sees a plain table and Spark can split a frequent paragraph.
+    repeated = stage(classed.join(kept, "class").select("key", "kept"), "repeated")
     later = units.join(repeated, "key").where(place != F.col("kept")).distinct()
 
     order = W.partitionBy("id").orderBy("place")

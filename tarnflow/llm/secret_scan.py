@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnflow.llm.common import scratch_path
+from tarnflow.llm.common import scratch_path, stage
 
 # The base rules of the contract.
 ASSIGN = (
@@ -148,9 +148,11 @@ def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES,
     )
     # Blobs without findings are entered too: the ledger must know that they were seen.
     fresh.write.mode("append").parquet(ledger)
-    seen = (
+    # Written, so that the join sees a plain table and Spark can split a blob with many paths.
+    seen = stage(
         _ledger(ledger, spark).where((F.col("rule_version") == rule_version) & (F.size("spans") > 0))
-        .dropDuplicates(["blob"]).select("blob", "spans")
+        .dropDuplicates(["blob"]).select("blob", "spans"),
+        "findings",
     )
     return blobs.select("__id", "blob").join(seen, "blob", "left").select(
         F.col("__id").alias(id_col),
@@ -186,9 +188,10 @@ def redact_secrets(docs: DataFrame, ledger: str | None = None, id_col: str = "do
     """``docs`` with the findings of the scan masked in the texts; no row is dropped."""
     ledger = ledger or scratch_path(docs.sparkSession, "ledger")
     columns = docs.columns
-    found = (
+    found = stage(
         scan(docs, ledger, id_col=id_col, text_col=text_col).where(F.size("spans") > 0)
-        .select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")).dropDuplicates(["__blob"])
+        .select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")).dropDuplicates(["__blob"]),
+        "to-mask",
     )
     keyed = docs.withColumn("__key", F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
     joined = keyed.join(found, F.col("__key") == F.col("__blob"), "left")
