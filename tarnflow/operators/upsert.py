@@ -16,6 +16,9 @@ from tarnflow.sources.names import quote
 
 #: Below the table: commits on their way, and the file that makes one final.
 COMMITS, RECORD = "_commits", "READY.json"
+#: The partition column of a bucketed table, and the file that holds the number of buckets.
+BUCKET, BUCKETS = "key_bucket", "_layout/buckets.txt"
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def assert_unique(source: DataFrame, key: str) -> None:
@@ -112,12 +115,18 @@ def upsert_parquet(
     newer_than: str | None = None,
     source_is_staged: bool = False,
     check_unique: bool = True,
+    buckets: int | None = None,
 ) -> None:
     """Upsert into a Parquet table partitioned by a date (or integer) column.
 
     Only partitions that hold a key of the source are rewritten; they are found by a semi join over
     the key column alone, and nothing else of the table is read. Rows for other partitions are
-    appended, so an increment of new keys rewrites nothing. Keys of the table are taken to be
+    appended, so an increment of new keys rewrites nothing.
+
+    ``buckets``, given when the table is made, adds a folder level below the date by hash of the key
+    (column ``key_bucket``): lookup and rewrite then touch only buckets that the increment holds. The
+    number is kept beside the data and used from then on.
+ Keys of the table are taken to be
     unique; should an interrupted commit have left two copies of a key, running the same increment
     again folds them into one. One writer at a time. The source is written to a scratch table
     first unless it already is one.
@@ -131,15 +140,44 @@ def upsert_parquet(
             raise ValueError(f"merge key {key!r} is not in the source columns {source.columns}")
         if check_unique:
             assert_unique(source, key)
-        _write(source, path, partition, "append")
+        if buckets:
+            storage.replace_text(spark, f"{path.rstrip('/')}/{BUCKETS}", str(buckets))
+        _write(_bucketed(source, key, buckets), path, _levels(partition, buckets), "append")
         return
 
+    buckets = _bucket_count(spark, path)
+    source = _bucketed(source, key, buckets)
     _check_columns(target.schema, source.schema, key)
     hold = nullcontext(source) if source_is_staged else storage.staged(spark, source)
     with hold as increment:
         if check_unique:
             assert_unique(increment, key)
-        _merge_partitions(spark, path, target, increment, key, partition, newer_than)
+        _merge_partitions(spark, path, target, increment, key, _levels(partition, buckets), newer_than)
+
+
+def _bucketed(rows: DataFrame, key: str, buckets: int | None) -> DataFrame:
+    if not buckets:
+        return rows
+    return rows.withColumn(BUCKET, F.pmod(F.xxhash64(quote(key)), F.lit(buckets)).cast("int"))
+
+
+def _levels(partition: str, buckets: int | None) -> list[str]:
+    return [partition, BUCKET] if buckets else [partition]
+
+
+def _bucket_count(spark: SparkSession, path: str) -> int | None:
+    """The number of buckets a table was made with, None for one without."""
+    note = f"{path.rstrip('/')}/{BUCKETS}"
+    return int(spark.read.text(note).first()[0]) if storage.path_exists(spark, note) else None
+
+
+def _folder(levels: list[str]) -> Column:
+    """The folder of a row, as Spark names it. Made of partition columns, so it prunes folders."""
+    parts = [
+        F.concat(F.lit(f"{c}="), F.coalesce(F.col(quote(c)).cast("string"), F.lit(NULL_FOLDER)))
+        for c in levels
+    ]
+    return F.concat_ws("/", *parts)
 
 
 def _merge_partitions(
@@ -148,12 +186,16 @@ def _merge_partitions(
     target: DataFrame,
     source: DataFrame,
     key: str,
-    partition: str,
+    levels: list[str],
     newer_than: str | None,
 ) -> None:
     target_only = [c for c in target.columns if c not in source.columns]
-    carried = [key, partition, *([newer_than] if newer_than else []), *target_only]
-    lookup = matching_rows(target.select(*map(quote, dict.fromkeys(carried))), source, key)
+    carried = [key, *levels, *([newer_than] if newer_than else []), *target_only]
+    looked_at = target
+    if BUCKET in levels:
+        held = [row[0] for row in source.select(BUCKET).distinct().collect()]  # at most all buckets
+        looked_at = target.where(F.col(BUCKET).isin(held))
+    lookup = matching_rows(looked_at.select(*map(quote, dict.fromkeys(carried))), source, key)
     with storage.staged(spark, lookup) as matched:
         winners = source
         if newer_than:
@@ -164,41 +206,41 @@ def _merge_partitions(
                 .drop("_held")
             )
         leaving_rows = matched.join(winners.select(quote(key)), key, "left_semi")
-        # One row per partition value, however large the table.
-        leaving = {
-            row[0]: row[1] for row in leaving_rows.groupBy(quote(partition)).count().collect()
-        }
-        arriving = {row[0] for row in winners.select(quote(partition)).distinct().collect()}
-        emptied = _emptied(target, partition, leaving, leaving.keys() - arriving)
+        # One row per folder, however large the table.
+        folder = _folder(levels)
+        leaving = {row[0]: row[1] for row in leaving_rows.groupBy(folder).count().collect()}
+        arriving = {row[0] for row in winners.select(folder).distinct().collect()}
+        emptied = _emptied(target, folder, leaving, leaving.keys() - arriving)
         if target_only:
             extra = matched.groupBy(quote(key)).agg(
-                *[F.max_by(quote(c), quote(partition)).alias(c) for c in target_only]
+                *[F.max_by(quote(c), quote(levels[0])).alias(c) for c in target_only]
             )
             winners = winners.join(extra, key, "left_outer")
         incoming = _shape(winners, target.schema)
-        rewritten = F.coalesce(_in(partition, leaving), F.lit(False))
+        rewritten = folder.isin(*leaving) if leaving else F.lit(False)
 
         # Appended before the old copies go: a crash in between leaves two copies, never none.
         if arriving - leaving.keys():
-            _write(incoming.where(~rewritten), path, partition, "append")
+            _write(incoming.where(~rewritten), path, levels, "append")
         if leaving:
-            kept = target.where(_in(partition, leaving)).join(
+            kept = target.where(rewritten).join(
                 winners.select(quote(key)), key, "left_anti"
             )
             merged = kept.select(*map(quote, target.columns)).unionAll(incoming.where(rewritten))
-            _commit(spark, merged, path, partition, emptied)
+            _commit(spark, merged, path, levels, emptied)
 
 
-def _commit(spark: SparkSession, merged: DataFrame, path: str, partition: str, emptied: list) -> None:
+def _commit(
+    spark: SparkSession, merged: DataFrame, path: str, levels: list[str], emptied: list[str]
+) -> None:
     """Replace the partitions of ``merged``, and drop the emptied ones, so that a crash loses nothing.
 
     The new partitions are written beside the table, under a name readers ignore. The record that
     follows makes the commit: from then on it can be carried out again and again until it is done.
     """
     commit = f"{path.rstrip('/')}/{COMMITS}/{uuid.uuid4().hex}"
-    _write(merged, commit, partition, "append")
-    gone = ["__HIVE_DEFAULT_PARTITION__" if v is None else str(v) for v in emptied]
-    storage.replace_text(spark, f"{commit}/{RECORD}", json.dumps([f"{partition}={v}" for v in gone]))
+    _write(merged, commit, levels, "append")
+    storage.replace_text(spark, f"{commit}/{RECORD}", json.dumps(emptied))
     recover(spark, path)
 
 
@@ -213,16 +255,25 @@ def recover(spark: SparkSession, path: str) -> None:
     for commit in storage.child_folders(spark, f"{table}/{COMMITS}"):
         record = f"{commit}/{RECORD}"
         if storage.path_exists(spark, record):
-            for folder in storage.child_folders(spark, commit):
-                name = folder.rsplit("/", 1)[-1]
-                if "=" in name:
-                    storage.delete_path(spark, f"{table}/{name}")
-                    storage.rename_path(spark, folder, f"{table}/{name}")
+            for folder in _leaves(spark, commit):
+                name = folder.removeprefix(f"{commit}/")
+                storage.delete_path(spark, f"{table}/{name}")
+                storage.rename_path(spark, folder, f"{table}/{name}")
             for name in json.loads(spark.read.text(record, wholetext=True).first()[0]):
                 storage.delete_path(spark, f"{table}/{name}")
         storage.delete_path(spark, commit)
 
 
+def _leaves(spark: SparkSession, path: str) -> list[str]:
+    """The innermost partition folders below ``path``."""
+    out = []
+    for folder in storage.child_folders(spark, path):
+        if "=" in folder.rsplit("/", 1)[-1]:
+            deeper = [f for f in storage.child_folders(spark, folder) if "=" in f.rsplit("/", 1)[-1]]
+            out += _leaves(spark, folder) if deeper else [folder]
+    return out
+
+
 def matching_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Target rows whose key is in the source: the one look at the whole target, so it is narrow.
 
@@ -236,22 +287,15 @@ def matching_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     return target.join(source.select(column).where(column.between(low, high)), key, "left_semi")
 
 
-def _in(partition: str, values) -> Column:
-    """Partition predicate that also finds the NULL partition."""
-    column = F.col(quote(partition))
-    found = column.isin([v for v in values if v is not None])
-    return found | column.isNull() if None in values else found
-
-
-def _emptied(target: DataFrame, partition: str, leaving: dict, suspects: set) -> list:
-    """Partitions that lose every row. Counting reads file footers only."""
+def _emptied(target: DataFrame, folder: Column, leaving: dict, suspects: set) -> list[str]:
+    """Folders that lose every row. Counting reads file footers only."""
     if not suspects:
         return []
-    counts = target.where(_in(partition, suspects)).groupBy(quote(partition)).count().collect()
+    counts = target.where(folder.isin(*suspects)).groupBy(folder).count().collect()
     return [row[0] for row in counts if row[1] == leaving[row[0]]]
 
 
-def _write(df: DataFrame, path: str, partition: str, mode: str) -> None:
+def _write(df: DataFrame, path: str, levels: list[str], mode: str) -> None:
     """Write by partition with file sizes left to AQE.
 
     Rebalancing brings the rows of one partition value together, splits a value that is too big
@@ -259,11 +303,11 @@ def _write(df: DataFrame, path: str, partition: str, mode: str) -> None:
     would write a file into every partition it has a row of.
     """
     (
-        df.hint("rebalance", quote(partition))
+        df.hint("rebalance", *map(quote, levels))
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
-        .partitionBy(partition)
+        .partitionBy(*levels)
         .parquet(path)
     )
 

@@ -53,11 +53,13 @@ def run_silver(
     cap_mark_at: datetime | None = None,
     newer_than: str | None = None,
     strict_mark: bool = False,
+    buckets: int | None = None,
 ) -> SilverRun:
     """One increment into a Parquet table (``silver_path``) or a catalog table (``table``).
 
     The mark moves only after the merge is through, so a crash in between repeats the same rows,
-    which the upsert makes harmless.
+    which the upsert makes harmless. ``buckets`` splits the days of a new Parquet table by key, so
+    that increments with old keys look at and rewrite less (see ``upsert_parquet``).
     """
     if (silver_path is None) == (table is None):
         raise ValueError("give either silver_path or table")
@@ -73,7 +75,7 @@ def run_silver(
         rows = silver_rows(incremental.newer_than_mark(scanned, mark, late_tolerance))
         if silver_path and storage.read_parquet_if_exists(spark, silver_path) is None:
             # First load: straight into the table, the backfill is not written twice.
-            upsert_parquet(spark, silver_path, rows, check_unique=False)
+            upsert_parquet(spark, silver_path, rows, check_unique=False, buckets=buckets)
             loaded = storage.read_parquet_if_exists(spark, silver_path)
             sample = sample_rows(loaded).collect() if loaded else []
         else:

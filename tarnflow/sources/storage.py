@@ -54,6 +54,7 @@ def rename_path(spark: SparkSession, path: str, to: str) -> None:
     """Rename a folder; the target must not be there."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     file_system = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    file_system.mkdirs(hadoop.Path(to).getParent())
     if not file_system.rename(hadoop.Path(path), hadoop.Path(to)):
         raise OSError(f"cannot rename {path} to {to}")
 

@@ -272,3 +272,31 @@ def test_a_commit_without_a_record_is_cleared_away(spark, folder):
     module.recover(spark, folder)
     assert as_set(read(spark, folder)) == as_set(frame(spark, TARGET))
     assert storage.child_folders(spark, f"{folder}/{module.COMMITS}") == []
+
+
+def test_an_increment_of_one_key_touches_one_bucket(spark, folder):
+    rows = [(f"k{i}", D[i % 3], f"v{i}", i) for i in range(300)] + [(None, D[1], "null key", 0)]
+    upsert_parquet(spark, folder, frame(spark, rows), buckets=8)
+
+    def files():
+        return {os.path.join(d, f) for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")}
+
+    before = files()
+    upsert_parquet(spark, folder, frame(spark, [("k4", D[1], "new", 4)]))
+    gone, came = before - files(), files() - before
+    folders = {os.path.relpath(os.path.dirname(f), folder) for f in gone | came}
+    assert len(folders) == 1 and folders.pop().startswith(f"event_date={D[1]}/key_bucket=")
+    # A key that moves to another day leaves one bucket and comes to another.
+    upsert_parquet(spark, folder, frame(spark, [("k4", D[7], "moved", 4), ("fresh", D[7], "f", 1)]))
+    expected = [r for r in rows if r[0] != "k4"] + [("k4", D[7], "moved", 4), ("fresh", D[7], "f", 1)]
+    assert as_set(read(spark, folder)) == as_set(frame(spark, expected))
+
+
+def test_bucket_lookup_reads_the_buckets_of_the_increment(spark, folder, monkeypatch):
+    rows = [(f"k{i}", D[i % 3], f"v{i}", i) for i in range(300)]
+    upsert_parquet(spark, folder, frame(spark, rows), buckets=8)
+    seen = []
+    real = module.matching_rows
+    monkeypatch.setattr(module, "matching_rows", lambda t, s, k: seen.append(plan_of(t)) or real(t, s, k))
+    upsert_parquet(spark, folder, frame(spark, [("k4", D[1], "new", 4)]))
+    assert "key_bucket" in seen[0].split("PartitionFilters:")[1].split("]")[0]
