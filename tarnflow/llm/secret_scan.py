@@ -188,10 +188,9 @@ def redact_secrets(docs: DataFrame, ledger: str | None = None, id_col: str = "do
     """``docs`` with the findings of the scan masked in the texts; no row is dropped."""
     ledger = ledger or scratch_path(docs.sparkSession, "ledger")
     columns = docs.columns
-    found = stage(
+    found = (
         scan(docs, ledger, id_col=id_col, text_col=text_col).where(F.size("spans") > 0)
-        .select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")).dropDuplicates(["__blob"]),
-        "to-mask",
+        .select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")).dropDuplicates(["__blob"])
     )
     keyed = docs.withColumn("__key", F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256))
     joined = keyed.join(found, F.col("__key") == F.col("__blob"), "left")
