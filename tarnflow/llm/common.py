@@ -45,6 +45,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_sample(rows: DataFrame, most: int, *by: str) -> DataFrame:
+    """At most ``most`` rows, those first by hash of ``by``: a sample that does not change.
+
+    A top-k of many rows would have every task send that many; so the hash first thins the rows to
+    little more than is wanted over all tasks together.
+    """
+    share = min(1.0, 1.2 * most / max(1, rows.count()))
+    hashed = rows.withColumn("__hash", F.pmod(F.xxhash64(F.lit(4), *by), F.lit(1 << 40)))
+    thinned = hashed.where(F.col("__hash") < int(share * (1 << 40)) + 1)
+    return thinned.orderBy("__hash", *by).limit(most).drop("__hash")
+
+
 def crc32_mod(column: str, divisor: int) -> Column:
     """crc32 of a number's decimal text, modulo ``divisor``: the fold of a document."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(divisor))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnflow.llm.common import stage, whole_runs
+from tarnflow.llm.common import bounded_sample, stage, whole_runs
 from tarnflow.llm.components import connected_components
 from tarnflow.llm.ngram_join import _spread
 
@@ -191,7 +191,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         "distinct",
     )
     tables, bits = table_shape(distinct.count(), cosine, miss)
-    picked = distinct.orderBy(F.xxhash64(F.lit(3), "h1"), "h1", "h2").limit(sample).select("raw").toPandas()
+    picked = bounded_sample(distinct, sample, "h1", "h2").select("raw").toPandas()
     codes = learn_codes(_unit([bytes(x) for x in picked["raw"]], dim), tables, bits)
 
     entered = distinct.select("id", "n", "raw").mapInArrow(

@@ -313,6 +313,17 @@ def _by_key(rows: DataFrame) -> DataFrame:
     return rows.repartition(F.col("key")).sortWithinPartitions("key")
 
 
+def _most_frequent(frequent: DataFrame, most: int = FREQUENT) -> DataFrame:
+    """The upper levels of frequency, as many as hold at most ``most`` shingles in all."""
+    total, lowest = 0, None
+    for level, count in sorted(map(tuple, frequent.groupBy("level").count().collect()), reverse=True):
+        total += count
+        if total > most:
+            break
+        lowest = level
+    return frequent.where(F.lit(False) if lowest is None else F.col("level") >= lowest).select("token")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        similarity: int = SIMILARITY) -> DataFrame:
     """One row per row of ``docs``: the id, ``n_shingles`` and ``component_id``."""
@@ -336,12 +347,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     gone = copies.select(F.col("v").alias("id")).join(several, "id", "left_anti")
     reps = docs.where("id IS NOT NULL").join(gone, "id", "left_anti")
 
-    frequent = (
+    frequent = stage(
         reps.mapInArrow(_local_repeats, "token long, n long").groupBy("token")
         .agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT_FROM)
-        .orderBy(F.desc("n"), "token").limit(FREQUENT).select("token")
+        .select("token", F.floor(8 * F.log2("n")).alias("level")),
+        "frequent",
     )
-    often = np.sort(frequent.toPandas()["token"].to_numpy(np.int64).view(np.uint64))
+    often = np.sort(_most_frequent(frequent).toPandas()["token"].to_numpy(np.int64).view(np.uint64))
 
     entries = reps.mapInArrow(_entries(often, similarity), "token long, id long")
     shared = entries.withColumn("c", F.count("*").over(W.partitionBy("token"))).where("c > 1")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnflow.llm.common import slices, stage
+from tarnflow.llm.common import bounded_sample, slices, stage
 from tarnflow.llm.text_arrays import column_bytes, shingles, words
 
 SAMPLE = 20_000
@@ -174,7 +174,7 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: i
 
 def _sample(rows: DataFrame, most: int) -> np.ndarray:
     """The first ``most`` rows by hash of the id: a bounded sample that does not change."""
-    picked = rows.orderBy(F.xxhash64(F.lit(4), "row.id"), "x").limit(most).select("x").toPandas()
+    picked = bounded_sample(rows.select("x", "row.id"), most, "id").select("x").toPandas()
     return np.array(picked["x"].tolist(), float).reshape(-1, MEASURES)
 
 

@@ -135,3 +135,15 @@ def test_embeddings(spark, monkeypatch):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got if r.vec_id is not None)
     assert embedding_dedup.near_duplicates(df.where("false")).count() == 0
     assert embedding_dedup.near_duplicates(df.where("embedding IS NULL")).count() == 1
+
+
+def test_bounded_samples_and_lists(spark):
+    from tarnflow.llm.common import bounded_sample
+
+    rows = spark.range(5000)
+    first = {r.id for r in bounded_sample(rows, 300, "id").collect()}
+    assert 250 <= len(first) <= 300 and first == {r.id for r in bounded_sample(rows.repartition(7), 300, "id").collect()}
+    assert bounded_sample(rows, 9000, "id").count() == 5000 and bounded_sample(rows.where("false"), 5, "id").count() == 0
+    levels = spark.createDataFrame([(i, i // 10) for i in range(100)], "token long, level long")
+    assert {r.token for r in ngram_join._most_frequent(levels, 35).collect()} == set(range(70, 100))
+    assert ngram_join._most_frequent(levels, 5).count() == 0
