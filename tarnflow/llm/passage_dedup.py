@@ -2,7 +2,7 @@
 
 Paragraphs are stretches of a line: long lines are also cut where the hash of a three-word window is
 the smallest for ``REACH`` words around, so that a passage which was copied into the middle of
-another line is cut in the same places. A paragraph's set holds its distinct five-word shingles.
+another line is cut in the same places. Each line is cut on its own: equal lines give equal paragraphs. A paragraph's set holds its distinct five-word shingles.
 
 Equal paragraphs are one. Each distinct one has ``BANDS`` keys of ``ROWS`` MinHash values. Sets this
 small need short bands: at a Jaccard similarity of 0.75 two of them share a key with probability
@@ -72,10 +72,18 @@ def paragraphs(column: pa.Array):
     lines = np.concatenate([[0], np.cumsum(data == 10)])
     cut = np.ones(m + 1, bool)
     cut[1:m] = (text[1:] != text[:-1]) | (lines[start[1:]] != lines[end[:-1]])
-    # Anchors: the smallest window hash for REACH words around.
+    # Anchors: the smallest window hash for REACH words around, inside the line. Windows that reach past
+    # its end are none, and lines are set apart, so that equal lines are cut alike wherever they stand.
+    none = np.uint64(2**64 - 1)
+    line = np.cumsum(cut[:m]) - 1
     window = mix(hashed + np.roll(hashed, -1) * np.uint64(3) + np.roll(hashed, -2) * np.uint64(7))
+    window[line != np.append(line[2:], [-1, -1])[:m]] = none
+    apart = np.arange(m) + REACH * line
+    spaced = np.full(apart[-1] + 1, none)
+    spaced[apart] = window
     # (the leftmost of equals, so that a text of one word again and again stays whole)
-    cut[:m] |= (window < _sliding_min(window, -REACH, -1)) & (window <= _sliding_min(window, 1, REACH))
+    least = (window < _sliding_min(spaced, -REACH, -1)[apart]) & (window <= _sliding_min(spaced, 1, REACH)[apart])
+    cut[:m] |= least & (window != none)
     at = np.flatnonzero(cut)
     begin, count = at[:-1], np.diff(at)
     long = count >= 5

@@ -97,6 +97,37 @@ def test_near_paragraphs_are_found(spark):
     assert not got & set(range(60)) and len(got) >= 50
 
 
+def test_equal_lines_are_cut_alike():
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    lines = [words(rng, n) for n in (1, 2, 5, 20, 21, 25, 30, 40, 90) for _ in range(12)] + ["", "a a a a a a a a a"]
+
+    def cuts(text):
+        owner, place, count, *_, key = passage_dedup.paragraphs(pa.array(text))[0]
+        return [[(p, n, k) for o, p, n, k in zip(owner, place, count, key) if o == i] for i in range(len(text))]
+
+    alone = {line: cuts([line])[0] for line in lines}
+    for _ in range(3):
+        rng.shuffle(lines)
+        assert cuts(lines) == [alone[line] for line in lines]  # as texts, in any order
+        place, want = 0, []
+        for line in lines:  # as lines of one text
+            want += [(place + p, n, k) for p, n, k in alone[line]]
+            place += len(line.split())
+        assert cuts(["\n".join(lines)])[0] == want
+
+
+def test_equal_lines_in_other_surroundings(spark):
+    rng = random.Random(9)
+    lines = [words(rng, n) for n in (30, 40) for _ in range(40)]
+    rows = [(i, f"{words(rng, 9)}\n{line}\n{words(rng, 9)}") for i, line in enumerate(lines * 2)]
+    rng.shuffle(rows)
+    for parts in (1, 5):
+        got = passage_dedup.repeated_stretches(table(spark, rows).repartition(parts)).collect()
+        assert {r.doc_id for r in got} == set(range(80, 160)) and all(r.keep_id == r.doc_id - 80 for r in got)
+
+
 def plain_vectors(rows, cosine=0.95):
     good = [
         (k, i, np.array(v, float)) for k, (i, v) in enumerate(rows)
