@@ -7,9 +7,10 @@ another line is cut in the same places. Each line is cut on its own: equal lines
 Equal paragraphs are one. Each distinct one has ``BANDS`` keys of ``ROWS`` MinHash values. Sets this
 small need short bands: at a Jaccard similarity of 0.75 two of them share a key with probability
 1 - (1 - 0.75)^3 = 98.4 percent, as with five bands of two values, which are more rows to shuffle.
-Paragraphs that collide are compared with the smallest and the largest of their bucket, by exact
-Jaccard of their shingle sets (100 * intersection >= 75 * union), and linked ones form classes by
-connected components. The first occurrence of a class by (id, place) stays. Later ones are merged
+All paragraphs that collide are compared, by exact Jaccard of their shingle sets (100 * intersection
+>= 75 * union), and linked ones form classes by connected components. Large buckets are split into
+parts, and every two parts meet, so no bucket is capped and none lies in one task; a forest of links
+leaves a task, never its pairs. The first occurrence of a class by (id, place) stays. Later ones are merged
 where they adjoin, and a merged stretch of ``LEAST_WORDS`` words or more is a removal.
 
 Texts that are null, empty or shorter than five words have no paragraphs; rows without an id are
@@ -28,8 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tarnflow.llm.common import slices, stage
+from tarnflow.llm.common import slices, stage, whole_runs
 from tarnflow.llm.components import connected_components
+from tarnflow.llm.ngram_join import _by_key, _Forest, _in_blocks, _spread
 from tarnflow.llm.text_arrays import column_bytes, mix, shingles, words
 
 SIMILARITY = 75
@@ -39,6 +41,8 @@ BANDS, ROWS = 3, 1
 LEAST_WORDS = 20
 #: Words between two repeated paragraphs (too short to be one) that do not end a stretch.
 GAP = 5
+#: Most paragraphs of a bucket in one part.
+BLOCK = 512
 _SEEDS = np.random.default_rng(5).integers(1, 2**62, BANDS * ROWS, dtype=np.uint64)
 
 
@@ -169,6 +173,72 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _common(items: np.ndarray, first: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many items each of the sets ``a`` shares with its partner in ``b``."""
+    which, at = [], []
+    for side in (a, b):
+        count = n[side]
+        which.append(np.repeat(np.arange(len(side)), count))
+        at.append(np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first[side], count))
+    pair, found = np.concatenate(which), items[np.concatenate(at)]
+    order = np.lexsort((found, pair))
+    pair, found = pair[order], found[order]
+    same = (pair[1:] == pair[:-1]) & (found[1:] == found[:-1])
+    return np.bincount(pair[1:][same], minlength=len(a))
+
+
+def _verify(similarity: int):
+    """In each block of a bucket, a forest over the paragraphs that link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = _Forest()
+        for table in whole_runs(batches, "key"):
+            key, ids = table.column("key").to_numpy(), table.column("id").to_numpy()
+            sets = table.column("items").combine_chunks()
+            sets = sets if isinstance(sets, pa.Array) else pa.concat_arrays(sets.chunks)
+            items = sets.flatten().to_numpy()
+            n = sets.value_lengths().to_numpy().astype(np.int64)
+            first = np.cumsum(n) - n
+            cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
+            sizes = np.diff(cuts)
+            run_size = np.repeat(sizes, sizes)
+            us, vs = [], []
+            # Small blocks all at once: rows that are d apart in the same block.
+            for d in range(1, min(8, len(key))):
+                a = np.flatnonzero((key[:-d] == key[d:]) & (run_size[:-d] <= 8))
+                a = a[np.minimum(n[a], n[a + d]) * 100 >= similarity * np.maximum(n[a], n[a + d])]
+                for c in range(0, len(a), 1 << 14):
+                    x = a[c : c + (1 << 14)]
+                    common = _common(items, first, n, x, x + d)
+                    x = x[100 * common >= similarity * (n[x] + n[x + d] - common)]
+                    us.append(ids[x])
+                    vs.append(ids[x + d])
+            for c in np.flatnonzero(sizes > 8):
+                a, b = cuts[c], cuts[c + 1]
+                values, place = np.unique(items[first[a] : first[b - 1] + n[b - 1]], return_inverse=True)
+                mine, begin = np.zeros(len(values), bool), first[a:b] - first[a]
+                size = n[a:b]
+
+                def links(p, rest):
+                    own = place[begin[p] : begin[p] + size[p]]
+                    mine[own] = True
+                    common = np.add.reduceat(mine[place].astype(np.int32), begin)[rest]
+                    mine[own] = False
+                    return 100 * common >= similarity * (size[p] + size[rest] - common)
+
+                for p, found in _spread(np.arange(b - a), links):
+                    us.append(np.full(len(found), ids[a + p]))
+                    vs.append(ids[a + found])
+            if us:
+                u, v = np.concatenate(us), np.concatenate(vs)
+                lo, hi = np.minimum(u, v), np.maximum(u, v)
+                out = forest.batch(lo[lo != hi].tolist(), hi[lo != hi].tolist())
+                if out is not None:
+                    yield out
+
+    return run
+
+
 def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        similarity: int = SIMILARITY, least_words: int = LEAST_WORDS) -> DataFrame:
     """``(id, start, end, n_words, keep_id)``: stretches to remove, and where their first one stays.
@@ -180,18 +250,11 @@ def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     place = F.struct("id", "place")
     distinct = units.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("c"))
 
-    bucket = W.partitionBy("band")
-    met = (
-        rows.mapInArrow(_bands, "band long, key long")
-        .withColumns({"lo": F.min("key").over(bucket), "hi": F.max("key").over(bucket)})
-        .where("lo <> hi")
-    )
-    pairs = stage(
-        met.select("key", F.explode(F.array("lo", "hi")).alias("other")).where("key <> other")
-        .select(F.least("key", "other").alias("u"), F.greatest("key", "other").alias("v")).distinct(),
-        "pairs",
-    )
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("key")).distinct()
+    bands = stage(rows.mapInArrow(_bands, "band long, key long").distinct(), "bands")
+    # Counted apart and written, so that the join sees plain tables and Spark can split a hot band.
+    crowds = stage(bands.groupBy("band").agg(F.count("*").alias("c")).where("c > 1"), "crowds")
+    met = stage(bands.join(crowds, "band").select("band", F.col("key").alias("id"), "c"), "met")
+    wanted = met.select(F.col("id").alias("key")).distinct()
     # From here on only paragraphs that occur twice or collide: one look at all distinct ones.
     core = stage(
         distinct.join(wanted.withColumn("met", F.lit(True)), "key", "left").where("c > 1 OR met"), "candidates"
@@ -202,13 +265,11 @@ def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         .groupBy("key").agg(F.min("items").alias("items")),
         "sets",
     )
-    common = F.size(F.array_intersect("a", "b"))
-    linked = (
-        pairs.join(sets.select(F.col("key").alias("u"), F.col("items").alias("a")), "u")
-        .join(sets.select(F.col("key").alias("v"), F.col("items").alias("b")), "v")
-        .where(100 * common >= similarity * (F.size("a") + F.size("b") - common))
+    blocks = _in_blocks(
+        met.join(sets.withColumnRenamed("key", "id"), "id"), "band", F.expr(f"(c + {BLOCK} - 1) div {BLOCK}")
     )
-    classes = connected_components(linked.select("u", "v"))
+    linked = _by_key(blocks.select("key", "id", "items")).mapInArrow(_verify(similarity), "u long, v long")
+    classes = connected_components(linked)
     classed = core.join(classes, F.col("key") == F.col("node"), "left").select(
         "key", "first", "c", F.coalesce("component", "key").alias("class")
     )

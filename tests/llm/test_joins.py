@@ -128,6 +128,31 @@ def test_equal_lines_in_other_surroundings(spark):
         assert {r.doc_id for r in got} == set(range(80, 160)) and all(r.keep_id == r.doc_id - 80 for r in got)
 
 
+def test_near_paragraphs_in_crowded_buckets(spark, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(passage_dedup, "BLOCK", 64, raising=False)  # crowded buckets are split
+    rng = random.Random(7)
+
+    def whole(line):
+        return passage_dedup.paragraphs(pa.array([line]))[0][2].tolist() == [20]
+
+    pairs = []
+    phrase = next(p for p in iter(lambda: words(rng, 11), None) if whole(f"{p} {words(rng, 9)}"))
+    while len(pairs) < 150:
+        line = f"{phrase} {words(rng, 9)}"
+        near = " ".join([*line.split()[:-1], "other"])
+        if whole(line) and whole(near):
+            pairs.append((line, near))
+    for x, y in pairs:
+        x, y = shingles(x), shingles(y)
+        assert 100 * len(x & y) >= 75 * len(x | y)
+    rows = list(enumerate([x for x, _ in pairs] + [y for _, y in pairs]))
+    got = {r.doc_id: r.keep_id for r in passage_dedup.repeated_stretches(table(spark, rows)).collect()}
+    assert not set(got) & set(range(150))
+    assert sum(got.get(150 + i) == i for i in range(150)) >= 0.99 * 150
+
+
 def plain_vectors(rows, cosine=0.95):
     good = [
         (k, i, np.array(v, float)) for k, (i, v) in enumerate(rows)
