@@ -10,11 +10,18 @@ small need short bands: at a Jaccard similarity of 0.75 two of them share a key
 All paragraphs that collide are compared, by exact Jaccard of their shingle sets (100 * intersection
 >= 75 * union), and linked ones form classes by connected components. Large buckets are split into
 parts, and every two parts meet, so no bucket is capped and none lies in one task; a forest of links
-leaves a task, never its pairs. The first occurrence of a class by (id, place) stays. Later ones are merged
-where they adjoin, and a merged stretch of ``LEAST_WORDS`` words or more is a removal.
+leaves a task, never its pairs. The first occurrence of a class by (id, place) stays.
+
+Exact repeats of ``LEAST_EXACT`` words or more are all found, wherever they lie: of the hashes of
+``SEED`` words in a row, each text gives the smallest of every ``LEAST_EXACT - SEED + 1`` neighbours, so
+that two such passages have one in common. Later occurrences of seeds and paragraphs are
+extended word by word to both sides against the occurrence that stays, ``REACHED`` words at most; by
+then the next seed of the same passage takes over. What adjoins is merged, and a merged stretch of
+``LEAST_WORDS`` words or more is a removal.
 
 Texts that are null, empty or shorter than five words have no paragraphs; rows without an id are
-left alone. Rows that share an id and a text count as one document. Places are code points, end
+left alone. Rows that share an id and a text count as one document; where an id has several texts,
+its stretches are not extended. Places are code points, end
 exclusive. Empty tables give empty results; other columns travel along. A paragraph may occur any
 number of times: counts and first places are combined before the shuffle, occurrences are joined.
 """
@@ -35,10 +42,13 @@ from tarnflow.llm.ngram_join import _by_key, _Forest, _in_blocks, _spread
 from tarnflow.llm.text_arrays import column_bytes, mix, shingles, words
 
 SIMILARITY = 75
-#: Anchors lie 13 words apart on average, so a passage of 50 words holds whole paragraphs.
+#: Anchors lie 13 words apart on average, so most passages of 50 words hold whole paragraphs.
 REACH = 6
 BANDS, ROWS = 3, 1
 LEAST_WORDS = 20
+LEAST_EXACT = 50
+SEED = 20
+REACHED = 32
 #: Words between two repeated paragraphs (too short to be one) that do not end a stretch.
 GAP = 5
 #: Most paragraphs of a bucket in one part.
@@ -62,8 +72,8 @@ def _sliding_min(values: np.ndarray, first: int, last: int) -> np.ndarray:
 def paragraphs(column: pa.Array):
     """Paragraphs of five words or more of each text, and their word hashes.
 
-    Returns ``(text, first word, words, start, end, hash)`` arrays, and the hashes of all words
-    with each text's first word.
+    Returns ``(text, first word, words, start, end, hash)`` arrays, the hashes of all words with each
+    text's first word, and ``(text, start, end)`` of all words.
     """
     n = len(column)
     data, places = column_bytes(column)
@@ -72,7 +82,7 @@ def paragraphs(column: pa.Array):
     first = np.searchsorted(text, np.arange(n + 1))
     if not m:
         none = np.zeros(0, np.int64)
-        return (none,) * 5 + (np.zeros(0, np.uint64),), hashed, first
+        return (none,) * 5 + (np.zeros(0, np.uint64),), hashed, first, (none,) * 3
     lines = np.concatenate([[0], np.cumsum(data == 10)])
     cut = np.ones(m + 1, bool)
     cut[1:m] = (text[1:] != text[:-1]) | (lines[start[1:]] != lines[end[:-1]])
@@ -93,7 +103,8 @@ def paragraphs(column: pa.Array):
     long = count >= 5
     begin, count = begin[long], count[long]
     points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    base = points[places[:-1]]
+    base = points[places[:-1]][text]
+    starts, ends = points[start] - base, points[end] - base
     owner = text[begin]
     # A polynomial over the words of a paragraph, taken from running sums with running powers.
     power = np.full(m + 1, 0x9E3779B97F4A7C15, np.uint64)
@@ -106,15 +117,37 @@ def paragraphs(column: pa.Array):
     np.cumsum(mix(hashed) * power[:m], out=sums[1:])
     key = mix((sums[begin + count] - sums[begin]) * inverse[begin] + count.astype(np.uint64))
     found = (
-        owner, begin - first[owner], count,
-        points[start[begin]] - base[owner], points[end[begin + count - 1]] - base[owner], key,
+        owner, begin - first[owner], count, starts[begin], ends[begin + count - 1], key,
     )
-    return found, hashed, first
+    return found, hashed, first, (text, starts, ends)
+
+
+def seeds(hashed: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words and hashes of the ``SEED`` words in a row that stand for a text (winnowing)."""
+    wide = LEAST_EXACT - SEED + 1
+    n = len(hashed) - SEED + 1
+    if n < wide:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    mixed, value = mix(hashed), np.zeros(n, np.uint64)
+    for j in range(SEED):
+        value = value * np.uint64(0xD1342543DE82EF95) + mixed[j : j + n]
+    value = mix(value)
+    inside = np.flatnonzero(text[: n - wide + 1] == text[LEAST_EXACT - 1 :])
+    picked = []
+    for c in range(0, len(inside), 1 << 14):
+        at = inside[c : c + (1 << 14)]
+        picked.append(at + np.lib.stride_tricks.sliding_window_view(value, wide)[at].argmin(axis=1))
+    begin = np.unique(np.concatenate(picked)) if picked else np.zeros(0, np.int64)
+    return begin, value[begin]
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Paragraphs and seeds of each text."""
     for part in slices(batches, "text"):
-        (owner, place, count, start, end, key), _, _ = paragraphs(part.column("text"))
+        found, hashed, first, (text, starts, ends) = paragraphs(part.column("text"))
+        at, value = seeds(hashed, text)
+        seed = (text[at], at - first[text[at]], np.full(len(at), SEED), starts[at], ends[at + SEED - 1] if len(at) else at, value)
+        owner, place, count, start, end, key = (np.concatenate(x) for x in zip(found, seed))
         yield pa.record_batch(
             [
                 part.column("id").take(pa.array(owner)), pa.array(key.view(np.int64)),
@@ -124,6 +157,31 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words on the wanted side of the wanted places, nearest first: hashes and code points."""
+    for part in slices(batches, "text"):
+        _, hashed, first, (_, starts, ends) = paragraphs(part.column("text"))
+        wanted = part.column("wanted").to_pylist()
+        owner = np.repeat(np.arange(len(part)), [len(w) for w in wanted])
+        right = np.array([x["right"] for w in wanted for x in w], bool)
+        at = np.array([x["at"] for w in wanted for x in w], np.int64)
+        count = np.clip(np.where(right, (first[1:] - first[:-1])[owner] - at, at), 0, REACHED)
+        cuts = np.concatenate([[0], np.cumsum(count)])
+        step = np.arange(cuts[-1]) - np.repeat(cuts[:-1], count)
+        side = np.repeat(right, count)
+        word = np.repeat(first[owner] + at, count) + np.where(side, step, -1 - step)
+        places = np.where(side, ends[word], starts[word]).astype(np.int32)
+        offsets = pa.array(cuts.astype(np.int32))
+        yield pa.record_batch(
+            [
+                part.column("id").take(pa.array(owner)), pa.array(right), pa.array(at.astype(np.int32)),
+                pa.ListArray.from_arrays(offsets, pa.array(hashed[word].view(np.int64))),
+                pa.ListArray.from_arrays(offsets, pa.array(places)),
+            ],
+            ["id", "right", "at", "words", "places"],
+        )
+
+
 def _shingles_of(hashed: np.ndarray, begin: np.ndarray, count: np.ndarray):
     """Shingles of paragraphs given by their words' places in ``hashed``: ``(hash, paragraph)``."""
     owner = np.repeat(np.arange(len(begin)), count)
@@ -133,7 +191,7 @@ def _shingles_of(hashed: np.ndarray, begin: np.ndarray, count: np.ndarray):
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in slices(batches, "text"):
-        (owner, place, count, _, _, key), hashed, first = paragraphs(part.column("text"))
+        (owner, place, count, _, _, key), hashed, first, _ = paragraphs(part.column("text"))
         if not len(key):
             continue
         _, pick = np.unique(key, return_index=True)
@@ -158,7 +216,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shingle sets of the wanted paragraphs of each text."""
     for part in slices(batches, "text"):
-        (owner, place, count, _, _, key), hashed, first = paragraphs(part.column("text"))
+        (owner, place, count, _, _, key), hashed, first, _ = paragraphs(part.column("text"))
         wanted = [set(w) for w in part.column("wanted").to_pylist()]
         hit = np.array([k in wanted[o] for k, o in zip(key.view(np.int64).tolist(), owner)], bool)
         owner, place, count, key = owner[hit], place[hit], count[hit], key[hit]
@@ -239,6 +297,40 @@ def _verify(similarity: int):
     return run
 
 
+def _extended(chains: DataFrame, rows: DataFrame) -> DataFrame:
+    """What stands beside ``chains`` and, word by word, beside the occurrence that stays too."""
+    ends = chains.withColumn("right", F.explode(F.array(F.lit(False), F.lit(True)))).withColumns(
+        {"at": F.expr("if(right, till, begin)"), "kept_at": F.expr("if(right, kept_till, kept_begin)")}
+    )
+    text = F.xxhash64("text")
+    several = rows.groupBy("id").agg(F.min(text).alias("a"), F.max(text).alias("b")).where("a <> b")
+    wanted = (
+        ends.select("id", "right", "at").unionByName(ends.select(F.col("keep_id").alias("id"), "right", F.col("kept_at").alias("at")))
+        .groupBy("id").agg(F.collect_set(F.struct("right", "at")).alias("wanted"))
+        .join(several, "id", "left_anti")
+    )
+    beside = stage(
+        rows.join(wanted, "id").dropDuplicates(["id"]).select("id", "text", "wanted")
+        .mapInArrow(_contexts, "id long, right boolean, at int, words array<long>, places array<int>"),
+        "beside",
+    )
+    kept = beside.select(
+        F.col("id").alias("keep_id"), "right", F.col("at").alias("kept_at"), F.col("words").alias("kept_words")
+    )
+    same = F.zip_with("words", "kept_words", lambda x, y: F.coalesce(x == y, F.lit(False)))
+    met = ends.join(beside, ["id", "right", "at"]).join(kept, ["keep_id", "right", "kept_at"])
+    met = met.withColumn("same", same).withColumn("stop", F.array_position("same", False))
+    met = met.withColumn("more", F.expr("cast(if(stop = 0, size(same), stop - 1) as int)"))
+    # In one text, what stays is not taken for a part of what goes.
+    met = met.withColumn("more", F.expr("if(id = keep_id and not right, least(more, greatest(begin - kept_till, 0)), more)"))
+    met = met.where("more > 0").withColumn("edge", F.expr("places[more - 1]"))
+    return met.select(
+        "id", "keep_id",
+        F.expr("if(right, till, begin - more)").alias("begin"), F.expr("if(right, till + more, begin)").alias("till"),
+        F.expr("if(right, end, edge)").alias("start"), F.expr("if(right, edge, start)").alias("end"),
+    )
+
+
 def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        similarity: int = SIMILARITY, least_words: int = LEAST_WORDS) -> DataFrame:
     """``(id, start, end, n_words, keep_id)``: stretches to remove, and where their first one stays.
@@ -247,7 +339,7 @@ def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
     units = stage(rows.mapInArrow(_units, "id long, key long, place int, n int, start int, end int"), "paragraphs")
-    place = F.struct("id", "place")
+    place = F.struct("id", "place", "n")
     distinct = units.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("c"))
 
     bands = stage(rows.mapInArrow(_bands, "band long, key long").distinct(), "bands")
@@ -278,17 +370,42 @@ def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
     # Written, so that the join sees a plain table and Spark can split a frequent paragraph.
     repeated = stage(classed.join(kept, "class").select("key", "kept"), "repeated")
-    later = units.join(repeated, "key").where(place != F.col("kept")).distinct()
+    later = (
+        units.join(repeated, "key").where(place != F.col("kept"))
+        .where("id <> kept.id OR place >= kept.place + kept.n")
+        .select(
+            "id", F.col("place").alias("begin"), F.expr("place + n").alias("till"), "start", "end",
+            F.col("kept.id").alias("keep_id"), F.col("kept.place").alias("kept_begin"),
+            F.expr("kept.place + kept.n").alias("kept_till"),
+        )
+        .withColumns({"shift": F.expr("begin - kept_begin"), "shift_end": F.expr("till - kept_till")})
+        .distinct()
+    )
+    # Neighbours that stand beside each other where they stay as well are extended as one.
+    by = ["id", "keep_id", "shift", "shift_end"]
+    order = W.partitionBy(*by).orderBy("begin", "till")
+    before = F.max("till").over(order.rowsBetween(W.unboundedPreceding, -1))
+    chains = later.withColumn("new", F.coalesce(F.col("begin") > before, F.lit(True)).cast("int"))
+    chains = chains.withColumn("chain", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    chains = stage(
+        chains.groupBy(*by, "chain").agg(
+            *[F.min(c).alias(c) for c in ("begin", "start", "kept_begin")],
+            *[F.max(c).alias(c) for c in ("till", "end", "kept_till")],
+        ).drop("shift", "shift_end", "chain"),
+        "chains",
+    )
+    spans = chains.drop("kept_begin", "kept_till").unionByName(_extended(chains, rows))
 
-    order = W.partitionBy("id").orderBy("place")
-    before = F.lag(F.col("place") + F.col("n")).over(order)
-    runs = later.withColumn("new", F.coalesce(F.col("place") - before > GAP, F.lit(True)).cast("int"))
+    order = W.partitionBy("id").orderBy("begin", "till", "keep_id")
+    before = F.max("till").over(order.rowsBetween(W.unboundedPreceding, -1))
+    runs = spans.withColumn("new", F.coalesce(F.col("begin") - before > GAP, F.lit(True)).cast("int"))
+    runs = runs.withColumn("n", F.greatest(F.lit(0), F.col("till") - F.greatest("begin", before)))
     runs = runs.withColumn("run", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, 0)))
     return (
         runs.groupBy("id", "run")
         .agg(
             F.min("start").alias("start"), F.max("end").alias("end"),
-            F.sum("n").alias("n_words"), F.min("kept.id").alias("keep_id"),
+            F.sum("n").alias("n_words"), F.min("keep_id").alias("keep_id"),
         )
         .where(F.col("n_words") >= least_words)
         .select(F.col("id").alias(id_col), "start", "end", "n_words", "keep_id")

@@ -153,6 +153,34 @@ def test_near_paragraphs_in_crowded_buckets(spark, monkeypatch):
     assert sum(got.get(150 + i) == i for i in range(150)) >= 0.99 * 150
 
 
+def test_short_exact_repeats_are_found_whole(spark):
+    rng = random.Random(10)
+    passages = [words(rng, n) for n in (50, 51, 52, 55, 60) for _ in range(40)] + [words(rng, 20) for _ in range(20)]
+    rows = []
+    for k in range(2):
+        for i, p in enumerate(passages):
+            around = (words(rng, rng.randint(5, 70)), words(rng, rng.randint(5, 70)))
+            # The short ones are lines of their own.
+            rows.append((1000 * k + i, f"{around[0]} {p} {around[1]}" if i < 200 else f"{around[0]}\n{p}\n{around[1]}"))
+    by = dict(rows)
+    got = passage_dedup.repeated_stretches(table(spark, rows)).collect()
+    assert len(got) == len(passages) and {r.doc_id: r.keep_id for r in got} == {1000 + i: i for i in range(len(passages))}
+    for r in got:
+        passage, found = passages[r.keep_id], by[r.doc_id][r.start : r.end]
+        # A near paragraph at an end may bring a few words of what stands beside it.
+        assert passage in found and len(passage.split()) <= r.n_words <= len(passage.split()) + 10
+
+
+def test_repeats_in_one_text_keep_the_first(spark):
+    rng = random.Random(11)
+    p, q = words(rng, 55), words(rng, 7)
+    rows = [(1, f"{words(rng, 9)} {p} {p} {words(rng, 9)}"), (2, f"{words(rng, 9)} " + " ".join([q] * 30))]
+    cut = {r.doc_id: r.text for r in passage_dedup.remove_stretches(table(spark, rows)).collect()}
+    assert cut[1].count(p) == 1 and len(cut[1].split()) == 73
+    assert q in cut[2] and len(cut[2].split()) < 9 + 210
+    assert passage_dedup.repeated_stretches(table(spark, [(1, "a b"), (1, p), (1, p), (2, p)])).count() == 1
+
+
 def plain_vectors(rows, cosine=0.95):
     good = [
         (k, i, np.array(v, float)) for k, (i, v) in enumerate(rows)
