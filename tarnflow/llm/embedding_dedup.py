@@ -5,8 +5,9 @@ On a bounded sample, iterative quantisation learns rotations whose signs are bal
 bits). Every vector is then entered into tables that each index some of its bits. Vectors that agree
 in a table's bits meet in its bucket, and the original vectors decide: cosine in double precision
 at or above the threshold. Bits per table follow from the number of vectors, so that a bucket holds
-few strangers; the number of tables follows from the chance that a pair at the threshold keeps all
-bits of one, so that hardly any is missed (``MISS``).
+few strangers; the number of tables follows from the chance that a pair at the threshold shares a
+table under the learned, centred planes. It is counted on sample vectors that are moved to the threshold,
+at random, towards each other and around the mean, so that hardly any is missed (``MISS``), also where all lie to one side.
 
 Equal vectors are entered once, with their count. A pair counts in the first table it meets in.
 Large buckets are split into parts, and every two parts meet, so no bucket is capped and none lies
@@ -38,6 +39,10 @@ SAMPLE = 20_000
 #: Share of pairs right at the threshold that the tables may miss; closer pairs are missed less.
 MISS = 0.003
 BUCKET = 32
+#: With more tables than this, buckets get larger instead.
+MOST_TABLES = 400
+#: Bytes that a batch of entries may take.
+ENTERED = 1 << 24
 BLOCK = 1024
 
 
@@ -63,10 +68,59 @@ def table_shape(n: int, cosine: float = COSINE, miss: float = MISS) -> tuple[int
     return math.ceil(math.log(miss) / math.log(1 - keep)), bits
 
 
+def _moved(unit: np.ndarray, mean: np.ndarray, cosine: float, rng: np.random.Generator) -> list[np.ndarray]:
+    """``unit`` at ``cosine`` from where it was: in random directions, towards others, around the mean."""
+    out = []
+    for step in (rng.normal(size=unit.shape), unit[rng.permutation(len(unit))]):
+        step = step - (step * unit).sum(axis=1, keepdims=True) * unit
+        size = np.linalg.norm(step, axis=1, keepdims=True)
+        # (what stands at the vector itself, or has no other direction, stays)
+        moved = cosine * unit + math.sqrt(1 - cosine**2) * step / np.maximum(size, 1e-12)
+        out.append(np.where(size > 1e-9, moved, unit))
+    rest = unit - mean
+    far = np.maximum(np.linalg.norm(rest, axis=1, keepdims=True), 1e-12)
+    rest, step = rest / far, rng.normal(size=unit.shape)
+    step -= (step @ mean)[:, None] * mean / max(mean @ mean, 1e-12)
+    step -= (step * rest).sum(axis=1, keepdims=True) * rest
+    step /= np.maximum(np.linalg.norm(step, axis=1, keepdims=True), 1e-12)
+    turned = np.maximum(1 - (1 - cosine) / far**2, -1)
+    out.append(mean + far * (turned * rest + np.sqrt(1 - turned**2) * step))
+    return out
+
+
+def missed(codes: Codes, unit: np.ndarray, cosine: float, seed: int = 1) -> float:
+    """Share of pairs at ``cosine`` that agree in no table, in the worst of three kinds of pairs."""
+    rng, shares = np.random.default_rng(seed), []
+    unit = unit[rng.permutation(len(unit))[:2000]]
+    for moved in _moved(unit, codes.mean, cosine, rng):
+        lost = 0
+        for c in range(0, len(unit), 200):
+            lost += (~(codes.keys(unit[c : c + 200]) == codes.keys(moved[c : c + 200])).any(axis=1)).sum()
+        shares.append(lost / max(1, len(unit)))
+    return max(shares)
+
+
+def fitted_codes(sample: np.ndarray, n: int, cosine: float = COSINE, miss: float = MISS) -> Codes:
+    """Codes with as many tables as ``missed`` asks for; ``table_shape`` gives the least."""
+    tables, bits = table_shape(n, cosine, miss)
+    while True:
+        codes = learn_codes(sample, tables, bits)
+        if missed(codes, sample, cosine) <= miss:
+            return codes
+        tables = math.ceil(1.3 * tables)
+        if tables > MOST_TABLES:
+            # Fewer bits: larger buckets, whose pairs are all compared; none at all is brute force.
+            tables, bits = table_shape(n, cosine, miss)[0], bits - 2
+            if bits < 2:
+                return learn_codes(sample, 1, 0)
+
+
 def learn_codes(sample: np.ndarray, tables: int, bits: int, rounds: int = 25, seed: int = 0) -> Codes:
     """Iterative quantisation: alternate between codes and the rotation that fits them best."""
     rng = np.random.default_rng(seed)
     dim = sample.shape[1]
+    if not bits:
+        return Codes(np.zeros(dim), np.zeros((dim, 0)), tables, 0)
     mean = sample.mean(axis=0)
     centred = sample - mean
     _, axes = np.linalg.eigh(centred.T @ centred + 1e-9 * np.eye(dim))
@@ -104,8 +158,9 @@ def _enter(codes: Codes, dim: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.arange(codes.tables, dtype=np.int64) << 32
         for whole in batches:
-            for start in range(0, len(whole), 512):
-                batch = whole.slice(start, 512)
+            step = max(1, min(512, ENTERED // (codes.tables * (8 * dim + 4 * codes.tables))))
+            for start in range(0, len(whole), step):
+                batch = whole.slice(start, step)
                 raw = batch.column("raw").to_pylist()
                 keys = codes.keys(_unit(raw, dim))
                 at = np.repeat(np.arange(len(batch)), codes.tables)
@@ -190,9 +245,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         usable.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.min("raw").alias("raw")),
         "distinct",
     )
-    tables, bits = table_shape(distinct.count(), cosine, miss)
     picked = bounded_sample(distinct, sample, "h1", "h2").select("raw").toPandas()
-    codes = learn_codes(_unit([bytes(x) for x in picked["raw"]], dim), tables, bits)
+    codes = fitted_codes(_unit([bytes(x) for x in picked["raw"]], dim), distinct.count(), cosine, miss)
 
     entered = distinct.select("id", "n", "raw").mapInArrow(
         _enter(codes, dim), "bucket long, id long, n long, raw binary, codes binary"
@@ -211,7 +265,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     ).withColumn("own", F.col("part") == F.col("with")).drop("with")
     found = stage(
         dealt.repartition(F.col("key")).sortWithinPartitions("key")
-        .mapInArrow(_rerank(cosine, tables, dim), "u long, v long, links long"),
+        .mapInArrow(_rerank(cosine, codes.tables, dim), "u long, v long, links long"),
         "links",
     )
     copies = distinct.select("h1", "h2", F.col("id").alias("rep"), "n")

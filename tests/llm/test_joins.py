@@ -221,6 +221,28 @@ def test_embeddings(spark, monkeypatch):
     assert embedding_dedup.near_duplicates(df.where("embedding IS NULL")).count() == 1
 
 
+@pytest.mark.parametrize("offset", [0.0, 0.7, 0.9])
+def test_links_of_vectors_with_an_offset(offset):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(6000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x = np.hstack([np.full((6000, 1), offset), np.sqrt(1 - offset**2) * x])
+    codes = embedding_dedup.fitted_codes(x[:4000], 100_000)
+    # Pairs right at the threshold, both at the same distance from the mean.
+    a, b = x[4000:], rng.normal(size=(2000, 65))
+    b[:, 0] = 0
+    rest = a.copy()
+    rest[:, 0] = 0
+    rest /= np.linalg.norm(rest, axis=1, keepdims=True)
+    b -= (b * rest).sum(axis=1, keepdims=True) * rest
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    c = (0.95 - offset**2) / (1 - offset**2)
+    y = np.sqrt(1 - offset**2) * (c * rest + np.sqrt(1 - c**2) * b)
+    y[:, 0] = offset
+    assert np.allclose((a * y).sum(axis=1), 0.95)
+    assert (codes.keys(a) == codes.keys(y)).any(axis=1).mean() >= 0.99
+
+
 def test_bounded_samples_and_lists(spark):
     from tarnflow.llm.common import bounded_sample
 
