@@ -14,9 +14,9 @@ Large buckets are split into parts, and every two parts meet, so no bucket is ca
 in one task; sums and a forest of links leave a task, never its pairs.
 
 Vectors that are null, of length zero, or hold null or non-finite components link with nothing; so
-do rows without an id, and vectors of another length than most of the sample. Rows that share an
-id are one node, but each row counts as a vector. Empty tables give empty results; other columns
-are ignored.
+do rows without an id. Vectors of equal length are compared, each length under codes of its own; where
+a length is rare, all its vectors meet. Rows that share an id are one node, but each row counts as a
+vector. Empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,6 +41,8 @@ MISS = 0.003
 BUCKET = 32
 #: With more tables than this, buckets get larger instead.
 MOST_TABLES = 400
+#: Vectors of a length with this many at most need no codes: all of them meet.
+FEW = 1024
 #: Bytes that a batch of entries may take.
 ENTERED = 1 << 24
 BLOCK = 1024
@@ -178,7 +180,7 @@ def _enter(codes: Codes, dim: int):
     return run
 
 
-def _rerank(cosine: float, tables: int, dim: int):
+def _rerank(cosine: float):
     """In each bucket: link counts by vector, and a forest of the links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,14 +189,22 @@ def _rerank(cosine: float, tables: int, dim: int):
             ids, n = table.column("id").to_numpy(), table.column("n").to_numpy()
             which = (table.column("bucket").to_numpy() >> 32).astype(int)
             part, own = table.column("part").to_numpy(), table.column("own").to_numpy()
-            unit = _unit(table.column("raw").to_pylist(), dim)
-            codes = np.frombuffer(b"".join(table.column("codes").to_pylist()), np.int32).reshape(-1, tables)
-            cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1), len(key)]
+            raw, signs = table.column("raw").to_pylist(), table.column("codes").to_pylist()
+            length = np.array([len(x) for x in raw])
+            place, units, codes_of = np.zeros(len(raw), int), {}, {}
+            for d in np.unique(length).tolist():
+                rows = np.flatnonzero(length == d)
+                place[rows] = np.arange(len(rows))
+                units[d] = _unit([raw[r] for r in rows], d // 8)
+                codes_of[d] = np.frombuffer(b"".join(signs[r] for r in rows), np.int32).reshape(len(rows), -1)
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]) | (length[1:] != length[:-1])) + 1), len(key)]
             node, other, links = [], [], []
             for a, b in zip(cuts, cuts[1:]):
                 if b - a < 2:
                     continue
-                near = unit[a:b] @ unit[a:b].T >= cosine
+                here = slice(place[a], place[a] + b - a)
+                unit, codes = units[length[a]][here], codes_of[length[a]][here]
+                near = unit @ unit.T >= cosine
                 np.fill_diagonal(near, False)
                 if not near.any():
                     continue
@@ -206,7 +216,7 @@ def _rerank(cosine: float, tables: int, dim: int):
                 first = np.ones(len(i), bool)
                 for c in range(0, len(i), 100_000):
                     s = slice(c, c + 100_000)
-                    first[s] = ~(codes[a + i[s], :t] == codes[a + j[s], :t]).any(axis=1)
+                    first[s] = ~(codes[i[s], :t] == codes[j[s], :t]).any(axis=1)
                 count = np.bincount(i[first], weights=n[a + j[first]], minlength=b - a).astype(np.int64)
                 for x in np.flatnonzero(count):
                     node.append(int(ids[a + x])), other.append(None), links.append(int(count[x]))
@@ -236,36 +246,46 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         "vectors",
     )
     usable = points.where("raw IS NOT NULL AND id IS NOT NULL")
-    dims = usable.groupBy(F.length("raw").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if dims is None:
-        return _result(points.select("id", F.lit(0).cast("long").alias("n"), F.lit(None).cast("long").alias("component")), id_col)
-    dim = dims["d"] // 8
-    usable = usable.where(F.length("raw") == dims["d"])
     distinct = stage(
         usable.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.min("raw").alias("raw")),
         "distinct",
     )
-    picked = bounded_sample(distinct, sample, "h1", "h2").select("raw").toPandas()
-    codes = fitted_codes(_unit([bytes(x) for x in picked["raw"]], dim), distinct.count(), cosine, miss)
+    lengths = {r["d"]: r["count"] for r in distinct.groupBy(F.length("raw").alias("d")).count().collect()}
+    if not lengths:
+        return _result(points.select("id", F.lit(0).cast("long").alias("n"), F.lit(None).cast("long").alias("component")), id_col)
 
-    entered = distinct.select("id", "n", "raw").mapInArrow(
-        _enter(codes, dim), "bucket long, id long, n long, raw binary, codes binary"
+    few = [d for d, count in lengths.items() if count <= FEW]
+    alone = F.lit(np.zeros(1, np.int32).tobytes())
+    entered = distinct.where(F.length("raw").isin(few)).select(
+        F.lit(0).cast("long").alias("bucket"), "id", "n", "raw", alone.alias("codes")
     )
+    for d, count in sorted(lengths.items()):
+        if count <= FEW:
+            continue
+        own = distinct.where(F.length("raw") == d)
+        picked = bounded_sample(own, sample, "h1", "h2").select("raw").toPandas()
+        codes = fitted_codes(_unit([bytes(x) for x in picked["raw"]], d // 8), count, cosine, miss)
+        entered = entered.unionByName(
+            own.select("id", "n", "raw").mapInArrow(
+                _enter(codes, d // 8), "bucket long, id long, n long, raw binary, codes binary"
+            )
+        )
+    entered = entered.withColumn("d", F.length("raw"))
     large = stage(
-        entered.groupBy("bucket").agg(F.expr(f"(count(*) + {BLOCK} - 1) div {BLOCK}").alias("parts"))
+        entered.groupBy("bucket", "d").agg(F.expr(f"(count(*) + {BLOCK} - 1) div {BLOCK}").alias("parts"))
         .where("parts > 1"),
         "large-buckets",
     )
-    dealt = entered.join(large, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = entered.join(large, ["bucket", "d"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64(F.lit(7), "id"), F.col("parts")))
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     dealt = dealt.select(
-        F.xxhash64("bucket", F.least("part", "with"), F.greatest("part", "with"), F.lit(5)).alias("key"),
+        F.xxhash64("bucket", "d", F.least("part", "with"), F.greatest("part", "with"), F.lit(5)).alias("key"),
         "bucket", "id", "n", "raw", "codes", "part", F.lit(True).alias("own"), "with",
     ).withColumn("own", F.col("part") == F.col("with")).drop("with")
     found = stage(
         dealt.repartition(F.col("key")).sortWithinPartitions("key")
-        .mapInArrow(_rerank(cosine, codes.tables, dim), "u long, v long, links long"),
+        .mapInArrow(_rerank(cosine), "u long, v long, links long"),
         "links",
     )
     copies = distinct.select("h1", "h2", F.col("id").alias("rep"), "n")
@@ -280,9 +300,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     )
     linked = usable.select("id", "h1", "h2").join(sums, ["h1", "h2"]).select("id", "n")
     joined = linked.join(components, F.col("id") == F.col("node"), "left").select("id", "n", "component")
-    rest = points.where(
-        f"raw IS NULL OR id IS NULL OR length(raw) <> {dims['d']}"
-    ).select("id", F.lit(0).cast("long").alias("n"), F.lit(None).cast("long").alias("component"))
+    rest = points.where("raw IS NULL OR id IS NULL").select(
+        "id", F.lit(0).cast("long").alias("n"), F.lit(None).cast("long").alias("component")
+    )
     return _result(joined.unionByName(rest), id_col)
 
 

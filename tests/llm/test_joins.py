@@ -243,6 +243,27 @@ def test_links_of_vectors_with_an_offset(offset):
     assert (codes.keys(a) == codes.keys(y)).any(axis=1).mean() >= 0.99
 
 
+def test_vectors_of_several_lengths(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "FEW", 40, raising=False)
+    rng = np.random.default_rng(3)
+    rows = []
+    for dim, count in ((8, 60), (12, 50), (5, 10), (1, 2)):
+        x = rng.normal(size=(count, dim))
+        rows += x.tolist() + (x + 0.01 * rng.normal(size=x.shape)).tolist() + x[:1].tolist()
+    df = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(df).collect()}
+    links = dict.fromkeys(range(len(rows)), 0)
+    for a in range(len(rows)):
+        for b in range(a):
+            if len(rows[a]) == len(rows[b]):
+                x, y = np.array(rows[a]), np.array(rows[b])
+                if x @ y >= 0.95 * np.linalg.norm(x) * np.linalg.norm(y):
+                    links[a] += 1
+                    links[b] += 1
+    assert len(got) == len(rows) and {i: r.n_links for i, r in got.items()} == links
+    assert all(r.kept == (r.component_id == i) for i, r in got.items())
+
+
 def test_bounded_samples_and_lists(spark):
     from tarnflow.llm.common import bounded_sample
 
