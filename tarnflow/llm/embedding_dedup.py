@@ -105,9 +105,11 @@ def missed(codes: Codes, unit: np.ndarray, cosine: float, seed: int = 1) -> floa
 def fitted_codes(sample: np.ndarray, n: int, cosine: float = COSINE, miss: float = MISS) -> Codes:
     """Codes with as many tables as ``missed`` asks for; ``table_shape`` gives the least."""
     tables, bits = table_shape(n, cosine, miss)
+    # Counted on vectors that the planes were not fitted to, which lose more bits.
+    held, fitted = sample[: len(sample) // 5], sample[len(sample) // 5 :]
     while True:
-        codes = learn_codes(sample, tables, bits)
-        if missed(codes, sample, cosine) <= miss:
+        codes = learn_codes(fitted, tables, bits)
+        if missed(codes, held, cosine) <= miss:
             return codes
         tables = math.ceil(1.3 * tables)
         if tables > MOST_TABLES:
