@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tarnflow.llm import (
     embedding_dedup,
     exact_dedup,
+    filter_audit,
     language_id,
     line_dedup,
     ngram_join,
@@ -91,6 +92,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return filter_audit.audit(docs.select("doc_id", "text", "source"), labels)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -108,6 +114,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_ngram_join": op9_ngram_join,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_filter_audit": op13_filter_audit,
     "pipeline": pipeline,
 }
 
@@ -170,4 +177,38 @@ ORACLE = {
     SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
            doc_id = first_value(doc_id) OVER w AS kept, h AS text_sha256
     FROM d WINDOW w AS (PARTITION BY h ORDER BY n DESC, doc_id)""",
+    "op13_filter_audit": r"""
+    WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+    l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+    w AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+                 min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+    m AS (SELECT doc_id, part,
+                 (len(ws) < 200)::INT + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::INT
+                 + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::INT
+                 + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > least, false)::INT AS fails
+          FROM w),
+    c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+          FROM m LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+    f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit),
+    o AS (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+          FROM f a, f b, f c, f d, f e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+            AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+    s AS (SELECT filter_order, step, f, bit,
+                 (SELECT coalesce(sum(g.bit), 0)::INT FROM f g
+                  WHERE position(g.f IN filter_order) < step) AS before
+          FROM o, range(1, 6) r(step), f WHERE position(f IN filter_order) = step),
+    r AS (SELECT part, filter_order, step, f,
+                 sum(n) FILTER (fails & (before | bit) = 0) AS kept,
+                 sum(n) FILTER (fails & bit > 0 AND fails & before = 0) AS removed,
+                 sum(n) FILTER (fails & bit > 0 AND fails & before > 0) AS redundant,
+                 sum(n) FILTER (fails = bit) AS unique_fails,
+                 sum(good) FILTER (fails & bit > 0 AND fails & before = 0) AS good_lost,
+                 sum(toxic) FILTER (fails & bit > 0 AND fails & before = 0) AS toxic_lost
+          FROM c, s GROUP BY ALL)
+    SELECT part, filter_order, step::INT AS step,
+           coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+           coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+           coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+           (sum(coalesce(removed, 0)) OVER (PARTITION BY part, f))::BIGINT AS shapley
+    FROM r""",
 }
