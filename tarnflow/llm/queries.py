@@ -17,6 +17,7 @@ from tarnflow.llm import (
     quality,
     secret_scan,
     sentencepiece_codec,
+    vector_codes,
 )
 from tarnflow.llm.common import crc32_mod, read_table, scratch_path
 
@@ -92,6 +93,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
     return filter_audit.audit(docs.select("doc_id", "text", "source"), labels)
@@ -114,6 +119,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_ngram_join": op9_ngram_join,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_vector_codes": op11_vector_codes,
     "op13_filter_audit": op13_filter_audit,
     "pipeline": pipeline,
 }
@@ -156,6 +162,44 @@ def _op5_sql() -> str:
     FROM d LEFT JOIN a USING (doc_id)"""
 
 
+def _op11_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """The rounds one after the other, each a comparison of all parts with all entries."""
+    entries, parts, scale = vector_codes.ENTRIES, vector_codes.PARTS, vector_codes.SCALE
+    nearest = """
+    SELECT v.row, v.part, arg_min(b.entry, (d, b.entry)) AS entry, min(d) AS d
+    FROM v JOIN c{0} b USING (part),
+         LATERAL (SELECT list_sum(list_transform(list_zip(v.x, b.x), lambda p: (p[1] - p[2]) ** 2))::BIGINT AS d)
+    GROUP BY v.row, v.part"""
+    steps = []
+    for k in range(rounds):
+        steps.append(f"a{k} AS MATERIALIZED ({nearest.format(k)})")
+        steps.append(f"""
+    m{k} AS (SELECT part, entry, i, (s - ((s % n) + n) % n) // n AS value FROM (
+      SELECT part, entry, i, sum(value)::BIGINT AS s, count(*) AS n
+      FROM (SELECT a.part, a.entry, unnest(v.x) AS value, generate_subscripts(v.x, 1) AS i
+            FROM a{k} a JOIN v USING (row, part)) GROUP BY part, entry, i)),
+    c{k + 1} AS MATERIALIZED (SELECT c.part, c.entry, coalesce(u.x, c.x) AS x FROM c{k} c LEFT JOIN
+      (SELECT part, entry, list(value ORDER BY i) AS x FROM m{k} GROUP BY part, entry) u USING (part, entry))""")
+    return f"""
+    WITH e AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id, label,
+             [floor({scale} * x::DOUBLE)::BIGINT FOR x IN embedding] AS x
+      FROM embeddings WHERE embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    v AS MATERIALIZED (SELECT row, part, x[len(x) // {parts} * part + 1 : len(x) // {parts} * (part + 1)] AS x
+                       FROM e, range({parts}) r(part)),
+    c0 AS MATERIALIZED (SELECT part, row - 1 AS entry, x FROM v WHERE row <= {entries}),
+    {', '.join(steps)},
+    f AS ({nearest.format(rounds)}),
+    b AS (SELECT sha256(string_agg(value, ',' ORDER BY part, entry, i)) AS digest FROM (
+      SELECT part, entry, unnest(x)::VARCHAR AS value, generate_subscripts(x, 1) AS i FROM c{rounds})),
+    t AS (SELECT row, string_agg(lpad(lower(to_hex(entry)), 2, '0'), '' ORDER BY part) AS code,
+                 sum(d)::BIGINT AS error FROM f GROUP BY row)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+           (SELECT digest FROM b) AS codebooks_sha256
+    FROM t JOIN e USING (row)"""
+
+
 ORACLE = {
     "op5_secret_scan": _op5_sql(),
     "op6_line_dedup": r"""
@@ -177,6 +221,7 @@ ORACLE = {
     SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
            doc_id = first_value(doc_id) OVER w AS kept, h AS text_sha256
     FROM d WINDOW w AS (PARTITION BY h ORDER BY n DESC, doc_id)""",
+    "op11_vector_codes": _op11_sql(),
     "op13_filter_audit": r"""
     WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
     l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
