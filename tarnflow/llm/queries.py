@@ -13,6 +13,7 @@ from tarnflow.llm import (
     line_dedup,
     ngram_join,
     packing,
+    page_text,
     passage_dedup,
     quality,
     secret_scan,
@@ -97,6 +98,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
 
 
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (read_table(spark, sf_dir, name) for name in ("documents", "labels"))
     return filter_audit.audit(docs.select("doc_id", "text", "source"), labels)
@@ -120,6 +125,7 @@ QUERIES = {
     "op9_ngram_join": op9_ngram_join,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_vector_codes": op11_vector_codes,
+    "op12_page_text": op12_page_text,
     "op13_filter_audit": op13_filter_audit,
     "pipeline": pipeline,
 }
