@@ -20,8 +20,9 @@ SF = "/root/testdata/sf0.001"
 def test_registration():
     assert queries.QUERIES.keys() <= contract.queries().keys()
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in queries.QUERIES
-    assert set(queries.ORACLE) == {"op5_secret_scan", "op6_line_dedup", "op10_exact_dedup"}
+    assert numbers == list(range(1, 14)) and "pipeline" in queries.QUERIES
+    natively = {"op5_secret_scan", "op6_line_dedup", "op10_exact_dedup"}
+    assert set(queries.ORACLE) == natively | {"op11_vector_codes", "op13_filter_audit"}
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
