@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnflow.sources.storage import delete_path
+
 #: The white space of the contracts: blank and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -33,12 +35,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to shared storage and read back.
 
     Cuts the lineage: a lost executor costs a re-read, and steps that use the table twice do not
-    repeat what made it. The caller's cluster expires the folder, as it does for checkpoints.
+    repeat what made it. ``unstage`` deletes it where nothing reads it any more; the caller's cluster
+    expires the rest, as it does for checkpoints.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_at = path
+    return table
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete tables that ``stage`` wrote and that later steps have replaced."""
+    for table in tables:
+        delete_path(table.sparkSession, table.staged_at)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,29 +1,31 @@
 """Substring dedup by paragraph MinHash banding.
 
-Paragraphs are stretches of a line: long lines are also cut where the hash of a three-word window is
-the smallest for ``REACH`` words around, so that a passage which was copied into the middle of
-another line is cut in the same places. Each line is cut on its own: equal lines give equal paragraphs. A paragraph's set holds its distinct five-word shingles.
-
-Equal paragraphs are one. Each distinct one has ``BANDS`` keys of ``ROWS`` MinHash values. Sets this
-small need short bands: at a Jaccard similarity of 0.75 two of them share a key with probability
-1 - (1 - 0.75)^3 = 98.4 percent, as with five bands of two values, which are more rows to shuffle.
-All paragraphs that collide are compared, by exact Jaccard of their shingle sets (100 * intersection
->= 75 * union), and linked ones form classes by connected components. Large buckets are split into
-parts, and every two parts meet, so no bucket is capped and none lies in one task; a forest of links
-leaves a task, never its pairs. The first occurrence of a class by (id, place) stays.
-
-Exact repeats of ``LEAST_EXACT`` words or more are all found, wherever they lie: of the hashes of
-``SEED`` words in a row, each text gives the smallest of every ``LEAST_EXACT - SEED + 1`` neighbours, so
-that two such passages have one in common. Later occurrences of seeds and paragraphs are
-extended word by word to both sides against the occurrence that stays, ``REACHED`` words at most; by
-then the next seed of the same passage takes over. What adjoins is merged, and a merged stretch of
-``LEAST_WORDS`` words or more is a removal.
-
-Texts that are null, empty or shorter than five words have no paragraphs; rows without an id are
-left alone. Rows that share an id and a text count as one document; where an id has several texts,
-its stretches are not extended. Places are code points, end
-exclusive. Empty tables give empty results; other columns travel along. A paragraph may occur any
-number of times: counts and first places are combined before the shuffle, occurrences are joined.
+Paragraphs are lines of ``LEAST_WORDS`` words or more. Lines of more than ``CUT`` words are also cut where the
+hash of a three-word window is the smallest for ``REACH`` words around (and no longer taken whole from
+``WHOLE`` words on), so that long lines that agree in part are cut alike. Each line is cut on its own: equal
+lines give equal paragraphs. A paragraph's set holds its distinct five-word shingles.
+
+Equal paragraphs are one. Each distinct one has ``BANDS`` keys of ``ROWS`` MinHash values: at a Jaccard
+similarity of 0.75 two of them share a key with probability 1 - (1 - 0.75^2)^5 = 98.4 percent, and a phrase
+that many paragraphs share makes few buckets. All paragraphs that collide are compared, by exact Jaccard of
+their shingle sets (100 * intersection >= 75 * union), and linked ones form classes by connected components.
+Large buckets are split into parts, and every two parts meet, so no bucket is capped and none lies in one
+task; a forest of links leaves a task, never its pairs. Buckets with the same members are compared once.
+The first occurrence of a class by (id, text hash, place) stays.
+
+Exact repeats of ``LEAST_WORDS`` words or more are all found, wherever they lie: of the hashes of ``SEED`` words
+in a row, each text gives the smallest of every ``LEAST_WORDS - SEED + 1`` neighbours, so that two such
+passages have one in common. Later occurrences of a seed are compared word by word, to both sides, with
+the occurrence that stays, in rounds, until words differ or a text ends.
+
+Stretches that touch or overlap are merged, and a merged stretch of ``LEAST_WORDS`` words or more is a removal.
+A word is removed only if it lies in a paragraph that is near an earlier one or in an exact repeat.
+
+Texts that are null or have fewer words than that have no paragraphs; rows without an id are left alone.
+Rows that share an id and a text count as one document; texts that share an id are told apart by
+their hash. Words are compared with A-Z lower-cased. Places are code points, end exclusive. Empty tables
+give empty results; other columns travel along. A text, and the occurrences of a paragraph, set no limit:
+counts are combined before the shuffle, and occurrences are joined as written tables, which Spark splits.
 """
 
 from __future__ import annotations
@@ -36,24 +38,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tarnflow.llm.common import slices, stage, whole_runs
+from tarnflow.llm.common import scratch_path, slices, stage, unstage, whole_runs
 from tarnflow.llm.components import connected_components
 from tarnflow.llm.ngram_join import _by_key, _Forest, _in_blocks, _spread
 from tarnflow.llm.text_arrays import column_bytes, mix, shingles, words
+from tarnflow.sources.storage import delete_path
 
 SIMILARITY = 75
-#: Anchors lie 13 words apart on average, so most passages of 50 words hold whole paragraphs.
-REACH = 6
-BANDS, ROWS = 3, 1
 LEAST_WORDS = 20
-LEAST_EXACT = 50
-SEED = 20
-REACHED = 32
-#: Words between two repeated paragraphs (too short to be one) that do not end a stretch.
-GAP = 5
+#: Anchors lie 61 words apart on average.
+REACH = 30
+CUT, WHOLE = 100, 150
+BANDS, ROWS = 5, 2
+SEED = 10
+#: Words compared on each side in the first round, and how much further each next one looks.
+FIRST_ROUND, FURTHER = 12, 8
 #: Most paragraphs of a bucket in one part.
 BLOCK = 512
 _SEEDS = np.random.default_rng(5).integers(1, 2**62, BANDS * ROWS, dtype=np.uint64)
+_MULTIPLIER = 0x9E3779B97F4A7C15
 
 
 def _sliding_min(values: np.ndarray, first: int, last: int) -> np.ndarray:
@@ -69,119 +72,97 @@ def _sliding_min(values: np.ndarray, first: int, last: int) -> np.ndarray:
     return least
 
 
-def paragraphs(column: pa.Array):
-    """Paragraphs of five words or more of each text, and their word hashes.
+class Words:
+    """The words of a text column: hashes, texts, and places in code points."""
 
-    Returns ``(text, first word, words, start, end, hash)`` arrays, the hashes of all words with each
-    text's first word, and ``(text, start, end)`` of all words.
+    def __init__(self, column: pa.Array):
+        data, places = column_bytes(column)
+        self.hashed, self.text, start, end = words(data, places)
+        self.first = np.searchsorted(self.text, np.arange(len(column) + 1))
+        points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        base = points[places[:-1]][self.text] if len(self.text) else np.zeros(0, np.int64)
+        self.start, self.end = points[start] - base, points[end] - base
+        lines = np.concatenate([[0], np.cumsum(data == 10)])
+        self.new_line = np.ones(len(self.hashed), bool)
+        if len(self.hashed):
+            self.new_line[1:] = (self.text[1:] != self.text[:-1]) | (lines[start[1:]] != lines[end[:-1]])
+
+
+def _anchors(w: Words) -> np.ndarray:
+    """Where the hash of a three-word window is the smallest for REACH words around, inside the line.
+
+    Windows that reach past a line's end are none, and lines are set apart, so that equal lines are cut
+    alike wherever they stand. (The leftmost of equals, so that one word again and again stays whole.)
     """
-    n = len(column)
-    data, places = column_bytes(column)
-    hashed, text, start, end = words(data, places)
-    m = len(hashed)
-    first = np.searchsorted(text, np.arange(n + 1))
-    if not m:
-        none = np.zeros(0, np.int64)
-        return (none,) * 5 + (np.zeros(0, np.uint64),), hashed, first, (none,) * 3
-    lines = np.concatenate([[0], np.cumsum(data == 10)])
-    cut = np.ones(m + 1, bool)
-    cut[1:m] = (text[1:] != text[:-1]) | (lines[start[1:]] != lines[end[:-1]])
-    # Anchors: the smallest window hash for REACH words around, inside the line. Windows that reach past
-    # its end are none, and lines are set apart, so that equal lines are cut alike wherever they stand.
-    none = np.uint64(2**64 - 1)
-    line = np.cumsum(cut[:m]) - 1
+    hashed, m, none = w.hashed, len(w.hashed), np.uint64(2**64 - 1)
+    line = np.cumsum(w.new_line) - 1
     window = mix(hashed + np.roll(hashed, -1) * np.uint64(3) + np.roll(hashed, -2) * np.uint64(7))
     window[line != np.append(line[2:], [-1, -1])[:m]] = none
     apart = np.arange(m) + REACH * line
     spaced = np.full(apart[-1] + 1, none)
     spaced[apart] = window
-    # (the leftmost of equals, so that a text of one word again and again stays whole)
     least = (window < _sliding_min(spaced, -REACH, -1)[apart]) & (window <= _sliding_min(spaced, 1, REACH)[apart])
-    cut[:m] |= least & (window != none)
-    at = np.flatnonzero(cut)
-    begin, count = at[:-1], np.diff(at)
-    long = count >= 5
-    begin, count = begin[long], count[long]
-    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    base = points[places[:-1]][text]
-    starts, ends = points[start] - base, points[end] - base
-    owner = text[begin]
+    return least & (window != none)
+
+
+def _cut(w: Words, least_words: int = LEAST_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First words, counts of words, and hashes of the paragraphs of all texts."""
+    m = len(w.hashed)
+    if not m:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    lines = np.append(np.flatnonzero(w.new_line), m)
+    begin, count = lines[:-1], np.diff(lines)
+    whole = (count >= least_words) & (count < WHOLE)
+    begin, count = begin[whole], count[whole]
+    if (np.diff(lines) > CUT).any():
+        cuts = np.append(np.flatnonzero(w.new_line | _anchors(w)), m)
+        size = np.repeat(np.diff(lines), np.diff(lines))[cuts[:-1]]
+        pieces = (np.diff(cuts) >= least_words) & (size > CUT)
+        begin, count = np.append(begin, cuts[:-1][pieces]), np.append(count, np.diff(cuts)[pieces])
     # A polynomial over the words of a paragraph, taken from running sums with running powers.
-    power = np.full(m + 1, 0x9E3779B97F4A7C15, np.uint64)
+    power = np.full(m + 1, _MULTIPLIER, np.uint64)
     power[0] = 1
     power = np.multiply.accumulate(power)
-    inverse = np.full(m + 1, pow(0x9E3779B97F4A7C15, -1, 2**64), np.uint64)
+    inverse = np.full(m + 1, pow(_MULTIPLIER, -1, 2**64), np.uint64)
     inverse[0] = 1
     inverse = np.multiply.accumulate(inverse)
     sums = np.zeros(m + 1, np.uint64)
-    np.cumsum(mix(hashed) * power[:m], out=sums[1:])
-    key = mix((sums[begin + count] - sums[begin]) * inverse[begin] + count.astype(np.uint64))
-    found = (
-        owner, begin - first[owner], count, starts[begin], ends[begin + count - 1], key,
-    )
-    return found, hashed, first, (text, starts, ends)
+    np.cumsum(mix(w.hashed) * power[:m], out=sums[1:])
+    return begin, count, mix((sums[begin + count] - sums[begin]) * inverse[begin] + count.astype(np.uint64))
+
+
+def paragraphs(column: pa.Array, least_words: int = LEAST_WORDS):
+    """``(text, first word, words, start, end, hash)`` of the paragraphs of each text, and the words."""
+    w = Words(column)
+    begin, count, key = _cut(w, least_words)
+    owner = w.text[begin]
+    return (owner, begin - w.first[owner], count, w.start[begin], w.end[begin + count - 1], key), w
 
 
-def seeds(hashed: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def seeds(w: Words) -> tuple[np.ndarray, np.ndarray]:
     """First words and hashes of the ``SEED`` words in a row that stand for a text (winnowing)."""
-    wide = LEAST_EXACT - SEED + 1
-    n = len(hashed) - SEED + 1
+    wide = LEAST_WORDS - SEED + 1
+    hashed, n = w.hashed, len(w.hashed) - SEED + 1
     if n < wide:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     mixed, value = mix(hashed), np.zeros(n, np.uint64)
     for j in range(SEED):
         value = value * np.uint64(0xD1342543DE82EF95) + mixed[j : j + n]
     value = mix(value)
-    inside = np.flatnonzero(text[: n - wide + 1] == text[LEAST_EXACT - 1 :])
-    picked = []
+    inside = np.flatnonzero(w.text[: n - wide + 1] == w.text[LEAST_WORDS - 1 :])
+    picked = np.zeros(n, bool)
     for c in range(0, len(inside), 1 << 14):
         at = inside[c : c + (1 << 14)]
-        picked.append(at + np.lib.stride_tricks.sliding_window_view(value, wide)[at].argmin(axis=1))
-    begin = np.unique(np.concatenate(picked)) if picked else np.zeros(0, np.int64)
+        picked[at + np.lib.stride_tricks.sliding_window_view(value, wide)[at].argmin(axis=1)] = True
+    begin = np.flatnonzero(picked)
+    # One word again and again would give a seed at every place: of such runs, one a window will do.
+    run = np.ones(len(begin), bool)
+    run[1:] = (value[begin[1:]] != value[begin[:-1]]) | (np.diff(begin) != 1)
+    since = np.arange(len(begin)) - np.maximum.accumulate(np.where(run, np.arange(len(begin)), 0))
+    begin = begin[since % wide == 0]
     return begin, value[begin]
 
 
-def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Paragraphs and seeds of each text."""
-    for part in slices(batches, "text"):
-        found, hashed, first, (text, starts, ends) = paragraphs(part.column("text"))
-        at, value = seeds(hashed, text)
-        seed = (text[at], at - first[text[at]], np.full(len(at), SEED), starts[at], ends[at + SEED - 1] if len(at) else at, value)
-        owner, place, count, start, end, key = (np.concatenate(x) for x in zip(found, seed))
-        yield pa.record_batch(
-            [
-                part.column("id").take(pa.array(owner)), pa.array(key.view(np.int64)),
-                *(pa.array(x.astype(np.int32)) for x in (place, count, start, end)),
-            ],
-            ["id", "key", "place", "n", "start", "end"],
-        )
-
-
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The words on the wanted side of the wanted places, nearest first: hashes and code points."""
-    for part in slices(batches, "text"):
-        _, hashed, first, (_, starts, ends) = paragraphs(part.column("text"))
-        wanted = part.column("wanted").to_pylist()
-        owner = np.repeat(np.arange(len(part)), [len(w) for w in wanted])
-        right = np.array([x["right"] for w in wanted for x in w], bool)
-        at = np.array([x["at"] for w in wanted for x in w], np.int64)
-        count = np.clip(np.where(right, (first[1:] - first[:-1])[owner] - at, at), 0, REACHED)
-        cuts = np.concatenate([[0], np.cumsum(count)])
-        step = np.arange(cuts[-1]) - np.repeat(cuts[:-1], count)
-        side = np.repeat(right, count)
-        word = np.repeat(first[owner] + at, count) + np.where(side, step, -1 - step)
-        places = np.where(side, ends[word], starts[word]).astype(np.int32)
-        offsets = pa.array(cuts.astype(np.int32))
-        yield pa.record_batch(
-            [
-                part.column("id").take(pa.array(owner)), pa.array(right), pa.array(at.astype(np.int32)),
-                pa.ListArray.from_arrays(offsets, pa.array(hashed[word].view(np.int64))),
-                pa.ListArray.from_arrays(offsets, pa.array(places)),
-            ],
-            ["id", "right", "at", "words", "places"],
-        )
-
-
 def _shingles_of(hashed: np.ndarray, begin: np.ndarray, count: np.ndarray):
     """Shingles of paragraphs given by their words' places in ``hashed``: ``(hash, paragraph)``."""
     owner = np.repeat(np.arange(len(begin)), count)
@@ -189,46 +170,105 @@ def _shingles_of(hashed: np.ndarray, begin: np.ndarray, count: np.ndarray):
     return shingles(hashed[at], owner, len(begin), 5)
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches, "text"):
-        (owner, place, count, _, _, key), hashed, first, _ = paragraphs(part.column("text"))
-        if not len(key):
-            continue
-        _, pick = np.unique(key, return_index=True)
-        owner, place, count, key = owner[pick], place[pick], count[pick], key[pick]
-        full, of = _shingles_of(hashed, first[owner] + place, count)
-        begin = np.searchsorted(of, np.arange(len(key)))
-        bands = []
-        for b in range(BANDS):
-            band = np.full(len(key), b + 1, np.uint64)
-            for r in range(ROWS):
-                band = mix(band * np.uint64(31) + np.minimum.reduceat(mix(full ^ _SEEDS[b * ROWS + r]), begin))
-            bands.append(band)
-        yield pa.record_batch(
-            [
-                pa.array(np.concatenate(bands).view(np.int64)),
-                pa.array(np.tile(key.view(np.int64), BANDS)),
-            ],
-            ["band", "key"],
-        )
+def _lists(values: np.ndarray, sizes) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values))
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingle sets of the wanted paragraphs of each text."""
-    for part in slices(batches, "text"):
-        (owner, place, count, _, _, key), hashed, first, _ = paragraphs(part.column("text"))
-        wanted = [set(w) for w in part.column("wanted").to_pylist()]
-        hit = np.array([k in wanted[o] for k, o in zip(key.view(np.int64).tolist(), owner)], bool)
-        owner, place, count, key = owner[hit], place[hit], count[hit], key[hit]
-        full, of = _shingles_of(hashed, first[owner] + place, count)
-        cuts = np.searchsorted(of, np.arange(len(key) + 1))
-        yield pa.record_batch(
-            [
-                pa.array(key.view(np.int64)),
-                pa.array([np.unique(full[a:b]).view(np.int64) for a, b in zip(cuts, cuts[1:])], pa.list_(pa.int64())),
-            ],
-            ["key", "items"],
-        )
+UNITS = "id long, h long, key long, place int, n int, start int, end int, bands array<long>"
+
+
+def _units(least_words: int):
+    """Seeds (without ``n`` and what follows) and paragraphs of each text, apart."""
+
+    def batch(part, w, kind, begin, key, *more):
+        owner = pa.array(w.text[begin])
+        columns = [
+            part.column("id").take(owner), part.column("h").take(owner), pa.array(key.view(np.int64)),
+            pa.array((begin - w.first[w.text[begin]]).astype(np.int32)), *more,
+        ]
+        names = ["id", "h", "key", "place", "n", "start", "end", "bands"]
+        types = dict(zip(names[4:], [pa.int32()] * 3 + [pa.list_(pa.int64())]))
+        columns += [pa.nulls(len(begin), types[name]) for name in names[len(columns) :]]
+        return pa.record_batch([*columns, pa.array(np.full(len(begin), kind, np.int32))], [*names, "kind"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text", 1 << 20):
+            w = Words(part.column("text"))
+            yield batch(part, w, 0, *seeds(w))
+            begin, count, key = _cut(w, least_words)
+            if not len(key):
+                continue
+            full, of = _shingles_of(w.hashed, begin, count)
+            cuts = np.searchsorted(of, np.arange(len(key)))
+            bands = np.empty((len(key), BANDS), np.uint64)
+            for b in range(BANDS):
+                band = np.full(len(key), b + 1, np.uint64)
+                for r in range(ROWS):
+                    band = mix(band * np.uint64(31) + np.minimum.reduceat(mix(full ^ _SEEDS[b * ROWS + r]), cuts))
+                bands[:, b] = band
+            yield batch(
+                part, w, 1, begin, key, pa.array(count.astype(np.int32)), pa.array(w.start[begin].astype(np.int32)),
+                pa.array(w.end[begin + count - 1].astype(np.int32)),
+                _lists(bands.reshape(-1).view(np.int64), np.full(len(key), BANDS)),
+            )
+
+    return run
+
+
+BESIDE = (
+    "id long, h long, right boolean, at int, words array<int>, places array<int>, key long, items array<int>"
+)
+
+
+def _beside(reach: int):
+    """What is wanted of each text: words on one side of a place, nearest first, and shingle sets.
+
+    ``places`` begins with the code point of the place itself.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text", 1 << 20):
+            w = Words(part.column("text"))
+            for rows, wanted in ((part, part.column("ends")), (part, part.column("sets"))):
+                owner = np.repeat(np.arange(len(part)), wanted.value_lengths().fill_null(0).to_numpy().astype(np.int64))
+                flat = wanted.flatten()
+                if not len(owner):
+                    continue
+                ids = [rows.column(c).take(pa.array(owner)) for c in ("id", "h")]
+                if wanted is not None and "right" in [f.name for f in flat.type]:
+                    right = flat.field("right").to_numpy(zero_copy_only=False)
+                    at = flat.field("at").to_numpy().astype(np.int64)
+                    count = np.clip(np.where(right, (w.first[1:] - w.first[:-1])[owner] - at, at), 0, reach)
+                    side = np.repeat(right, count)
+                    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                    word = np.repeat(w.first[owner] + at, count) + np.where(side, step, -1 - step)
+                    edge = w.first[owner] + at
+                    own = np.where(right, w.end[np.maximum(edge - 1, 0)], w.start[np.minimum(edge, len(w.start) - 1)])
+                    # The place itself comes before the words' own.
+                    places = np.insert(np.where(side, w.end[word], w.start[word]), np.cumsum(count) - count, own)
+                    hashed = (w.hashed[word] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                    more = [
+                        pa.array(right), pa.array(at.astype(np.int32)), _lists(hashed, count),
+                        _lists(places.astype(np.int32), count + 1),
+                        pa.nulls(len(owner), pa.int64()), pa.nulls(len(owner), pa.list_(pa.int32())),
+                    ]
+                else:
+                    count = flat.field("n").to_numpy().astype(np.int64)
+                    full, of = _shingles_of(w.hashed, w.first[owner] + flat.field("place").to_numpy(), count)
+                    small = (full >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                    order = np.lexsort((small, of))
+                    small, of = small[order], of[order]
+                    new = np.ones(len(of), bool)
+                    new[1:] = (small[1:] != small[:-1]) | (of[1:] != of[:-1])
+                    sizes = np.bincount(of[new], minlength=len(owner))
+                    more = [
+                        pa.nulls(len(owner), pa.bool_()), pa.nulls(len(owner), pa.int32()),
+                        pa.nulls(len(owner), pa.list_(pa.int32())), pa.nulls(len(owner), pa.list_(pa.int32())),
+                        flat.field("key"), _lists(small[new], sizes),
+                    ]
+                yield pa.record_batch([*ids, *more], [c.split()[0] for c in BESIDE.split(", ")])
+
+    return run
 
 
 def _common(items: np.ndarray, first: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -297,132 +337,212 @@ def _verify(similarity: int):
     return run
 
 
-def _extended(chains: DataFrame, rows: DataFrame) -> DataFrame:
-    """What stands beside ``chains`` and, word by word, beside the occurrence that stays too."""
-    ends = chains.withColumn("right", F.explode(F.array(F.lit(False), F.lit(True)))).withColumns(
-        {"at": F.expr("if(right, till, begin)"), "kept_at": F.expr("if(right, kept_till, kept_begin)")}
-    )
-    text = F.xxhash64("text")
-    several = rows.groupBy("id").agg(F.min(text).alias("a"), F.max(text).alias("b")).where("a <> b")
-    wanted = (
-        ends.select("id", "right", "at").unionByName(ends.select(F.col("keep_id").alias("id"), "right", F.col("kept_at").alias("at")))
-        .groupBy("id").agg(F.collect_set(F.struct("right", "at")).alias("wanted"))
-        .join(several, "id", "left_anti")
-    )
-    beside = stage(
-        rows.join(wanted, "id").dropDuplicates(["id"]).select("id", "text", "wanted")
-        .mapInArrow(_contexts, "id long, right boolean, at int, words array<long>, places array<int>"),
-        "beside",
-    )
-    kept = beside.select(
-        F.col("id").alias("keep_id"), "right", F.col("at").alias("kept_at"), F.col("words").alias("kept_words")
-    )
-    same = F.zip_with("words", "kept_words", lambda x, y: F.coalesce(x == y, F.lit(False)))
-    met = ends.join(beside, ["id", "right", "at"]).join(kept, ["keep_id", "right", "kept_at"])
-    met = met.withColumn("same", same).withColumn("stop", F.array_position("same", False))
-    met = met.withColumn("more", F.expr("cast(if(stop = 0, size(same), stop - 1) as int)"))
-    # In one text, what stays is not taken for a part of what goes.
-    met = met.withColumn("more", F.expr("if(id = keep_id and not right, least(more, greatest(begin - kept_till, 0)), more)"))
-    met = met.where("more > 0").withColumn("edge", F.expr("places[more - 1]"))
-    return met.select(
-        "id", "keep_id",
-        F.expr("if(right, till, begin - more)").alias("begin"), F.expr("if(right, till + more, begin)").alias("till"),
-        F.expr("if(right, end, edge)").alias("start"), F.expr("if(right, edge, start)").alias("end"),
-    )
-
+ME, STAYS = ["id", "h"], ["keep_id", "keep_h"]
 
-def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                       similarity: int = SIMILARITY, least_words: int = LEAST_WORDS) -> DataFrame:
-    """``(id, start, end, n_words, keep_id)``: stretches to remove, and where their first one stays.
 
-    ``keep_id`` is the smallest id that holds the first occurrence of one of its paragraphs.
-    """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
-    units = stage(rows.mapInArrow(_units, "id long, key long, place int, n int, start int, end int"), "paragraphs")
-    place = F.struct("id", "place", "n")
-    distinct = units.groupBy("key").agg(F.min(place).alias("first"), F.count("*").alias("c"))
-
-    bands = stage(rows.mapInArrow(_bands, "band long, key long").distinct(), "bands")
-    # Counted apart and written, so that the join sees plain tables and Spark can split a hot band.
-    crowds = stage(bands.groupBy("band").agg(F.count("*").alias("c")).where("c > 1"), "crowds")
-    met = stage(bands.join(crowds, "band").select("band", F.col("key").alias("id"), "c"), "met")
-    wanted = met.select(F.col("id").alias("key")).distinct()
-    # From here on only paragraphs that occur twice or collide: one look at all distinct ones.
-    core = stage(
-        distinct.join(wanted.withColumn("met", F.lit(True)), "key", "left").where("c > 1 OR met"), "candidates"
+def _chains(units: DataFrame) -> DataFrame:
+    """Later occurrences of seeds, those that touch where they stand and where they stay as one."""
+    found = units.where("kind = 0").select("id", "h", "key", "place")
+    often = stage(found.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "often")
+    met = stage(found.join(often, "key"), "seeds")
+    place = F.struct("id", "h", "place")
+    # Written, so that the join sees plain tables and Spark can split a frequent seed.
+    first = stage(met.groupBy("key").agg(F.min(place).alias("kept")), "first")
+    later = (
+        met.join(first, "key").where(place != F.col("kept"))
+        .where(f"id <> kept.id OR h <> kept.h OR place >= kept.place + {SEED}")
+        .select(
+            "id", "h", F.col("place").alias("begin"), F.expr(f"place + {SEED}").alias("till"),
+            F.col("kept.id").alias("keep_id"), F.col("kept.h").alias("keep_h"),
+            F.expr("place - kept.place").alias("shift"),
+        )
     )
-    where = core.where("met").groupBy(F.col("first.id").alias("id")).agg(F.collect_set("key").alias("wanted"))
-    sets = stage(
-        rows.join(where, "id").select("text", "wanted").mapInArrow(_sets, "key long, items array<long>")
-        .groupBy("key").agg(F.min("items").alias("items")),
-        "sets",
+    by = [*ME, *STAYS, "shift"]
+    order = W.partitionBy(*by).orderBy("begin")
+    before = F.max("till").over(order.rowsBetween(W.unboundedPreceding, -1))
+    chains = later.withColumn("new", F.coalesce(F.col("begin") > before, F.lit(True)).cast("int"))
+    chains = chains.withColumn("chain", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    chains = stage(
+        chains.groupBy(*by, "chain").agg(F.min("begin").alias("begin"), F.max("till").alias("till")).drop("chain"),
+        "chains",
+    )
+    unstage(often, met, first)
+    return chains
+
+
+def _ends(chains: DataFrame) -> DataFrame:
+    """Both ends of each chain, where it stands (``at``) and where it stays (``kept_at``)."""
+    ends = chains.withColumn("right", F.explode(F.array(F.lit(False), F.lit(True))))
+    ends = ends.withColumn("at", F.expr("if(right, till, begin)"))
+    return ends.withColumn("kept_at", F.col("at") - F.col("shift"))
+
+
+def _looked_up(rows: DataFrame, ends: DataFrame, sets: DataFrame | None, reach: int) -> DataFrame:
+    """The words beside ``ends`` on both sides, and the sets of ``sets(id, h, key, place, n)``."""
+    places = ends.select(*ME, "right", "at").unionByName(
+        ends.select(F.col("keep_id").alias("id"), F.col("keep_h").alias("h"), "right", F.col("kept_at").alias("at"))
+    ).distinct()
+    wants = places.select(*ME, F.struct("right", "at").alias("end"), F.lit(None).cast("struct<key:long,place:int,n:int>").alias("set"))
+    if sets is not None:
+        wants = wants.unionByName(sets.select(
+            *ME, F.lit(None).cast("struct<right:boolean,at:int>").alias("end"), F.struct("key", "place", "n").alias("set")
+        ))
+    # Lists are no longer than their text.
+    wanted = stage(
+        wants.groupBy(*ME).agg(F.collect_list("end").alias("ends"), F.collect_list("set").alias("sets")), "wanted"
     )
+    texts = rows.join(wanted, ME).select(*ME, "text", "ends", "sets")
+    beside = stage(texts.mapInArrow(_beside(reach), BESIDE), "beside")
+    unstage(wanted)
+    return beside
+
+
+def _extended(rows: DataFrame, chains: DataFrame, sets: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Spans of the chains with what is equal beside them, and the looked-up ``sets``."""
+    spans, found, reach = [], None, FIRST_ROUND
+    ends = _ends(chains)
+    while True:
+        beside = _looked_up(rows, ends, sets if found is None else None, reach)
+        if found is None:
+            found = beside.where("key IS NOT NULL").select("key", "items")
+        # (rows that repeat an id and a text give the same words)
+        own = beside.where("key IS NULL").select(*ME, "right", "at", "words", "places")
+        own = own.groupBy(*ME, "right", "at").agg(F.min("words").alias("words"), F.min("places").alias("places"))
+        kept = own.select(
+            F.col("id").alias("keep_id"), F.col("h").alias("keep_h"), "right", F.col("at").alias("kept_at"),
+            F.col("words").alias("kept_words"),
+        )
+        sides = [stage(side, "side") for side in (own, kept)]
+        met = ends.join(sides[0], [*ME, "right", "at"]).join(sides[1], [*STAYS, "right", "kept_at"])
+        same = F.zip_with("words", "kept_words", lambda x, y: F.coalesce(x == y, F.lit(False)))
+        met = met.withColumn("stop", F.array_position(same, False)).withColumn(
+            "more", F.expr("cast(if(stop = 0, size(words), stop - 1) as int)")
+        )
+        # In one text, what stays is not taken for a part of what goes.
+        met = met.withColumn("room", F.expr("if(id = keep_id AND h = keep_h AND NOT right, greatest(shift - (till - begin), 0), more)"))
+        met = met.withColumn("more", F.least("more", "room"))
+        met = met.select(
+            *ME, *STAYS, "shift", "right",
+            F.expr("if(right, begin, begin - more)").alias("begin"), F.expr("if(right, till + more, till)").alias("till"),
+            F.expr("if(right, null, places[more])").alias("start"), F.expr("if(right, places[more], null)").alias("end"),
+            F.expr(f"stop = 0 AND more = {reach}").alias("on"),
+        )
+        met = stage(met, "extended")
+        spans.append(met.select(*ME, "begin", "till", "start", "end", "keep_id"))
+        unstage(*sides)
+        on = met.where("on")
+        if on.isEmpty():
+            return spans, found
+        ends = on.select(*ME, *STAYS, "shift", "begin", "till", "right").withColumn("at", F.expr("if(right, till, begin)"))
+        ends = ends.withColumn("kept_at", F.col("at") - F.col("shift"))
+        reach *= FURTHER
+
+
+def _colliding(units: DataFrame) -> DataFrame:
+    """``(band, key)`` of distinct paragraphs that share a band; of buckets with the same members, one."""
+    bands = units.where("kind = 1").select("key", F.explode("bands").alias("band"))
+    crowds = stage(bands.groupBy("band").agg(F.count("*").alias("c")).where("c > 1").select("band"), "crowds")
+    met = stage(bands.join(crowds, "band").select("band", "key").distinct(), "met")
+    hashed = F.xxhash64("key")
+    members = met.groupBy("band").agg(
+        F.count("*").alias("c"), F.bit_xor("key").alias("x"), F.bit_xor(hashed).alias("y")
+    ).where("c > 1")
+    buckets = stage(members.groupBy("c", "x", "y").agg(F.min("band").alias("band")).select("band", "c"), "buckets")
+    out = stage(met.join(buckets, "band").select("band", F.col("key").alias("id"), "c"), "colliding")
+    unstage(crowds, met, buckets)
+    return out
+
+
+def _stretches(rows: DataFrame, similarity: int, least_words: int) -> DataFrame:
+    """``(id, h, start, end, n_words, keep_id)`` of ``rows(id, h, text)``."""
+    spark = rows.sparkSession
+    path = scratch_path(spark, "units")
+    rows.mapInArrow(_units(least_words), f"{UNITS}, kind int").write.partitionBy("kind").parquet(path)
+    units = spark.read.schema(f"{UNITS}, kind int").parquet(path)
+
+    chains = _chains(units)
+    colliding = _colliding(units)
+    near = colliding.select(F.col("id").alias("key")).distinct()
+    cut = units.where("kind = 1").select("key", "id", "h", "place", "n", "start", "end")
+    again = cut.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    wanted = stage(near.unionByName(again).distinct(), "wanted")
+    # From here on only paragraphs that occur twice or collide.
+    occurrences = stage(cut.join(wanted, "key"), "occurrences")
+    delete_path(spark, path)
+    place = F.struct("id", "h", "place", "n")
+    first = stage(occurrences.groupBy("key").agg(F.min(place).alias("first")), "first")
+    sets = first.join(near, "key").select("first.id", "first.h", "key", "first.place", "first.n")
+    spans, found = _extended(rows, chains, sets)
+
+    known = found.groupBy(F.col("key").alias("id")).agg(F.min("items").alias("items"))
     blocks = _in_blocks(
-        met.join(sets.withColumnRenamed("key", "id"), "id"), "band", F.expr(f"(c + {BLOCK} - 1) div {BLOCK}")
+        colliding.join(stage(known, "sets"), "id"), "band", F.expr(f"(c + {BLOCK} - 1) div {BLOCK}")
     )
     linked = _by_key(blocks.select("key", "id", "items")).mapInArrow(_verify(similarity), "u long, v long")
     classes = connected_components(linked)
-    classed = core.join(classes, F.col("key") == F.col("node"), "left").select(
-        "key", "first", "c", F.coalesce("component", "key").alias("class")
-    )
-    kept = (
-        classed.groupBy("class").agg(F.min("first").alias("kept"), F.sum("c").alias("total")).where("total > 1")
+    classed = first.join(classes, F.col("key") == F.col("node"), "left").select(
+        "key", "first", F.coalesce("component", "key").alias("class")
     )
+    kept = classed.groupBy("class").agg(F.min("first").alias("kept"))
     # Written, so that the join sees a plain table and Spark can split a frequent paragraph.
     repeated = stage(classed.join(kept, "class").select("key", "kept"), "repeated")
     later = (
-        units.join(repeated, "key").where(place != F.col("kept"))
-        .where("id <> kept.id OR place >= kept.place + kept.n")
+        occurrences.join(repeated, "key").where(place != F.col("kept"))
+        .where("id <> kept.id OR h <> kept.h OR place >= kept.place + kept.n")
         .select(
-            "id", F.col("place").alias("begin"), F.expr("place + n").alias("till"), "start", "end",
-            F.col("kept.id").alias("keep_id"), F.col("kept.place").alias("kept_begin"),
-            F.expr("kept.place + kept.n").alias("kept_till"),
+            *ME, F.col("place").alias("begin"), F.expr("place + n").alias("till"), "start", "end",
+            F.col("kept.id").alias("keep_id"),
         )
-        .withColumns({"shift": F.expr("begin - kept_begin"), "shift_end": F.expr("till - kept_till")})
-        .distinct()
     )
-    # Neighbours that stand beside each other where they stay as well are extended as one.
-    by = ["id", "keep_id", "shift", "shift_end"]
-    order = W.partitionBy(*by).orderBy("begin", "till")
-    before = F.max("till").over(order.rowsBetween(W.unboundedPreceding, -1))
-    chains = later.withColumn("new", F.coalesce(F.col("begin") > before, F.lit(True)).cast("int"))
-    chains = chains.withColumn("chain", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, 0)))
-    chains = stage(
-        chains.groupBy(*by, "chain").agg(
-            *[F.min(c).alias(c) for c in ("begin", "start", "kept_begin")],
-            *[F.max(c).alias(c) for c in ("till", "end", "kept_till")],
-        ).drop("shift", "shift_end", "chain"),
-        "chains",
-    )
-    spans = chains.drop("kept_begin", "kept_till").unionByName(_extended(chains, rows))
-
-    order = W.partitionBy("id").orderBy("begin", "till", "keep_id")
+    for part in spans:
+        later = later.unionByName(part)
+    order = W.partitionBy(*ME).orderBy("begin", "till", "keep_id")
     before = F.max("till").over(order.rowsBetween(W.unboundedPreceding, -1))
-    runs = spans.withColumn("new", F.coalesce(F.col("begin") - before > GAP, F.lit(True)).cast("int"))
-    runs = runs.withColumn("n", F.greatest(F.lit(0), F.col("till") - F.greatest("begin", before)))
+    runs = later.withColumn("new", F.coalesce(F.col("begin") > before, F.lit(True)).cast("int"))
+    runs = runs.withColumn("fresh", F.greatest(F.lit(0), F.col("till") - F.greatest("begin", before)))
     runs = runs.withColumn("run", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, 0)))
     return (
-        runs.groupBy("id", "run")
+        runs.groupBy(*ME, "run")
         .agg(
             F.min("start").alias("start"), F.max("end").alias("end"),
-            F.sum("n").alias("n_words"), F.min("keep_id").alias("keep_id"),
+            F.sum("fresh").alias("n_words"),
+            F.max(F.struct((F.col("till") - F.col("begin")).alias("n"), (-F.col("keep_id")).alias("of"))).alias("longest"),
         )
         .where(F.col("n_words") >= least_words)
-        .select(F.col("id").alias(id_col), "start", "end", "n_words", "keep_id")
+        .select(*ME, "start", "end", "n_words", (-F.col("longest.of")).alias("keep_id"))
     )
 
 
-def remove_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return rows.where("id IS NOT NULL AND text IS NOT NULL").select("id", F.xxhash64("text").alias("h"), "text")
+
+
+def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       similarity: int = SIMILARITY, least_words: int = LEAST_WORDS) -> DataFrame:
+    """``(id, start, end, n_words, keep_id)``: stretches to remove, and where their first one stays.
+
+    ``keep_id`` is the id that holds the first occurrence of its longest part (the smallest of these). With a larger
+    ``least_words`` than ``LEAST_WORDS`` shorter stretches stay; with a smaller one shorter paragraphs go
+    too, and of shorter exact repeats those that a seed happens to find.
+    """
+    found = _stretches(_rows(docs, id_col, text_col), similarity, least_words)
+    return found.select(F.col("id").alias(id_col), "start", "end", "n_words", "keep_id")
+
+
+def remove_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     similarity: int = SIMILARITY, least_words: int = LEAST_WORDS) -> DataFrame:
     """``docs`` with the repeated stretches cut out of their texts."""
     from tarnflow.llm.secret_scan import redacted
 
+    span = F.struct(F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
     spans = (
-        repeated_stretches(docs, id_col, text_col, **options)
-        .groupBy(F.col(id_col).alias("__id"))
-        .agg(F.sort_array(F.collect_list(F.struct(F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")))).alias("__spans"))
+        _stretches(_rows(docs, id_col, text_col), similarity, least_words)
+        .groupBy(F.col("id").alias("__id"), F.col("h").alias("__h"))
+        .agg(F.sort_array(F.collect_list(span)).alias("__spans"))
     )
     columns = docs.columns
-    joined = docs.join(spans, F.col(id_col) == F.col("__id"), "left")
+    joined = docs.join(spans, (F.col(id_col) == F.col("__id")) & (F.xxhash64(F.col(text_col)) == F.col("__h")), "left")
     text = F.when(F.col("__spans").isNotNull(), redacted(F.col(text_col), F.col("__spans"), ""))
     return joined.select(
         *[F.coalesce(text, F.col(c)).alias(c) if c == text_col else F.col(f"`{c}`") for c in columns]
