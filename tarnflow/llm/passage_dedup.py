@@ -13,10 +13,11 @@ Large buckets are split into parts, and every two parts meet, so no bucket is ca
 task; a forest of links leaves a task, never its pairs. Buckets with the same members are compared once.
 The first occurrence of a class by (id, text hash, place) stays.
 
-Exact repeats of ``LEAST_WORDS`` words or more are all found, wherever they lie: of the hashes of ``SEED`` words
-in a row, each text gives the smallest of every ``LEAST_WORDS - SEED + 1`` neighbours, so that two such
-passages have one in common. Later occurrences of a seed are compared word by word, to both sides, with
-the occurrence that stays, in rounds, until words differ or a text ends.
+Exact repeats of ``LEAST_WORDS`` words or more are all found whole, wherever they lie: every window of so many
+words has a designated seed, the run of ``SEED`` words in it with the smallest hash, and equal windows have
+equal seeds. Only seeds (a sixth of the words) are counted over the corpus; windows are compared where
+their seed occurs more than once, each with the first text that holds it. Exact copies of a whole text
+are told by its hash and take no part in that.
 
 Stretches that touch or overlap are merged, and a merged stretch of ``LEAST_WORDS`` words or more is a removal.
 A word is removed only if it lies in a paragraph that is near an earlier one or in an exact repeat.
@@ -31,10 +32,11 @@ counts are combined before the shuffle, and occurrences are joined as written ta
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -51,8 +53,10 @@ REACH = 30
 CUT, WHOLE = 100, 150
 BANDS, ROWS = 5, 2
 SEED = 10
-#: Words compared on each side in the first round, and how much further each next one looks.
-FIRST_ROUND, FURTHER = 12, 8
+#: Seeds of more occurrences are compared by an aggregation of their windows, and not in one task.
+HOT = 512
+#: Size of the filter of ids that are wanted; bounds what is broadcast to ``CELLS`` / 64 pairs of numbers.
+CELLS = 1 << 25
 #: Most paragraphs of a bucket in one part.
 BLOCK = 512
 _SEEDS = np.random.default_rng(5).integers(1, 2**62, BANDS * ROWS, dtype=np.uint64)
@@ -139,27 +143,38 @@ def paragraphs(column: pa.Array, least_words: int = LEAST_WORDS):
     return (owner, begin - w.first[owner], count, w.start[begin], w.end[begin + count - 1], key), w
 
 
-def seeds(w: Words) -> tuple[np.ndarray, np.ndarray]:
-    """First words and hashes of the ``SEED`` words in a row that stand for a text (winnowing)."""
-    wide = LEAST_WORDS - SEED + 1
-    hashed, n = w.hashed, len(w.hashed) - SEED + 1
-    if n < wide:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    mixed, value = mix(hashed), np.zeros(n, np.uint64)
+def _grams(w: Words) -> np.ndarray:
+    """The hash of every ``SEED`` words in a row, over all texts together."""
+    n = max(0, len(w.hashed) - SEED + 1)
+    mixed, value = mix(w.hashed), np.zeros(n, np.uint64)
     for j in range(SEED):
         value = value * np.uint64(0xD1342543DE82EF95) + mixed[j : j + n]
-    value = mix(value)
-    inside = np.flatnonzero(w.text[: n - wide + 1] == w.text[LEAST_WORDS - 1 :])
-    picked = np.zeros(n, bool)
-    for c in range(0, len(inside), 1 << 14):
-        at = inside[c : c + (1 << 14)]
-        picked[at + np.lib.stride_tricks.sliding_window_view(value, wide)[at].argmin(axis=1)] = True
-    begin = np.flatnonzero(picked)
+    return mix(value)
+
+
+def windows(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First words of all windows, where the designated seed of each begins, and the hashes of seeds."""
+    wide, value = LEAST_WORDS - SEED + 1, _grams(w)
+    if len(value) < wide:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), value
+    at = np.flatnonzero(w.text[: len(value) - wide + 1] == w.text[LEAST_WORDS - 1 :])
+    seed = np.empty(len(at), np.int64)
+    view = np.lib.stride_tricks.sliding_window_view(value, wide)
+    for c in range(0, len(at), 1 << 14):
+        part = at[c : c + (1 << 14)]
+        seed[c : c + (1 << 14)] = part + view[part].argmin(axis=1)
+    return at, seed, value
+
+
+def seeds(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """First words and hashes of the designated seeds of all windows."""
+    _, seed, value = windows(w)
+    begin = np.unique(seed)
     # One word again and again would give a seed at every place: of such runs, one a window will do.
     run = np.ones(len(begin), bool)
     run[1:] = (value[begin[1:]] != value[begin[:-1]]) | (np.diff(begin) != 1)
     since = np.arange(len(begin)) - np.maximum.accumulate(np.where(run, np.arange(len(begin)), 0))
-    begin = begin[since % wide == 0]
+    begin = begin[since % (LEAST_WORDS - SEED + 1) == 0]
     return begin, value[begin]
 
 
@@ -178,23 +193,32 @@ UNITS = "id long, h long, key long, place int, n int, start int, end int, bands
 
 
 def _units(least_words: int):
-    """Seeds (without ``n`` and what follows) and paragraphs of each text, apart."""
-
-    def batch(part, w, kind, begin, key, *more):
-        owner = pa.array(w.text[begin])
-        columns = [
-            part.column("id").take(owner), part.column("h").take(owner), pa.array(key.view(np.int64)),
-            pa.array((begin - w.first[w.text[begin]]).astype(np.int32)), *more,
-        ]
-        names = ["id", "h", "key", "place", "n", "start", "end", "bands"]
-        types = dict(zip(names[4:], [pa.int32()] * 3 + [pa.list_(pa.int64())]))
-        columns += [pa.nulls(len(begin), types[name]) for name in names[len(columns) :]]
-        return pa.record_batch([*columns, pa.array(np.full(len(begin), kind, np.int32))], [*names, "kind"])
+    """Seeds (0), paragraphs (1) and whole texts (2), apart; seeds without ``place`` and what follows."""
+    names = [c.split()[0] for c in UNITS.split(", ")]
+    types = [pa.int64()] * 3 + [pa.int32()] * 4 + [pa.list_(pa.int64())]
+
+    def batch(part, kind, text, key, *more):
+        owner = pa.array(text)
+        columns = [part.column("id").take(owner), part.column("h").take(owner), pa.array(key.view(np.int64))]
+        columns += [pa.array(c.astype(np.int32)) if isinstance(c, np.ndarray) else c for c in more]
+        columns += [pa.nulls(len(text), t) for t in types[len(columns) :]]
+        return pa.record_batch([*columns, pa.array(np.full(len(text), kind, np.int32))], [*names, "kind"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", 1 << 20):
             w = Words(part.column("text"))
-            yield batch(part, w, 0, *seeds(w))
+            begin, key = seeds(w)
+            yield batch(part, 0, w.text[begin], key)
+            full = np.flatnonzero(np.diff(w.first))
+            if not len(full):
+                continue
+            # Told by a second hash too, over the words.
+            key = np.add.reduceat(mix(w.hashed + np.arange(len(w.hashed), dtype=np.uint64) - np.repeat(
+                w.first[full], np.diff(w.first)[full]).astype(np.uint64) * np.uint64(_MULTIPLIER)), w.first[full])
+            zero = np.zeros(len(full), np.int64)
+            yield batch(
+                part, 2, full, key, zero, np.diff(w.first)[full], w.start[w.first[full]], w.end[w.first[full + 1] - 1]
+            )
             begin, count, key = _cut(w, least_words)
             if not len(key):
                 continue
@@ -206,69 +230,118 @@ def _units(least_words: int):
                 for r in range(ROWS):
                     band = mix(band * np.uint64(31) + np.minimum.reduceat(mix(full ^ _SEEDS[b * ROWS + r]), cuts))
                 bands[:, b] = band
+            owner = w.text[begin]
             yield batch(
-                part, w, 1, begin, key, pa.array(count.astype(np.int32)), pa.array(w.start[begin].astype(np.int32)),
-                pa.array(w.end[begin + count - 1].astype(np.int32)),
+                part, 1, owner, key, begin - w.first[owner], count, w.start[begin], w.end[begin + count - 1],
                 _lists(bands.reshape(-1).view(np.int64), np.full(len(key), BANDS)),
             )
 
     return run
 
 
-BESIDE = (
-    "id long, h long, right boolean, at int, words array<int>, places array<int>, key long, items array<int>"
+LOOKED_UP = (
+    "id long, h long, hot boolean, key long, at int, windows array<long>, starts array<int>, ends array<int>,"
+    " items array<int>"
 )
 
 
-def _beside(reach: int):
-    """What is wanted of each text: words on one side of a place, nearest first, and shingle sets.
-
-    ``places`` begins with the code point of the place itself.
-    """
+def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What is wanted of each text: the windows of seeds, in a row per place of a seed, and shingle sets."""
+    names = [c.split()[0] for c in LOOKED_UP.replace(", ", ",").split(",")]
+    none = pa.list_(pa.int32())
+
+    def flat(part, column):
+        lists = part.column(column)
+        sizes = lists.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+        return np.repeat(np.arange(len(part)), sizes), lists.flatten()
+
+    for part in slices(batches, "text", 1 << 20):
+        w = Words(part.column("text"))
+        ids = [part.column(c) for c in ("id", "h")]
+        owner, wanted = flat(part, "seeds")
+        at, seed, value = windows(w)
+        if len(owner) and len(at):
+            # A seed of a text as one number, and which of the windows have a wanted one.
+            text = mix(np.arange(1, len(part) + 1, dtype=np.uint64))
+            keys = wanted.field("key").to_numpy().view(np.uint64) ^ text[owner]
+            order = np.argsort(keys)
+            keys, hot = keys[order], wanted.field("hot").to_numpy(zero_copy_only=False)[order]
+            mine = value[seed] ^ text[w.text[at]]
+            place = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
+            hit = np.flatnonzero(keys[place] == mine)
+            at, seed, hot = at[hit], seed[hit], hot[place[hit]]
+            new = np.ones(len(at), bool)
+            new[1:] = (seed[1:] != seed[:-1]) | (np.diff(at) != 1)
+            first = np.flatnonzero(new)
+            sizes = np.diff(np.append(first, len(at)))
+            whole = mix(value[at] * np.uint64(_MULTIPLIER) + value[at + LEAST_WORDS - SEED])
+            own = pa.array(w.text[at[first]])
+            yield pa.record_batch(
+                [
+                    *(c.take(own) for c in ids), pa.array(hot[first]), pa.array(value[seed[first]].view(np.int64)),
+                    pa.array((at[first] - w.first[w.text[at[first]]]).astype(np.int32)),
+                    _lists(whole.view(np.int64), sizes), _lists(w.start[at].astype(np.int32), sizes),
+                    _lists(w.end[at + LEAST_WORDS - 1].astype(np.int32), sizes), pa.nulls(len(first), none),
+                ],
+                names,
+            )
+        owner, wanted = flat(part, "sets")
+        if len(owner):
+            count = wanted.field("n").to_numpy().astype(np.int64)
+            full, of = _shingles_of(w.hashed, w.first[owner] + wanted.field("place").to_numpy(), count)
+            small = (full >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            order = np.lexsort((small, of))
+            small, of = small[order], of[order]
+            new = np.ones(len(of), bool)
+            new[1:] = (small[1:] != small[:-1]) | (of[1:] != of[:-1])
+            yield pa.record_batch(
+                [
+                    *(c.take(pa.array(owner)) for c in ids), pa.nulls(len(owner), pa.bool_()), wanted.field("key"),
+                    pa.nulls(len(owner), pa.int32()), pa.nulls(len(owner), pa.list_(pa.int64())),
+                    pa.nulls(len(owner), none), pa.nulls(len(owner), none),
+                    _lists(small[new], np.bincount(of[new], minlength=len(owner))),
+                ],
+                names,
+            )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 1 << 20):
-            w = Words(part.column("text"))
-            for rows, wanted in ((part, part.column("ends")), (part, part.column("sets"))):
-                owner = np.repeat(np.arange(len(part)), wanted.value_lengths().fill_null(0).to_numpy().astype(np.int64))
-                flat = wanted.flatten()
-                if not len(owner):
-                    continue
-                ids = [rows.column(c).take(pa.array(owner)) for c in ("id", "h")]
-                if wanted is not None and "right" in [f.name for f in flat.type]:
-                    right = flat.field("right").to_numpy(zero_copy_only=False)
-                    at = flat.field("at").to_numpy().astype(np.int64)
-                    count = np.clip(np.where(right, (w.first[1:] - w.first[:-1])[owner] - at, at), 0, reach)
-                    side = np.repeat(right, count)
-                    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                    word = np.repeat(w.first[owner] + at, count) + np.where(side, step, -1 - step)
-                    edge = w.first[owner] + at
-                    own = np.where(right, w.end[np.maximum(edge - 1, 0)], w.start[np.minimum(edge, len(w.start) - 1)])
-                    # The place itself comes before the words' own.
-                    places = np.insert(np.where(side, w.end[word], w.start[word]), np.cumsum(count) - count, own)
-                    hashed = (w.hashed[word] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                    more = [
-                        pa.array(right), pa.array(at.astype(np.int32)), _lists(hashed, count),
-                        _lists(places.astype(np.int32), count + 1),
-                        pa.nulls(len(owner), pa.int64()), pa.nulls(len(owner), pa.list_(pa.int32())),
-                    ]
-                else:
-                    count = flat.field("n").to_numpy().astype(np.int64)
-                    full, of = _shingles_of(w.hashed, w.first[owner] + flat.field("place").to_numpy(), count)
-                    small = (full >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                    order = np.lexsort((small, of))
-                    small, of = small[order], of[order]
-                    new = np.ones(len(of), bool)
-                    new[1:] = (small[1:] != small[:-1]) | (of[1:] != of[:-1])
-                    sizes = np.bincount(of[new], minlength=len(owner))
-                    more = [
-                        pa.nulls(len(owner), pa.bool_()), pa.nulls(len(owner), pa.int32()),
-                        pa.nulls(len(owner), pa.list_(pa.int32())), pa.nulls(len(owner), pa.list_(pa.int32())),
-                        flat.field("key"), _lists(small[new], sizes),
-                    ]
-                yield pa.record_batch([*ids, *more], [c.split()[0] for c in BESIDE.split(", ")])
 
-    return run
+SPANS = "id long, h long, begin int, till int, start int, end int, keep_id long"
+
+
+def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows that an earlier place holds too, those side by side as one, of rows sorted by seed."""
+    for table in whole_runs(batches, "key"):
+        table = table.combine_chunks()
+        lists = [table.column(c).combine_chunks() for c in ("windows", "starts", "ends")]
+        lists = [x if isinstance(x, pa.Array) else pa.concat_arrays(x.chunks) for x in lists]
+        sizes = lists[0].value_lengths().to_numpy().astype(np.int64)
+        whole, start, end = (x.flatten().to_numpy() for x in lists)
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        ids, h, key, at = (table.column(c).to_numpy()[row] for c in ("id", "h", "key", "at"))
+        at = at + np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        order = np.lexsort((at, h, ids, whole, key))
+        new = np.ones(len(order), bool)
+        new[1:] = (key[order][1:] != key[order][:-1]) | (whole[order][1:] != whole[order][:-1])
+        first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+        kept = np.empty(len(order), np.int64)
+        kept[order] = first
+        apart = (ids != ids[kept]) | (h != h[kept]) | (at >= at[kept] + LEAST_WORDS)
+        later = np.flatnonzero(apart)
+        if not len(later):
+            continue
+        stays = ids[kept[later]]
+        new = np.ones(len(later), bool)
+        new[1:] = (np.diff(later) != 1) | (row[later[1:]] != row[later[:-1]]) | (stays[1:] != stays[:-1])
+        a = np.flatnonzero(new)
+        b = np.append(a[1:], len(later)) - 1
+        yield pa.record_batch(
+            [
+                pa.array(ids[later[a]]), pa.array(h[later[a]]), pa.array(at[later[a]].astype(np.int32)),
+                pa.array((at[later[b]] + LEAST_WORDS).astype(np.int32)), pa.array(start[later[a]]),
+                pa.array(end[later[b]]), pa.array(stays[a]),
+            ],
+            [c.split()[0] for c in SPANS.split(", ")],
+        )
 
 
 def _common(items: np.ndarray, first: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -337,105 +410,87 @@ def _verify(similarity: int):
     return run
 
 
-ME, STAYS = ["id", "h"], ["keep_id", "keep_h"]
+ME = ["id", "h"]
 
 
-def _chains(units: DataFrame) -> DataFrame:
-    """Later occurrences of seeds, those that touch where they stand and where they stay as one."""
-    found = units.where("kind = 0").select("id", "h", "key", "place")
+def _copies(units: DataFrame) -> DataFrame:
+    """Spans of whole texts that a smaller id holds too."""
+    texts = units.where("kind = 2").select("id", "h", "key", "n", "start", "end").distinct()
+    first = texts.groupBy("h", "key").agg(F.min("id").alias("keep_id"), F.count("*").alias("c")).where("c > 1")
+    return texts.join(stage(first, "texts"), ["h", "key"]).where("id > keep_id").select(
+        "id", "h", F.lit(0).alias("begin"), F.col("n").alias("till"), "start", "end", "keep_id"
+    )
+
+
+def _repeated_seeds(units: DataFrame, copies: DataFrame) -> DataFrame:
+    """``(id, h, key, hot)`` of seeds that occur more than once, copies of texts left out."""
+    found = units.where("kind = 0").select("id", "h", "key")
+    # Counted apart and written, so that the join sees plain tables and Spark can split a hot seed.
     often = stage(found.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "often")
-    met = stage(found.join(often, "key"), "seeds")
-    place = F.struct("id", "h", "place")
-    # Written, so that the join sees plain tables and Spark can split a frequent seed.
-    first = stage(met.groupBy("key").agg(F.min(place).alias("kept")), "first")
-    later = (
-        met.join(first, "key").where(place != F.col("kept"))
-        .where(f"id <> kept.id OR h <> kept.h OR place >= kept.place + {SEED}")
-        .select(
-            "id", "h", F.col("place").alias("begin"), F.expr(f"place + {SEED}").alias("till"),
-            F.col("kept.id").alias("keep_id"), F.col("kept.h").alias("keep_h"),
-            F.expr("place - kept.place").alias("shift"),
-        )
+    met = stage(found.join(often, "key").join(copies.select(*ME), ME, "left_anti"), "met")
+    again = stage(met.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "again")
+    out = stage(met.join(again, "key").select(*ME, "key", (F.col("c") > HOT).alias("hot")), "seeds")
+    unstage(often, met, again)
+    return out
+
+
+def _likely(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose id is not in ``ids``; none whose id is goes.
+
+    One bit per hash of an id, at most ``CELLS`` of them however many ids there are: it saves the shuffle of
+    texts that nothing is wanted of, and with more ids than bits it saves none.
+    """
+    def cell() -> Column:
+        return F.pmod(F.xxhash64("id"), F.lit(CELLS))
+
+    bits = stage(
+        ids.select(cell().alias("cell")).groupBy(F.expr("cell div 64").alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, cast(cell % 64 AS int)))").alias("mask")),
+        "bits",
     )
-    by = [*ME, *STAYS, "shift"]
-    order = W.partitionBy(*by).orderBy("begin")
-    before = F.max("till").over(order.rowsBetween(W.unboundedPreceding, -1))
-    chains = later.withColumn("new", F.coalesce(F.col("begin") > before, F.lit(True)).cast("int"))
-    chains = chains.withColumn("chain", F.sum("new").over(order.rowsBetween(W.unboundedPreceding, 0)))
-    chains = stage(
-        chains.groupBy(*by, "chain").agg(F.min("begin").alias("begin"), F.max("till").alias("till")).drop("chain"),
-        "chains",
+    return rows.withColumn("cell", cell()).withColumn("word", F.expr("cell div 64")).join(
+        F.broadcast(bits), "word"
+    ).where("getbit(mask, cast(cell % 64 AS int)) = 1").drop("word", "mask", "cell")
+
+
+def _wanted_of(rows: DataFrame, seeds: DataFrame, sets: DataFrame) -> DataFrame:
+    """The windows of ``seeds(id, h, key, hot)`` and the sets of ``sets(id, h, key, place, n)``."""
+    seed, part = "struct<key:long,hot:boolean>", "struct<key:long,place:int,n:int>"
+    wants = seeds.select(*ME, F.struct("key", "hot").alias("seed"), F.lit(None).cast(part).alias("part")).unionByName(
+        sets.select(*ME, F.lit(None).cast(seed).alias("seed"), F.struct("key", "place", "n").alias("part"))
     )
-    unstage(often, met, first)
-    return chains
-
-
-def _ends(chains: DataFrame) -> DataFrame:
-    """Both ends of each chain, where it stands (``at``) and where it stays (``kept_at``)."""
-    ends = chains.withColumn("right", F.explode(F.array(F.lit(False), F.lit(True))))
-    ends = ends.withColumn("at", F.expr("if(right, till, begin)"))
-    return ends.withColumn("kept_at", F.col("at") - F.col("shift"))
-
-
-def _looked_up(rows: DataFrame, ends: DataFrame, sets: DataFrame | None, reach: int) -> DataFrame:
-    """The words beside ``ends`` on both sides, and the sets of ``sets(id, h, key, place, n)``."""
-    places = ends.select(*ME, "right", "at").unionByName(
-        ends.select(F.col("keep_id").alias("id"), F.col("keep_h").alias("h"), "right", F.col("kept_at").alias("at"))
-    ).distinct()
-    wants = places.select(*ME, F.struct("right", "at").alias("end"), F.lit(None).cast("struct<key:long,place:int,n:int>").alias("set"))
-    if sets is not None:
-        wants = wants.unionByName(sets.select(
-            *ME, F.lit(None).cast("struct<right:boolean,at:int>").alias("end"), F.struct("key", "place", "n").alias("set")
-        ))
     # Lists are no longer than their text.
     wanted = stage(
-        wants.groupBy(*ME).agg(F.collect_list("end").alias("ends"), F.collect_list("set").alias("sets")), "wanted"
+        wants.groupBy(*ME).agg(F.collect_set("seed").alias("seeds"), F.collect_list("part").alias("sets")), "wanted"
     )
-    texts = rows.join(wanted, ME).select(*ME, "text", "ends", "sets")
-    beside = stage(texts.mapInArrow(_beside(reach), BESIDE), "beside")
+    texts = _likely(rows, wanted.select("id")).join(wanted, ME)
+    # (a row that repeats an id and a text is the same text)
+    texts = texts.groupBy(*ME).agg(F.first("text").alias("text"), F.first("seeds").alias("seeds"), F.first("sets").alias("sets"))
+    found = stage(texts.mapInArrow(_look_up, LOOKED_UP), "looked-up")
     unstage(wanted)
-    return beside
-
-
-def _extended(rows: DataFrame, chains: DataFrame, sets: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """Spans of the chains with what is equal beside them, and the looked-up ``sets``."""
-    spans, found, reach = [], None, FIRST_ROUND
-    ends = _ends(chains)
-    while True:
-        beside = _looked_up(rows, ends, sets if found is None else None, reach)
-        if found is None:
-            found = beside.where("key IS NOT NULL").select("key", "items")
-        # (rows that repeat an id and a text give the same words)
-        own = beside.where("key IS NULL").select(*ME, "right", "at", "words", "places")
-        own = own.groupBy(*ME, "right", "at").agg(F.min("words").alias("words"), F.min("places").alias("places"))
-        kept = own.select(
-            F.col("id").alias("keep_id"), F.col("h").alias("keep_h"), "right", F.col("at").alias("kept_at"),
-            F.col("words").alias("kept_words"),
-        )
-        sides = [stage(side, "side") for side in (own, kept)]
-        met = ends.join(sides[0], [*ME, "right", "at"]).join(sides[1], [*STAYS, "right", "kept_at"])
-        same = F.zip_with("words", "kept_words", lambda x, y: F.coalesce(x == y, F.lit(False)))
-        met = met.withColumn("stop", F.array_position(same, False)).withColumn(
-            "more", F.expr("cast(if(stop = 0, size(words), stop - 1) as int)")
-        )
-        # In one text, what stays is not taken for a part of what goes.
-        met = met.withColumn("room", F.expr("if(id = keep_id AND h = keep_h AND NOT right, greatest(shift - (till - begin), 0), more)"))
-        met = met.withColumn("more", F.least("more", "room"))
-        met = met.select(
-            *ME, *STAYS, "shift", "right",
-            F.expr("if(right, begin, begin - more)").alias("begin"), F.expr("if(right, till + more, till)").alias("till"),
-            F.expr("if(right, null, places[more])").alias("start"), F.expr("if(right, places[more], null)").alias("end"),
-            F.expr(f"stop = 0 AND more = {reach}").alias("on"),
-        )
-        met = stage(met, "extended")
-        spans.append(met.select(*ME, "begin", "till", "start", "end", "keep_id"))
-        unstage(*sides)
-        on = met.where("on")
-        if on.isEmpty():
-            return spans, found
-        ends = on.select(*ME, *STAYS, "shift", "begin", "till", "right").withColumn("at", F.expr("if(right, till, begin)"))
-        ends = ends.withColumn("kept_at", F.col("at") - F.col("shift"))
-        reach *= FURTHER
+    return found
+
+
+def _repeats(found: DataFrame) -> list[DataFrame]:
+    """Spans of windows that an earlier place holds too."""
+    columns = ["key", "id", "h", "at", "windows", "starts", "ends"]
+    held = found.where("items IS NULL")
+    cold = _by_key(held.where("NOT hot").select(*columns)).mapInArrow(_later, SPANS)
+    # Of a hot seed each window is a row; of equal ones a task sends the first.
+    one = F.arrays_zip("windows", "starts", "ends")
+    hot = held.where("hot").select("id", "h", "at", F.posexplode(one).alias("i", "w")).select(
+        "id", "h", F.expr("at + i").alias("place"), F.col("w.windows").alias("window"),
+        F.col("w.starts").alias("start"), F.col("w.ends").alias("end"),
+    )
+    place = F.struct("id", "h", "place")
+    first = stage(hot.groupBy("window").agg(F.min(place).alias("kept")), "windows")
+    later = hot.join(first, "window").where(
+        f"id <> kept.id OR h <> kept.h OR place >= kept.place + {LEAST_WORDS}"
+    ).select(
+        *ME, F.col("place").alias("begin"), F.expr(f"place + {LEAST_WORDS}").alias("till"), "start", "end",
+        F.col("kept.id").alias("keep_id"),
+    )
+    return [cold, later]
 
 
 def _colliding(units: DataFrame) -> DataFrame:
@@ -460,7 +515,8 @@ def _stretches(rows: DataFrame, similarity: int, least_words: int) -> DataFrame:
     rows.mapInArrow(_units(least_words), f"{UNITS}, kind int").write.partitionBy("kind").parquet(path)
     units = spark.read.schema(f"{UNITS}, kind int").parquet(path)
 
-    chains = _chains(units)
+    copies = stage(_copies(units), "copies")
+    seeds = _repeated_seeds(units, copies)
     colliding = _colliding(units)
     near = colliding.select(F.col("id").alias("key")).distinct()
     cut = units.where("kind = 1").select("key", "id", "h", "place", "n", "start", "end")
@@ -472,7 +528,10 @@ def _stretches(rows: DataFrame, similarity: int, least_words: int) -> DataFrame:
     place = F.struct("id", "h", "place", "n")
     first = stage(occurrences.groupBy("key").agg(F.min(place).alias("first")), "first")
     sets = first.join(near, "key").select("first.id", "first.h", "key", "first.place", "first.n")
-    spans, found = _extended(rows, chains, sets)
+    found = _wanted_of(rows, seeds, sets)
+    unstage(seeds)
+    exact = stage(reduce(DataFrame.unionByName, _repeats(found)), "exact")
+    found = found.where("items IS NOT NULL").select("key", "items")
 
     known = found.groupBy(F.col("key").alias("id")).agg(F.min("items").alias("items"))
     blocks = _in_blocks(
@@ -494,8 +553,7 @@ def _stretches(rows: DataFrame, similarity: int, least_words: int) -> DataFrame:
             F.col("kept.id").alias("keep_id"),
         )
     )
-    for part in spans:
-        later = later.unionByName(part)
+    later = later.unionByName(exact).unionByName(copies)
     order = W.partitionBy(*ME).orderBy("begin", "till", "keep_id")
     before = F.max("till").over(order.rowsBetween(W.unboundedPreceding, -1))
     runs = later.withColumn("new", F.coalesce(F.col("begin") > before, F.lit(True)).cast("int"))
