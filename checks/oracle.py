@@ -343,6 +343,48 @@ ORACLE = {
         ODD_LINES,
     ),
     "ingest_repeated": query(f"SELECT * EXCLUDE (seq) {TEXT} FROM good"),
+    "running_totals": query(
+        """SELECT (SELECT count(*) FROM checked) AS received, sum(good)::BIGINT AS good, sum(bad_schema)::BIGINT AS bad_schema,
+  sum(bad_dq)::BIGINT AS bad_dq, (SELECT count(*) FROM broken) AS bad_envelope,
+  concat('{"event_ts_in_future":', sum(n_future)::BIGINT, ',"invalid_platform":', sum(n_platform)::BIGINT, '}') AS dq_reasons,
+  CAST(2 AS BIGINT) AS runs FROM summary""",
+        ODD_LINES,
+        SUMMARY,
+    ),
+    "compacted_raw": query(f"SELECT * EXCLUDE (seq) {TEXT}, TRUE AS few_files FROM good"),
+    "quarantine_replay": query(
+        f"""SELECT * {TEXT}, CAST(0 AS BIGINT) AS moved_again
+FROM (SELECT {RAW_COLUMNS.replace("parsed_date AS", "CAST(envelope_dt AS DATE) AS")} FROM bad
+  WHERE dq_stage = 'dq' AND platform IN ('web', 'mobile', 'tv'))"""
+    ),
+    "upsert_random_keys": query(
+        f"""SELECT * REPLACE (md5(event_id) AS event_id, CASE WHEN seq % 97 = 0 THEN 'corrected' ELSE os END AS os,
+  {ts_text('event_ts')} AS event_ts, strftime(event_date, '%Y-%m-%d') AS event_date, {ts_text('ingested_at')} AS ingested_at)
+FROM ({latest('good', _REST_WITH_SEQ)})"""
+    ),
+    "target_names": query(
+        """SELECT 'as given' AS asked, '`db`.`events`' AS found, count(*) AS n FROM good WHERE seq % 2 = 0
+UNION ALL SELECT 'without its catalog', '`db`.`events`', count(*) FROM good WHERE seq % 2 = 0
+UNION ALL SELECT 'with a catalog', '`spark_catalog`.`db`.`odd_events`', count(*) FROM good WHERE seq % 2 = 1"""
+    ),
+    "late_rows": query(
+        """SELECT 'late table' AS went_to, strftime(event_date, '%Y-%m-%d') AS event_date, count(*) AS n
+FROM scanned WHERE part = 2 AND event_ts <= mark GROUP BY ALL
+UNION ALL SELECT 'scanned', NULL, count(*) FROM scanned
+UNION ALL SELECT 'increment', NULL, count(*) FROM scanned WHERE event_ts > mark
+UNION ALL SELECT 'late', NULL, count(*) FROM scanned WHERE part = 2 AND event_ts <= mark
+UNION ALL SELECT 'seen', NULL, count(*) FROM scanned WHERE part = 1 AND event_ts <= mark
+UNION ALL SELECT 'untimed', NULL, CAST(0 AS BIGINT)""",
+        f"parts AS (SELECT *, CASE WHEN event_ts <= {MARK} AND seq % 11 <> 0 THEN 1 ELSE 2 END AS part FROM good)",
+        "marked AS (SELECT *, (SELECT max(event_ts) FROM parts WHERE part = 1) AS mark FROM parts)",
+        "scanned AS (SELECT * FROM marked WHERE event_date >= CAST(mark - INTERVAL 3 DAYS AS DATE))",
+    ),
+    "guarded_mark": query(
+        f"SELECT {MARK_TEXT} AS last_processed_event_ts, 2 AS generation, TRUE AS refused FROM good"
+    ),
+    "stream_deduplicated": query(
+        f"SELECT * EXCLUDE (seq) {TEXT} FROM ({latest('good', _REST_WITH_SEQ)})"
+    ),
     "null_filters": query(
         f"SELECT event_id, {ts_text('event_ts')} AS event_ts FROM kept_latest",
         f"""kept AS (SELECT * FROM good WHERE seq % 10 NOT IN (0, 1))""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,10 +14,12 @@ from tarnflow.functions import parsing
 from tarnflow.operators import features, incremental, quality, standardize
 from tarnflow.operators.upsert import upsert, upsert_parquet
 from tarnflow.plans.ingest import IngestRun, run_ingest, run_ingest_stream
+from tarnflow.plans.replay import replay_quarantine
 from tarnflow.plans.silver import run_silver, silver_rows
+from tarnflow.sources import accounting, compaction, names, raw
 from tarnflow.sources import mark as marks
-from tarnflow.sources import raw
 from tarnflow.sources.envelopes import read_envelopes
+from tarnflow.streaming.dedupe_stream import run_dedupe_stream
 from tarnflow.streaming.silver_stream import run_silver_stream
 
 
@@ -183,6 +186,51 @@ def ingest_repeated(spark: SparkSession, sf: str) -> DataFrame:
     return as_text(rows.select(*schemas.RAW.names))
 
 
+def running_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Accounting over all runs: the stream in two calls, and its first micro-batch once more."""
+    landed, folder = f"{fx.scratch(spark)}/landed", fx.scratch(spark)
+    for part in ("seq % 3 = 0", "seq % 3 > 0"):
+        fx.land_envelopes(spark, sf, landed, part)
+        run_ingest_stream(
+            spark, landed, f"{folder}/lake", f"{folder}/progress", ingested_at=fx.AS_OF, as_of=fx.AS_OF
+        )
+    lake, held = f"{folder}/lake", accounting.read_accounting(spark, f"{folder}/lake")
+    again = held.agg(F.min("run_id")).first()[0]
+    accounting.account(_held(spark)(held.where(F.col("run_id") == again).drop("run_id")), lake, again)
+    totals = accounting.running_totals(spark, lake)
+    return totals.withColumn("dq_reasons", F.to_json("dq_reasons"))
+
+
+def _small_runs(spark: SparkSession, sf: str, runs: int) -> str:
+    """A lake to which the events came in many small runs."""
+    lake = f"{fx.scratch(spark)}/lake"
+    rows = fx.classified(spark, sf)
+    raw.write_ingest(rows, lake, F.format_string("run%02d", F.col("seq") % runs))
+    return lake
+
+
+def compacted_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw table after twenty small runs and a compaction, and whether a tenth of the files are left."""
+    lake = _small_runs(spark, sf, 20)
+    packed = compaction.compact(spark, lake, older_than=timedelta(0))
+    rows = spark.read.schema(schemas.RAW).parquet(raw.raw_path(lake))
+    few = compaction.run_sizes(spark, lake).agg(F.sum("files")).first()[0] * 10 <= packed.files
+    return as_text(rows.select(*schemas.RAW.names)).withColumn("few_files", F.lit(few))
+
+
+def quarantine_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """What moves when one more platform is allowed and the clock has passed March, in two calls."""
+    lake = f"{fx.scratch(spark)}/lake"
+    raw.write_ingest(fx.classified(spark, sf).drop("seq"), lake, "first")
+    later = {"ingested_at": fx.AS_OF, "as_of": fx.AS_OF + timedelta(days=60)}
+    moves = [
+        replay_quarantine(spark, lake, platforms=("web", "mobile", "tv"), **later),
+        replay_quarantine(spark, lake, platforms=("web", "mobile", "tv"), **later),
+    ]
+    rows = spark.read.schema(schemas.WRITTEN).parquet(raw.raw_path(lake)).where("run_id LIKE 'replay-%'")
+    return as_text(rows.select(*schemas.RAW.names)).withColumn("moved_again", F.lit(moves[1].moved))
+
+
 # ---- incremental reads ----
 
 
@@ -334,6 +382,38 @@ def upsert_parquet_table(spark: SparkSession, sf: str) -> DataFrame:
     return as_text(spark.read.parquet(path))
 
 
+def upsert_random_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """An increment of few keys that no range tells apart, some of them new to the table."""
+    rows = standardize.keep_latest(fx.raw_rows(spark, sf, "seq"))
+    rows = _held(spark)(rows.withColumn("event_id", F.md5("event_id")))
+    path = f"{fx.scratch(spark)}/table"
+    upsert_parquet(spark, path, rows.where("seq % 194 <> 0"), check_unique=False)
+    upsert_parquet(spark, path, rows.where("seq % 97 = 0").withColumn("os", F.lit("corrected")))
+    return as_text(spark.read.parquet(path))
+
+
+def target_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Merge targets by name: the first candidate that exists, and the rows found there."""
+    fx.configure(spark)
+    base = f"tarnflow_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {base} LOCATION '{fx.scratch(spark)}/{base}'")
+    good = _held(spark)(fx.raw_rows(spark, sf, "seq"))
+    good.where("seq % 2 = 0").write.saveAsTable(f"{base}.events")
+    good.where("seq % 2 = 1").write.saveAsTable(f"{base}.odd_events")
+    asked = {
+        "as given": f"{base}.events", "without its catalog": f"nowhere.{base}.events",
+        "with a catalog": f"spark_catalog.{base}.odd_events",
+    }
+    out = None
+    for how, name in asked.items():
+        found = names.resolve(spark, name)
+        rows = spark.table(found).agg(F.count("*").alias("n")).select(
+            F.lit(how).alias("asked"), F.lit(found.replace(base, "db")).alias("found"), "n"
+        )
+        out = rows if out is None else out.unionAll(rows)
+    return out
+
+
 # ---- jobs ----
 
 
@@ -361,6 +441,46 @@ def late_rows_tolerated(spark: SparkSession, sf: str) -> DataFrame:
     return as_text(spark.read.schema(schemas.SILVER).parquet(places[2]))
 
 
+def late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Where the rows of a second run went: the increment, late ones by date, those seen before."""
+    folder = fx.scratch(spark)
+    places = (f"{folder}/raw", f"{folder}/mark.json", f"{folder}/silver")
+    rows = _held(spark)(fx.raw_rows(spark, sf, "seq"))
+    first = "event_ts <= TIMESTAMP '2024-01-15 00:00:00' AND seq % 11 <> 0"
+    raw.write_raw(rows.where(first), places[0])
+    run_silver(spark, *places)
+    second = rows.where(f"NOT ({first})").withColumn("ingested_at", F.col("ingested_at") + F.expr("INTERVAL 1 DAY"))
+    raw.write_raw(second, places[0])
+    run = run_silver(spark, *places, late_path=f"{folder}/late")
+    late = count_by(as_text(spark.read.schema(schemas.RAW).parquet(f"{folder}/late")), "event_date")
+    totals = [
+        ("scanned", run.rows_raw_scanned), ("increment", run.rows_new), ("late", run.rows_late),
+        ("seen", run.rows_seen), ("untimed", run.rows_untimed),
+    ]
+    counted = spark.createDataFrame(totals, "went_to string, n long").withColumn("event_date", F.lit(None).cast("string"))
+    return counted.unionByName(late.withColumn("went_to", F.lit("late table")))
+
+
+def guarded_mark(spark: SparkSession, sf: str) -> DataFrame:
+    """Two increments, then a writer that read the mark before the second one: it is refused."""
+    folder = fx.scratch(spark)
+    places = (f"{folder}/raw", f"{folder}/mark.json", f"{folder}/silver")
+    rows = _held(spark)(fx.raw_rows(spark, sf))
+    raw.write_raw(rows.where(~incremental.is_new(fx.MARK)), places[0])
+    run_silver(spark, *places)
+    stale = marks.read_document(spark, places[1])
+    raw.write_raw(incremental.newer_than_mark(rows, fx.MARK), places[0])
+    run_silver(spark, *places)
+    try:
+        marks.write_mark(spark, places[1], "2024-01-01T00:00:00Z", stale)
+        refused = False
+    except marks.MarkMoved:
+        refused = True
+    return spark.read.schema(schemas.MARK_DOCUMENT).json(places[1]).select(
+        "last_processed_event_ts", "generation", F.lit(refused).alias("refused")
+    )
+
+
 def stored_mark(spark: SparkSession, sf: str) -> DataFrame:
     """The mark document after a run over everything, read back."""
     folder = fx.scratch(spark)
@@ -381,6 +501,16 @@ def stream_available_now(spark: SparkSession, sf: str) -> DataFrame:
     return as_text(spark.read.schema(schemas.SILVER).parquet(f"{folder}/silver"))
 
 
+def stream_deduplicated(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that come two times, in two of three micro-batches: each is in the append-only table once."""
+    folder = fx.scratch(spark)
+    rows = _held(spark)(standardize.keep_latest(fx.raw_rows(spark, sf, "seq")))
+    for k in range(3):
+        raw.write_raw(rows.where(F.col("seq") % 3 != k), f"{folder}/raw")
+        run_dedupe_stream(spark, f"{folder}/raw", f"{folder}/progress", f"{folder}/once", within=timedelta(days=60))
+    return as_text(spark.read.schema(schemas.RAW).parquet(f"{folder}/once"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -401,6 +531,9 @@ QUERIES = {
         envelope_defaults,
         empty_batches,
         ingest_repeated,
+        running_totals,
+        compacted_raw,
+        quarantine_replay,
         partition_pruned_scan,
         incremental_filter,
         next_watermark,
@@ -421,9 +554,14 @@ QUERIES = {
         upsert_target_only_columns,
         upsert_older_rows_ignored,
         upsert_parquet_table,
+        upsert_random_keys,
+        target_names,
         incremental_two_runs,
         late_rows_tolerated,
+        late_rows,
+        guarded_mark,
         stored_mark,
         stream_available_now,
+        stream_deduplicated,
     )
 }

@@ -21,11 +21,50 @@ def newer_than_mark(
 ) -> DataFrame:
     """Rows after the mark; rows without a time drop out.
 
-    A row at or before the mark is gone for good, unless ``late_tolerance`` reaches back to it.
+    A row at or before the mark is no part of any increment, unless ``late_tolerance`` reaches back to
+    it; ``late_rows`` has those that came after the mark had passed them.
     """
     return df.where(is_new(mark, late_tolerance))
 
 
+#: Where a scanned row goes.
+INCREMENT, LATE, SEEN, UNTIMED = "increment", "late", "seen", "untimed"
+
+
+def route(
+    mark: datetime,
+    seen_until: datetime | None = None,
+    late_tolerance: timedelta = timedelta(0),
+) -> Column:
+    """Where a scanned row goes: one of four, so their counts add up to the rows scanned.
+
+    ``increment`` is after the mark. Behind it, ``late`` rows were ingested after ``seen_until``, the latest
+    ingest time the run that stored the mark has looked at, and ``seen`` ones before; without
+    ``seen_until`` (no run yet) all are late. ``untimed`` rows have no event time.
+    """
+    unseen = F.lit(True) if seen_until is None else F.col("ingested_at") > mark_literal(seen_until)
+    return (
+        F.when(F.col("event_ts").isNull(), UNTIMED)
+        .when(is_new(mark, late_tolerance), INCREMENT)
+        .when(F.coalesce(unseen, F.lit(True)), LATE)
+        .otherwise(SEEN)
+    )
+
+
+def late_rows(
+    df: DataFrame,
+    mark: datetime,
+    seen_until: datetime | None = None,
+    late_tolerance: timedelta = timedelta(0),
+) -> DataFrame:
+    """The late rows of a scan. Both bounds are bare columns against literals: files of earlier runs
+    are skipped by their ingest times, and files of the increment by their event times."""
+    behind = df.where(F.col("event_ts") <= mark_literal(mark - late_tolerance))
+    if seen_until is None:
+        return behind
+    return behind.where((F.col("ingested_at") > mark_literal(seen_until)) | F.col("ingested_at").isNull())
+
+
 def next_mark(df: DataFrame) -> DataFrame:
     """Latest event time as ISO text, NULL when there are no rows."""
     return df.agg(F.max("event_ts").alias("_max")).select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -12,9 +13,13 @@ from tarnflow.operators.normalize import ENVELOPE_STAGE, SCHEMA_STAGE
 from tarnflow.sources.mark import mark_literal
 
 DQ_STAGE = "dq"
+SUMMED = ("received", "good", "bad_schema", "bad_dq", "bad_envelope")
 
 
-def dq_reason(as_of: datetime | Column | None = None) -> Column:
+def dq_reason(
+    as_of: datetime | Column | None = None,
+    platforms: Sequence[str] = fixed.ALLOWED_PLATFORMS,
+) -> Column:
     """First data-quality rule a normalized row breaks: platform list, then future time."""
     if as_of is None:
         as_of = F.current_timestamp()
@@ -22,15 +27,19 @@ def dq_reason(as_of: datetime | Column | None = None) -> Column:
         as_of = mark_literal(as_of)
     latest = as_of + F.make_dt_interval(mins=F.lit(fixed.FUTURE_TOLERANCE_MINUTES))
     return F.when(
-        F.col("platform").isNotNull() & ~F.col("platform").isin(*fixed.ALLOWED_PLATFORMS),
+        F.col("platform").isNotNull() & ~F.col("platform").isin(*platforms),
         fixed.INVALID_PLATFORM,
     ).when(F.col("event_ts") > latest, fixed.EVENT_TS_IN_FUTURE)
 
 
-def apply_dq(normalized: DataFrame, as_of: datetime | Column | None = None) -> DataFrame:
+def apply_dq(
+    normalized: DataFrame,
+    as_of: datetime | Column | None = None,
+    platforms: Sequence[str] = fixed.ALLOWED_PLATFORMS,
+) -> DataFrame:
     """Add the rule verdict to rows that passed the schema stage; the others stay as they are."""
     untested = F.col("dq_reason").isNull() & F.col("pos").isNotNull()
-    verdict = F.when(untested, dq_reason(as_of)).otherwise(F.col("dq_reason"))
+    verdict = F.when(untested, dq_reason(as_of, platforms)).otherwise(F.col("dq_reason"))
     stage = F.when(untested & verdict.isNotNull(), F.lit(DQ_STAGE)).otherwise(F.col("dq_stage"))
     return normalized.withColumns({"dq_stage": stage, "dq_reason": verdict})
 
@@ -101,3 +110,26 @@ def ingest_totals(summary: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.col("bad_schema") + F.col("bad_dq")), F.lit(0)).alias("total_bad"),
         F.coalesce(F.sum("bad_envelope"), F.lit(0)).alias("total_bad_envelope"),
     )
+
+
+def merged_summaries(summaries: DataFrame, *by: str) -> DataFrame:
+    """Sums of batch summaries, or of sums of them, by ``by`` (such as batch and date; none: all in one row).
+
+    Every column is a sum, and the reason map a sum per reason, so that parts may be merged in any order
+    and any grouping. Reasons are added up by name before the map is made: one row per group and reason.
+    """
+    counted = [c for c in SUMMED if c in summaries.columns]
+    keyed = [F.col(c) for c in by]
+    totals = summaries.groupBy(*keyed).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counted])
+    by_reason = summaries.select(*keyed, F.explode("dq_reasons").alias("reason", "n"))
+    by_reason = by_reason.groupBy(*keyed, "reason").agg(F.sum("n").alias("n"))
+    pairs = F.sort_array(F.collect_list(F.struct("reason", "n")))  # no more than there are reasons
+    maps = by_reason.groupBy(*keyed).agg(F.map_from_entries(pairs).alias("dq_reasons"))
+    maps = maps.select(*[F.col(c).alias(f"_{c}") for c in by], "dq_reasons")
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    none = F.expr("map_from_arrays(array(), array())").cast("map<string,bigint>")
+    return totals.join(maps, same, "left").select(
+        *keyed, *counted, F.coalesce("dq_reasons", none).alias("dq_reasons")
+    )

@@ -19,6 +19,12 @@ COMMITS, RECORD = "_commits", "READY.json"
 #: The partition column of a bucketed table, and the file that holds the number of buckets.
 BUCKET, BUCKETS = "key_bucket", "_layout/buckets.txt"
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+#: Increments of so few keys are looked up by an IN predicate, which the Bloom filters of the key answer per
+#: row group; larger ones by a semi join. One filter says yes to a strange key once in a million.
+KEYS_AT_ONCE = 4096
+KEYS_FPP = "0.000001"
+#: Sizes the writer chooses from by the keys a row group turns out to hold: 8 MB, and halves of it down to 4 KB.
+LARGEST_FILTER, FILTER_SIZES = 8 << 20, 12
 
 
 def assert_unique(source: DataFrame, key: str) -> None:
@@ -126,8 +132,9 @@ def upsert_parquet(
     ``buckets``, given when the table is made, adds a folder level below the date by hash of the key
     (column ``key_bucket``): lookup and rewrite then touch only buckets that the increment holds. The
     number is kept beside the data and used from then on.
- Keys of the table are taken to be
-    unique; should an interrupted commit have left two copies of a key, running the same increment
+
+    Files carry Bloom filters on the key, and an increment of few keys is looked up through them. Keys of
+    the table are taken to be unique; should an interrupted commit have left two copies of a key, running the same increment
     again folds them into one. One writer at a time. The source is written to a scratch table
     first unless it already is one.
     """
@@ -142,7 +149,7 @@ def upsert_parquet(
             assert_unique(source, key)
         if buckets:
             storage.replace_text(spark, f"{path.rstrip('/')}/{BUCKETS}", str(buckets))
-        _write(_bucketed(source, key, buckets), path, _levels(partition, buckets), "append")
+        _write(_bucketed(source, key, buckets), path, _levels(partition, buckets), key)
         return
 
     buckets = _bucket_count(spark, path)
@@ -221,17 +228,17 @@ def _merge_partitions(
 
         # Appended before the old copies go: a crash in between leaves two copies, never none.
         if arriving - leaving.keys():
-            _write(incoming.where(~rewritten), path, levels, "append")
+            _write(incoming.where(~rewritten), path, levels, key)
         if leaving:
             kept = target.where(rewritten).join(
                 winners.select(quote(key)), key, "left_anti"
             )
             merged = kept.select(*map(quote, target.columns)).unionAll(incoming.where(rewritten))
-            _commit(spark, merged, path, levels, emptied)
+            _commit(spark, merged, path, levels, emptied, key)
 
 
 def _commit(
-    spark: SparkSession, merged: DataFrame, path: str, levels: list[str], emptied: list[str]
+    spark: SparkSession, merged: DataFrame, path: str, levels: list[str], emptied: list[str], key: str
 ) -> None:
     """Replace the partitions of ``merged``, and drop the emptied ones, so that a crash loses nothing.
 
@@ -239,7 +246,7 @@ def _commit(
     follows makes the commit: from then on it can be carried out again and again until it is done.
     """
     commit = f"{path.rstrip('/')}/{COMMITS}/{uuid.uuid4().hex}"
-    _write(merged, commit, levels, "append")
+    _write(merged, commit, levels, key)
     storage.replace_text(spark, f"{commit}/{RECORD}", json.dumps(emptied))
     recover(spark, path)
 
@@ -277,12 +284,19 @@ def _leaves(spark: SparkSession, path: str) -> list[str]:
 def matching_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Target rows whose key is in the source: the one look at the whole target, so it is narrow.
 
-    The bounds of the source keys change no answer. They let Parquet skip row groups where keys
-    rise with time, and, being a selective predicate, they let Spark build a run-time Bloom filter
+    The keys of a small source become an IN predicate, which reaches Parquet: a row group is read only
+    if the Bloom filter of its keys knows one of them, also where keys are random and no range helps.
+
+    For a larger source the bounds of its keys change no answer. They let Parquet skip row groups where
+    keys rise with time, and, being a selective predicate, they let Spark build a run-time Bloom filter
     from the source, so that of a target too big to be joined by broadcast only likely matches
     are shuffled.
     """
     column = F.col(quote(key))
+    if isinstance(source.schema[key].dataType, (T.StringType, T.IntegralType, T.DateType)):
+        keys = source.select(column).where(column.isNotNull()).limit(KEYS_AT_ONCE + 1).collect()
+        if len(keys) <= KEYS_AT_ONCE:
+            return target.where(column.isin([k[0] for k in keys]) if keys else F.lit(False))
     low, high = source.agg(F.min(column), F.max(column)).first()
     return target.join(source.select(column).where(column.between(low, high)), key, "left_semi")
 
@@ -295,17 +309,21 @@ def _emptied(target: DataFrame, folder: Column, leaving: dict, suspects: set) ->
     return [row[0] for row in counts if row[1] == leaving[row[0]]]
 
 
-def _write(df: DataFrame, path: str, levels: list[str], mode: str) -> None:
-    """Write by partition with file sizes left to AQE.
+def _write(df: DataFrame, path: str, levels: list[str], key: str) -> None:
+    """Append by partition with file sizes left to AQE, and with Bloom filters on the key.
 
     Rebalancing brings the rows of one partition value together, splits a value that is too big
     for one task (a day may hold a third of all rows) and merges small ones; otherwise every task
     would write a file into every partition it has a row of.
     """
+    filters = {
+        "adaptive.enabled": "true", "max.bytes": LARGEST_FILTER, f"candidates.number#{key}": FILTER_SIZES,
+        f"enabled#{key}": "true", f"fpp#{key}": KEYS_FPP,
+    }
     (
         df.hint("rebalance", *map(quote, levels))
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .write.mode("append")
+        .options(**{f"parquet.bloom.filter.{name}": value for name, value in filters.items()})
         .option("compression", "snappy")
         .partitionBy(*levels)
         .parquet(path)

@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tarnflow import schemas
+from tarnflow.functions import fixed_values as fixed
 from tarnflow.operators import quality
 from tarnflow.operators.normalize import ENVELOPE_STAGE, normalize_events
 from tarnflow.session import require_utc
-from tarnflow.sources import raw
+from tarnflow.sources import accounting, compaction, raw
 from tarnflow.sources.envelopes import envelope_events, read_envelopes
 from tarnflow.sources.storage import path_exists
 
@@ -37,9 +38,10 @@ def classify(
     ingested_at: datetime | None = None,
     as_of: datetime | None = None,
     keep: Sequence[str] = (),
+    platforms: Sequence[str] = fixed.ALLOWED_PLATFORMS,
 ) -> DataFrame:
     """Events with both verdicts, narrow over the envelope scan."""
-    return quality.apply_dq(normalize_events(events, ingested_at, keep), as_of)
+    return quality.apply_dq(normalize_events(events, ingested_at, keep), as_of, platforms)
 
 
 def run_ingest(
@@ -57,10 +59,14 @@ def run_ingest(
 
     The envelopes are read and parsed once. The totals are observed on the stage that writes: each
     task counts once, also when it is retried. Given the ``run_id`` of an earlier run over the same
-    envelopes, the run replaces that one's rows; ``run_ingest_stream`` keeps track of files itself.
+    envelopes, the run replaces that one's rows, also where they were packed since (``compaction``);
+    ``run_ingest_stream`` keeps track of files itself.
     """
     lines = read_envelopes(spark, envelopes, multi_line, spread)
-    return _ingest(spark, lines, root, feed, ingested_at, as_of, run_id or uuid.uuid4().hex)
+    run = _ingest(spark, lines, root, feed, ingested_at, as_of, run_id or uuid.uuid4().hex)
+    if run_id:
+        compaction.release(spark, root, feed, run_id)
+    return run
 
 
 def _ingest(
@@ -97,7 +103,10 @@ def _ingest(
 
 
 def read_run(spark: SparkSession, root: str, run_id: str, feed: str, dates) -> DataFrame:
-    """What one run wrote: good, rejected and empty-batch rows, from its own folders only."""
+    """What one run wrote: good, rejected and empty-batch rows, from its own folders only.
+
+    Of a run that was packed since, from the folders that hold its rows now.
+    """
     folders = [
         folder
         for table in (feed, f"{feed}_bad", f"{feed}_empty")
@@ -105,6 +114,11 @@ def read_run(spark: SparkSession, root: str, run_id: str, feed: str, dates) -> D
         if path_exists(spark, folder := f"{root.rstrip('/')}/feed={table}/event_date={day}/run_id={run_id}")
     ]
     if not folders:
+        packed = compaction.packed_folders(spark, root, feed, run_id)
+        if packed:
+            rows = compaction.stored_rows(spark, root, [f"{root.rstrip('/')}/{f}" for f in packed])
+            own = rows.where(F.col("origin") == run_id).withColumn("run_id", F.col("origin"))
+            return own.select(*schemas.WRITTEN.names)
         return spark.createDataFrame([], schemas.WRITTEN)
     return spark.read.schema(schemas.WRITTEN).option("basePath", root).parquet(*folders)
 
@@ -122,14 +136,17 @@ def run_ingest_stream(
     """Ingest what has landed since the last call, each file once, then stop.
 
     ``checkpoint`` keeps the files that were taken. A micro-batch that is repeated after a failure
-    has the same run id and replaces what it wrote, so nothing doubles.
+    has the same run id and replaces what it wrote, so nothing doubles. The summary of each micro-batch
+    goes into the accounting table (``sources.accounting``), under its run.
     """
     require_utc(spark)
     name = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
     def ingest(lines: DataFrame, batch: int) -> None:
-        events = envelope_events(lines, spread)
-        _ingest(lines.sparkSession, events, root, feed, ingested_at, as_of, f"{name}-{batch:08d}")
+        session, run_id = lines.sparkSession, f"{name}-{batch:08d}"
+        run = _ingest(session, envelope_events(lines, spread), root, feed, ingested_at, as_of, run_id)
+        compaction.release(session, root, feed, run_id)
+        accounting.account(run.summary, root, run_id, feed)
 
     query = (
         spark.readStream.text(envelopes)

@@ -96,3 +96,5 @@ SILVER = T.StructType(
 )
 
 MARK_DDL = "last_processed_event_ts string"
+#: The same document with what runs keep beside the mark.
+MARK_DOCUMENT = f"{MARK_DDL}, last_ingested_at string, generation int"

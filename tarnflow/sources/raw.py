@@ -28,7 +28,7 @@ def quarantine_path(root: str, feed: str = DEFAULT_FEED) -> str:
 def write_ingest(
     classified: DataFrame,
     root: str,
-    run_id: str,
+    run_id: str | Column,
     feed: str = DEFAULT_FEED,
     watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> None:
@@ -40,8 +40,8 @@ def write_ingest(
     are clustered within a file, so its statistics skip batches. Columns that only one side uses
     are all NULL on the other and cost nothing.
 
-    A run that is repeated under the same id replaces what it wrote before. ``watch`` may observe
-    the rows on the stage that writes them.
+    A run that is repeated under the same id replaces what it wrote before; ``run_id`` as a column takes
+    the rows of several runs at once. ``watch`` may observe the rows on the stage that writes them.
     """
     rejected = F.col("dq_reason").isNotNull()
     is_event = F.col("pos").isNotNull()

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,6 +83,35 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return file_system.delete(hadoop_path, True)
 
 
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small text file that is not there yet, whole or not at all; False if it is there.
+
+    The text is complete before the name is taken, and taking a name that exists fails.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    configuration = spark._jsc.hadoopConfiguration()
+    target, draft = hadoop.Path(path), hadoop.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    file_system = target.getFileSystem(configuration)
+    if file_system.exists(target):
+        return False
+    stream = file_system.create(draft, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    no_overwrite = spark._jvm.java.lang.reflect.Array.newInstance(
+        hadoop.Options.Rename.OVERWRITE.getClass(), 0
+    )
+    try:
+        hadoop.FileContext.getFileContext(target.toUri(), configuration).rename(draft, target, no_overwrite)
+    except Py4JJavaError as error:
+        file_system.delete(draft, False)
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def replace_text(spark: SparkSession, path: str, text: str) -> None:
     """Replace a small text file in one step: written beside it, then renamed over it."""
     hadoop = spark._jvm.org.apache.hadoop.fs
