@@ -32,7 +32,6 @@ counts are combined before the shuffle, and occurrences are joined as written ta
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +52,9 @@ REACH = 30
 CUT, WHOLE = 100, 150
 BANDS, ROWS = 5, 2
 SEED = 10
-#: Seeds of more occurrences are compared by an aggregation of their windows, and not in one task.
-HOT = 512
+#: Occurrences of a seed that are compared in one piece of work; a seed of more is dealt into several, which
+#: first agree on the first place of each window.
+SHARE = 512
 #: Size of the filter of ids that are wanted; bounds what is broadcast to ``CELLS`` / 64 pairs of numbers.
 CELLS = 1 << 25
 #: Most paragraphs of a bucket in one part.
@@ -240,7 +240,7 @@ def _units(least_words: int):
 
 
 LOOKED_UP = (
-    "id long, h long, hot boolean, key long, at int, windows array<long>, starts array<int>, ends array<int>,"
+    "id long, h long, parts int, key long, at int, windows array<long>, starts array<int>, ends array<int>,"
     " items array<int>"
 )
 
@@ -265,11 +265,11 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = mix(np.arange(1, len(part) + 1, dtype=np.uint64))
             keys = wanted.field("key").to_numpy().view(np.uint64) ^ text[owner]
             order = np.argsort(keys)
-            keys, hot = keys[order], wanted.field("hot").to_numpy(zero_copy_only=False)[order]
+            keys, parts = keys[order], wanted.field("parts").to_numpy()[order]
             mine = value[seed] ^ text[w.text[at]]
             place = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
             hit = np.flatnonzero(keys[place] == mine)
-            at, seed, hot = at[hit], seed[hit], hot[place[hit]]
+            at, seed, parts = at[hit], seed[hit], parts[place[hit]]
             new = np.ones(len(at), bool)
             new[1:] = (seed[1:] != seed[:-1]) | (np.diff(at) != 1)
             first = np.flatnonzero(new)
@@ -278,7 +278,7 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = pa.array(w.text[at[first]])
             yield pa.record_batch(
                 [
-                    *(c.take(own) for c in ids), pa.array(hot[first]), pa.array(value[seed[first]].view(np.int64)),
+                    *(c.take(own) for c in ids), pa.array(parts[first]), pa.array(value[seed[first]].view(np.int64)),
                     pa.array((at[first] - w.first[w.text[at[first]]]).astype(np.int32)),
                     _lists(whole.view(np.int64), sizes), _lists(w.start[at].astype(np.int32), sizes),
                     _lists(w.end[at + LEAST_WORDS - 1].astype(np.int32), sizes), pa.nulls(len(first), none),
@@ -296,7 +296,7 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             new[1:] = (small[1:] != small[:-1]) | (of[1:] != of[:-1])
             yield pa.record_batch(
                 [
-                    *(c.take(pa.array(owner)) for c in ids), pa.nulls(len(owner), pa.bool_()), wanted.field("key"),
+                    *(c.take(pa.array(owner)) for c in ids), pa.nulls(len(owner), pa.int32()), wanted.field("key"),
                     pa.nulls(len(owner), pa.int32()), pa.nulls(len(owner), pa.list_(pa.int64())),
                     pa.nulls(len(owner), none), pa.nulls(len(owner), none),
                     _lists(small[new], np.bincount(of[new], minlength=len(owner))),
@@ -308,37 +308,62 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 SPANS = "id long, h long, begin int, till int, start int, end int, keep_id long"
 
 
-def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows that an earlier place holds too, those side by side as one, of rows sorted by seed."""
-    for table in whole_runs(batches, "key"):
+class _Windows:
+    """All windows of rows that come sorted by key, with the first place of each window of a key."""
+
+    def __init__(self, table: pa.Table):
         table = table.combine_chunks()
         lists = [table.column(c).combine_chunks() for c in ("windows", "starts", "ends")]
         lists = [x if isinstance(x, pa.Array) else pa.concat_arrays(x.chunks) for x in lists]
         sizes = lists[0].value_lengths().to_numpy().astype(np.int64)
-        whole, start, end = (x.flatten().to_numpy() for x in lists)
-        row = np.repeat(np.arange(len(sizes)), sizes)
-        ids, h, key, at = (table.column(c).to_numpy()[row] for c in ("id", "h", "key", "at"))
-        at = at + np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        order = np.lexsort((at, h, ids, whole, key))
+        self.window, self.start, self.end = (x.flatten().to_numpy() for x in lists)
+        self.row = np.repeat(np.arange(len(sizes)), sizes)
+        self.ids, self.h, key, at = (table.column(c).to_numpy()[self.row] for c in ("id", "h", "key", "at"))
+        self.at = at + np.arange(len(self.row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        order = np.lexsort((self.at, self.h, self.ids, self.window, key))
         new = np.ones(len(order), bool)
-        new[1:] = (key[order][1:] != key[order][:-1]) | (whole[order][1:] != whole[order][:-1])
-        first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-        kept = np.empty(len(order), np.int64)
-        kept[order] = first
-        apart = (ids != ids[kept]) | (h != h[kept]) | (at >= at[kept] + LEAST_WORDS)
-        later = np.flatnonzero(apart)
+        new[1:] = (key[order][1:] != key[order][:-1]) | (self.window[order][1:] != self.window[order][:-1])
+        self.firsts = order[new]
+        self.kept = np.empty(len(order), np.int64)
+        self.kept[order] = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+
+
+FIRSTS = "seed long, parts int, window long, id long, h long, place int"
+
+
+def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first place of each window of a key."""
+    for table in whole_runs(batches, "key"):
+        w = _Windows(table)
+        f = w.firsts
+        rows = pa.array(w.row[f])
+        yield pa.record_batch(
+            [
+                *(table.column(c).combine_chunks().take(rows) for c in ("seed", "parts")), pa.array(w.window[f]),
+                pa.array(w.ids[f]), pa.array(w.h[f]), pa.array(w.at[f].astype(np.int32)),
+            ],
+            [c.split()[0] for c in FIRSTS.split(", ")],
+        )
+
+
+def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows that an earlier place holds too, those side by side as one."""
+    for table in whole_runs(batches, "key"):
+        w = _Windows(table)
+        ids, at, kept = w.ids, w.at, w.kept
+        later = np.flatnonzero((ids != ids[kept]) | (w.h != w.h[kept]) | (at >= at[kept] + LEAST_WORDS))
         if not len(later):
             continue
         stays = ids[kept[later]]
         new = np.ones(len(later), bool)
-        new[1:] = (np.diff(later) != 1) | (row[later[1:]] != row[later[:-1]]) | (stays[1:] != stays[:-1])
+        new[1:] = (np.diff(later) != 1) | (w.row[later[1:]] != w.row[later[:-1]]) | (stays[1:] != stays[:-1])
         a = np.flatnonzero(new)
         b = np.append(a[1:], len(later)) - 1
         yield pa.record_batch(
             [
-                pa.array(ids[later[a]]), pa.array(h[later[a]]), pa.array(at[later[a]].astype(np.int32)),
-                pa.array((at[later[b]] + LEAST_WORDS).astype(np.int32)), pa.array(start[later[a]]),
-                pa.array(end[later[b]]), pa.array(stays[a]),
+                pa.array(ids[later[a]]), pa.array(w.h[later[a]]), pa.array(at[later[a]].astype(np.int32)),
+                pa.array((at[later[b]] + LEAST_WORDS).astype(np.int32)), pa.array(w.start[later[a]]),
+                pa.array(w.end[later[b]]), pa.array(stays[a]),
             ],
             [c.split()[0] for c in SPANS.split(", ")],
         )
@@ -423,13 +448,14 @@ def _copies(units: DataFrame) -> DataFrame:
 
 
 def _repeated_seeds(units: DataFrame, copies: DataFrame) -> DataFrame:
-    """``(id, h, key, hot)`` of seeds that occur more than once, copies of texts left out."""
+    """``(id, h, key, parts)`` of seeds that occur more than once, copies of texts left out."""
     found = units.where("kind = 0").select("id", "h", "key")
     # Counted apart and written, so that the join sees plain tables and Spark can split a hot seed.
     often = stage(found.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "often")
     met = stage(found.join(often, "key").join(copies.select(*ME), ME, "left_anti"), "met")
     again = stage(met.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "again")
-    out = stage(met.join(again, "key").select(*ME, "key", (F.col("c") > HOT).alias("hot")), "seeds")
+    parts = F.expr(f"cast((c + {SHARE} - 1) div {SHARE} AS int)")
+    out = stage(met.join(again, "key").select(*ME, "key", parts.alias("parts")), "seeds")
     unstage(often, met, again)
     return out
 
@@ -454,9 +480,9 @@ def _likely(rows: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _wanted_of(rows: DataFrame, seeds: DataFrame, sets: DataFrame) -> DataFrame:
-    """The windows of ``seeds(id, h, key, hot)`` and the sets of ``sets(id, h, key, place, n)``."""
-    seed, part = "struct<key:long,hot:boolean>", "struct<key:long,place:int,n:int>"
-    wants = seeds.select(*ME, F.struct("key", "hot").alias("seed"), F.lit(None).cast(part).alias("part")).unionByName(
+    """The windows of ``seeds(id, h, key, parts)`` and the sets of ``sets(id, h, key, place, n)``."""
+    seed, part = "struct<key:long,parts:int>", "struct<key:long,place:int,n:int>"
+    wants = seeds.select(*ME, F.struct("key", "parts").alias("seed"), F.lit(None).cast(part).alias("part")).unionByName(
         sets.select(*ME, F.lit(None).cast(seed).alias("seed"), F.struct("key", "place", "n").alias("part"))
     )
     # Lists are no longer than their text.
@@ -471,26 +497,25 @@ def _wanted_of(rows: DataFrame, seeds: DataFrame, sets: DataFrame) -> DataFrame:
     return found
 
 
-def _repeats(found: DataFrame) -> list[DataFrame]:
-    """Spans of windows that an earlier place holds too."""
+def _repeats(found: DataFrame) -> DataFrame:
+    """Spans of windows that an earlier place holds too.
+
+    The occurrences of a seed are dealt into its parts. Of a seed with several, each part gives the first
+    place of each window; the first of these joins every part, where it comes first again.
+    """
     columns = ["key", "id", "h", "at", "windows", "starts", "ends"]
-    held = found.where("items IS NULL")
-    cold = _by_key(held.where("NOT hot").select(*columns)).mapInArrow(_later, SPANS)
-    # Of a hot seed each window is a row; of equal ones a task sends the first.
-    one = F.arrays_zip("windows", "starts", "ends")
-    hot = held.where("hot").select("id", "h", "at", F.posexplode(one).alias("i", "w")).select(
-        "id", "h", F.expr("at + i").alias("place"), F.col("w.windows").alias("window"),
-        F.col("w.starts").alias("start"), F.col("w.ends").alias("end"),
+    dealt = found.where("items IS NULL").withColumn("seed", F.col("key")).withColumn(
+        "key", F.xxhash64("seed", F.pmod(F.xxhash64(*ME), F.col("parts").cast("long")))
     )
-    place = F.struct("id", "h", "place")
-    first = stage(hot.groupBy("window").agg(F.min(place).alias("kept")), "windows")
-    later = hot.join(first, "window").where(
-        f"id <> kept.id OR h <> kept.h OR place >= kept.place + {LEAST_WORDS}"
-    ).select(
-        *ME, F.col("place").alias("begin"), F.expr(f"place + {LEAST_WORDS}").alias("till"), "start", "end",
-        F.col("kept.id").alias("keep_id"),
+    firsts = _by_key(dealt.where("parts > 1").select(*columns, "seed", "parts")).mapInArrow(_firsts, FIRSTS)
+    kept = firsts.groupBy("seed", "parts", "window").agg(F.min(F.struct("id", "h", "place")).alias("kept"))
+    kept = kept.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)))
+    none = F.array(F.lit(0))
+    known = kept.select(
+        F.xxhash64("seed", "part").alias("key"), "kept.id", "kept.h", F.col("kept.place").alias("at"),
+        F.array("window").alias("windows"), none.alias("starts"), none.alias("ends"),
     )
-    return [cold, later]
+    return _by_key(dealt.select(*columns).unionByName(known)).mapInArrow(_later, SPANS)
 
 
 def _colliding(units: DataFrame) -> DataFrame:
@@ -530,7 +555,7 @@ def _stretches(rows: DataFrame, similarity: int, least_words: int) -> DataFrame:
     sets = first.join(near, "key").select("first.id", "first.h", "key", "first.place", "first.n")
     found = _wanted_of(rows, seeds, sets)
     unstage(seeds)
-    exact = stage(reduce(DataFrame.unionByName, _repeats(found)), "exact")
+    exact = stage(_repeats(found), "exact")
     found = found.where("items IS NOT NULL").select("key", "items")
 
     known = found.groupBy(F.col("key").alias("id")).agg(F.min("items").alias("items"))
