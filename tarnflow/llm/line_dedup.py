@@ -75,28 +75,35 @@ def kept_stretches(starts: Column, lines: Column) -> Column:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with repeated lines taken out of the text, plus ``n_lines, n_removed``."""
+    """``docs`` with repeated lines taken out of the text, plus ``n_lines, n_removed``.
+
+    Other columns travel along, whatever their names; columns of ``docs`` that are called ``n_lines`` or
+    ``n_removed`` are replaced.
+    """
     gone = removals(docs, id_col, text_col).select(
-        F.col("id").alias("__id"), F.col("row").alias("__row"), "starts"
+        F.col("id").alias("__id"), F.col("row").alias("__key"), F.col("starts").alias("__starts")
     )
     columns = docs.columns
-    joined = docs.join(
-        gone,
-        F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text_col)) == F.col("__row")),
-        "left",
-    )
-    lines = _lines(F.col(text_col))
+    # As one column, so that no name of theirs meets one of ours.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row"))
+    own_id, own_text = F.col("__row").getField(id_col), F.col("__row").getField(text_col)
+    joined = rows.join(gone, own_id.eqNullSafe(F.col("__id")) & (F.xxhash64(own_text) == F.col("__key")), "left")
+    lines = _lines(own_text)
+    hit = F.col("__starts").isNotNull()
     cut = joined.select(
-        *[F.col(f"`{c}`") for c in columns],
-        F.when(F.col("starts").isNotNull(), lines).alias("__ls"),
+        "__row",
+        F.when(hit, lines).alias("__ls"),
         F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("__n"),
-        F.when(F.col("starts").isNotNull(), kept_stretches(F.col("starts"), lines)).alias("__kept"),
+        F.when(hit, kept_stretches(F.col("__starts"), lines)).alias("__kept"),
     )
     pieces = F.flatten(F.transform("__kept", lambda g: F.slice(F.col("__ls"), g["from"] + 1, g["length"])))
     left = F.aggregate("__kept", F.lit(0), lambda a, g: a + g["length"])
-    text = F.when(F.col("__kept").isNull(), F.col(text_col)).otherwise(F.array_join(pieces, "\n"))
+    text = F.when(F.col("__kept").isNull(), own_text).otherwise(F.array_join(pieces, "\n"))
     return cut.select(
-        *[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in columns if c not in ("n_lines", "n_removed")],
-        F.when(F.col(text_col).isNull(), 0).otherwise(F.col("__n")).cast("long").alias("n_lines"),
+        *[
+            text.alias(c) if c == text_col else F.col("__row").getField(c).alias(c)
+            for c in columns if c not in ("n_lines", "n_removed")
+        ],
+        F.when(own_text.isNull(), 0).otherwise(F.col("__n")).cast("long").alias("n_lines"),
         F.coalesce(F.col("__n") - left, F.lit(0)).cast("long").alias("n_removed"),
     )

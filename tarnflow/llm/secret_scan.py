@@ -14,13 +14,14 @@ matches follow from the lengths of the pieces between them.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnflow.llm.common import scratch_path, stage
+from tarnflow.sources.storage import path_exists
 
 # The base rules of the contract.
 ASSIGN = (
@@ -55,7 +56,15 @@ ADDED = (
     Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 27),
 )
 RULES = (*BASE, *ADDED)
-RULE_VERSION = "1"
+
+
+def rule_version(rules: tuple[Rule, ...]) -> str:
+    """A name that changes with any rule, and with their order."""
+    return hashlib.sha256(repr(rules).encode()).hexdigest()[:16]
+
+
+#: Pieces between matches whose places are worked out together.
+PIECES = 256
 
 SPAN = "array<struct<start:long,rank:int,kind:string,end:long>>"
 
@@ -74,10 +83,34 @@ def _spans(text: Column, rule: Rule, rank: int) -> Column:
             F.coalesce(F.char_length(x["part"]), F.lit(0)).alias("part"),
         ),
     )
-    # One walk over the pieces: where we stand, and the findings so far.
-    empty = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPAN).alias("out"))
-    walked = F.aggregate(
-        lengths,
+    # Places are running sums. Pieces go by blocks: the sums of whole blocks come first, so that the arrays
+    # that grow by one element at a time are a block's, or one element a block, and not one a finding.
+    size = F.size(lengths)
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.lit(0), (size - 1) / PIECES).cast("int")),
+        lambda k: F.slice(lengths, k * PIECES + 1, F.lit(PIECES)),
+    )
+    sums = F.transform(
+        blocks, lambda b: F.aggregate(b, F.lit(0).cast("long"), lambda a, x: a + x["gap"] + x["hit"])
+    )
+    begin = F.aggregate(
+        sums,
+        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<long>").alias("out")),
+        lambda a, x: F.struct((a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")),
+    )["out"]
+    walked = F.flatten(
+        F.transform(
+            F.arrays_zip(blocks.alias("pieces"), begin.alias("at")), lambda b: _walk(b["pieces"], b["at"], rule, rank)
+        )
+    )
+    return F.when(text.rlike(rule.probe or rule.pattern), walked).otherwise(F.array().cast(SPAN))
+
+
+def _walk(pieces: Column, start: Column, rule: Rule, rank: int) -> Column:
+    """The findings of one block of pieces that begins at ``start``."""
+    empty = F.struct(start.alias("at"), F.array().cast(SPAN).alias("out"))
+    return F.aggregate(
+        pieces,
         empty,
         lambda a, x: F.struct(
             (a["at"] + x["gap"] + x["hit"]).alias("at"),
@@ -97,7 +130,6 @@ def _spans(text: Column, rule: Rule, rank: int) -> Column:
             ).otherwise(a["out"]).alias("out"),
         ),
     )["out"]
-    return F.when(text.rlike(rule.probe or rule.pattern), walked).otherwise(F.array().cast(SPAN))
 
 
 def find_spans(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -113,27 +145,27 @@ def spans_text(spans: Column) -> Column:
 
 def _ledger(df_path: str, spark) -> DataFrame:
     schema = f"blob string, rule_version string, spans {SPAN}"
-    try:
-        return spark.read.schema(schema).parquet(df_path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":  # the first scan
-            return spark.createDataFrame([], schema)
-        raise
+    if not path_exists(spark, df_path):  # the first scan
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(df_path)
 
 
 def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES,
-         rule_version: str = RULE_VERSION, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         version: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, blob, spans)`` for each row of ``versions`` (a version of a path).
 
+    The rule version follows from the rules themselves: with other rules, every blob is unseen. (``version``
+    sets it by hand, say when what a rule means changed outside its text.)
+
     ``ledger`` is the folder of the ledger, on shared storage; it grows by the unseen blobs. A
     scan that failed half-way can be repeated; pairs that got in twice are merged when read.
     """
-    spark = versions.sparkSession
+    spark, version = versions.sparkSession, version or rule_version(rules)
     text = F.coalesce(F.col(text_col), F.lit(""))
     blobs = versions.select(
         F.col(id_col).alias("__id"), text.alias("__text"), F.sha2(text.cast("binary"), 256).alias("blob")
     )
-    known = _ledger(ledger, spark).where(F.col("rule_version") == rule_version).select("blob")
+    known = _ledger(ledger, spark).where(F.col("rule_version") == version).select("blob")
     # Ids first, so that one text of each unseen blob is scanned and copies never travel.
     unseen = (
         blobs.groupBy("blob").agg(F.min(F.struct(F.col("__id").isNull(), F.col("__id").alias("id"))).alias("f"))
@@ -144,13 +176,13 @@ def scan(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES,
         unseen, (F.col("blob") == F.col("__b")) & F.col("__id").eqNullSafe(F.col("__first")), "left_semi"
     )
     fresh = texts.select(
-        "blob", F.lit(rule_version).alias("rule_version"), find_spans(F.col("__text"), rules).alias("spans")
+        "blob", F.lit(version).alias("rule_version"), find_spans(F.col("__text"), rules).alias("spans")
     )
     # Blobs without findings are entered too: the ledger must know that they were seen.
     fresh.write.mode("append").parquet(ledger)
     # Written, so that the join sees a plain table and Spark can split a blob with many paths.
     seen = stage(
-        _ledger(ledger, spark).where((F.col("rule_version") == rule_version) & (F.size("spans") > 0))
+        _ledger(ledger, spark).where((F.col("rule_version") == version) & (F.size("spans") > 0))
         .dropDuplicates(["blob"]).select("blob", "spans"),
         "findings",
     )

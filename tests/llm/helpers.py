@@ -29,7 +29,11 @@ def table(spark, rows, names="doc_id long, text string, lang string, source stri
 def clashing(spark, rows):
     """With extra columns whose names operators might want for themselves."""
     df = table(spark, rows)
-    for name in ("id", "n", "key", "row", "kept", "u", "v", "component", "spans", "blob", "start", "x"):
+    for name in (
+        "id", "n", "key", "row", "kept", "u", "v", "component", "spans", "blob", "start", "x", "starts", "n_lines",
+        "n_removed", "at", "h", "h1", "h2", "keep_id", "score", "text_sha256", "first", "c", "end", "place", "labels",
+        "cluster", "items", "vec", "token",
+    ):
         df = df.withColumn(name, df["n_chars"])
     return df
 

@@ -89,10 +89,27 @@ def test_the_ledger_scans_unseen_pairs_only(spark, folder):
     again = secret_scan.scan(rows, folder)
     assert spark.read.parquet(folder).count() == held + 5  # 9 repeats 1, 8 equals 7
     assert {r.doc_id: r.spans for r in first}.items() <= {r.doc_id: r.spans for r in again.collect()}.items()
-    secret_scan.scan(rows, folder, rule_version="2")
+    secret_scan.scan(rows, folder, version="2")
     assert spark.read.parquet(folder).where("rule_version = '2'").count() == held + 5
 
 
+def test_other_rules_see_every_blob_again(spark, folder):
+    rows = table(spark, SECRETS)
+    secret_scan.scan(rows, folder, secret_scan.BASE)
+    more = (*secret_scan.BASE, secret_scan.Rule("word", "hunter2+", 5))
+    for rules in (more, secret_scan.BASE):
+        got = secret_scan.scan(rows, folder, rules).select("doc_id", secret_scan.spans_text(F.col("spans")).alias("s"))
+        want = sorted((i or 0, plain_spans(t, rules)) for i, t in SECRETS)
+        assert sorted((r.doc_id or 0, r.s) for r in got.collect()) == want
+
+
+@pytest.mark.parametrize("count", [255, 256, 257, 3000])
+def test_texts_with_many_findings(spark, folder, count):
+    rows = [(1, " ".join(f"x{i} token=abcdefgh{i} AKIA{i:016d}" for i in range(count)))]
+    got = secret_scan.scan(table(spark, rows), folder).select(secret_scan.spans_text(F.col("spans")).alias("s")).first()
+    assert got.s == plain_spans(rows[0][1])
+
+
 def test_redaction_masks_spans_and_nothing_else(spark, folder):
     got = {r.doc_id: r.text for r in secret_scan.redact_secrets(clashing(spark, SECRETS), folder).collect()}
     assert got[1] == 'x [secret]" y' and got[7] is None and got[8] == ""
@@ -135,10 +152,20 @@ def plain_lines(rows):
     }
 
 
+def test_columns_of_any_name_travel_along(spark):
+    df = clashing(spark, LINES)
+    for name in ("__id", "__row", "__key", "__starts", "__kept"):
+        df = df.withColumn(name, F.lit(1))
+    got = line_dedup.dedup_lines(df)
+    assert sorted(got.columns) == sorted(df.columns)  # which has n_lines and n_removed
+    assert got.agg(F.min("starts"), F.max("__row"), F.sum("n_removed")).first()[:2] == (1, 1)
+
+
 def test_line_dedup(spark):
     df = clashing(spark, LINES)
     got = line_dedup.dedup_lines(df)
-    assert got.columns == [*df.columns, "n_lines", "n_removed"]
+    own = ["n_lines", "n_removed"]
+    assert got.columns == [*[c for c in df.columns if c not in own], *own]
     want = plain_lines(LINES)
     assert sorted(((r.doc_id or 0), r.text or "") for r in got.collect()) == sorted(
         (i or 0, want[i, t] or "") for i, t in LINES
