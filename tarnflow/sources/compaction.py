@@ -92,15 +92,16 @@ def first_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
     width = 1 << max(1, len(sizes)).bit_length()
     most = [0] * (2 * width)
     for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
-        if most[1] >= sizes[i] and most[1]:
+        need = max(1, sizes[i])
+        if most[1] >= need:
             at = 1
             while at < width:
-                at = 2 * at if most[2 * at] >= sizes[i] else 2 * at + 1
+                at = 2 * at if most[2 * at] >= need else 2 * at + 1
             at -= width
         else:
             at = len(room)
-            room.append(max(capacity, sizes[i]))
-        room[at] -= sizes[i]
+            room.append(max(capacity, need))
+        room[at] -= need
         bins[i] = at
         node = at + width
         most[node] = room[at]

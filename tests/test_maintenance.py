@@ -131,11 +131,11 @@ def test_nothing_is_removed_before_all_is_in_place(spark, folder):
 def test_first_fit_decreasing():
     rng = random.Random(3)
     for _ in range(200):
-        sizes = [rng.randint(0, 12) for _ in range(rng.randint(0, 40))]
+        sizes = [rng.randint(1, 12) for _ in range(rng.randint(0, 40))]
         got, room = compaction.first_fit_decreasing(sizes, 10), []
         want = [0] * len(sizes)
         for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
-            at = next((b for b, r in enumerate(room) if r >= sizes[i] and r > 0), len(room))
+            at = next((b for b, r in enumerate(room) if r >= sizes[i]), len(room))
             if at == len(room):
                 room.append(max(10, sizes[i]))
             room[at] -= sizes[i]
