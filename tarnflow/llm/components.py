@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarnflow.llm.common import stage
+from tarnflow.llm.common import stage, unstage
 
 
 def _star(edges: DataFrame, least: DataFrame) -> DataFrame:
@@ -18,7 +18,7 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Every round hooks neighbours to their smallest neighbour with two aggregations (combined
     before the shuffle) and two joins, in which Spark may split a hub; the count of rounds grows
     with the logarithm of the longest path. Each round is written to shared storage, so no
-    lineage piles up. No node, edge or label comes to the driver; only one flag a round does.
+    lineage piles up, and the tables of the round before are deleted. No node, edge or label comes to the driver; only one flag a round does.
     Self edges, repeated edges, nulls (ignored) and an empty table are fine.
     """
     edges = edges.where("u IS NOT NULL AND v IS NOT NULL").select(
@@ -49,6 +49,7 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         done = roots.join(hanging, "u", "left_semi").isEmpty() and (
             new.groupBy("u").count().where("count > 1").isEmpty()
         )
+        unstage(edges, least, low)
         edges = new
         if done:
             nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -44,11 +44,13 @@ def grams(texts: list[str | None]):
     """
     lowered = [(t or "").lower() for t in texts]
     sizes = [len(low) for low in lowered]
-    points = np.frombuffer("\n".join(lowered).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    if not len(points):
+    if not sum(sizes):
         none = np.zeros(0, np.int64)
         return none, none, none
-    text = np.repeat(np.arange(len(texts)), np.array(sizes) + (np.arange(len(texts)) < len(texts) - 1))
+    # A blank after each text, the last one too, so that its last word has an end.
+    whole = "\n".join([*lowered, ""]).encode("utf-32-le", "surrogatepass")
+    points = np.frombuffer(whole, np.uint32).astype(np.int64)
+    text = np.repeat(np.arange(len(texts)), np.array(sizes) + 1)
     letter = _letter_table()[points]
     points = np.where(letter, points, 0)
     keep = letter.copy()
