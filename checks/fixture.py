@@ -59,9 +59,14 @@ COLUMNS = {
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived table, one row per event of the driver's table."""
+    """The derived table, one row per event of the driver's table.
+
+    That table is one file of one row group, which Spark reads in one task: dealt out, so that what
+    follows runs on all cores, as it does for the many files that land in practice.
+    """
     configure(spark)
     events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumnRenamed("event_id", "i")
+    events = events.repartition(spark.sparkContext.defaultParallelism, "i")
     return events.selectExpr(*[f"{rule} AS {name}" for name, rule in COLUMNS.items()])
 
 
