@@ -212,13 +212,12 @@ def _units(least_words: int):
             full = np.flatnonzero(np.diff(w.first))
             if not len(full):
                 continue
-            # Told by a second hash too, over the words.
-            key = np.add.reduceat(mix(w.hashed + np.arange(len(w.hashed), dtype=np.uint64) - np.repeat(
-                w.first[full], np.diff(w.first)[full]).astype(np.uint64) * np.uint64(_MULTIPLIER)), w.first[full])
+            # Told by a second hash too, over the words and their places.
+            count = np.diff(w.first)[full]
+            place = (np.arange(len(w.hashed)) - np.repeat(w.first[full], count)).astype(np.uint64)
+            key = np.add.reduceat(mix(w.hashed + place * np.uint64(_MULTIPLIER)), w.first[full])
             zero = np.zeros(len(full), np.int64)
-            yield batch(
-                part, 2, full, key, zero, np.diff(w.first)[full], w.start[w.first[full]], w.end[w.first[full + 1] - 1]
-            )
+            yield batch(part, 2, full, key, zero, count, w.start[w.first[full]], w.end[w.first[full + 1] - 1])
             begin, count, key = _cut(w, least_words)
             if not len(key):
                 continue
@@ -271,7 +270,8 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hit = np.flatnonzero(keys[place] == mine)
             at, seed, parts = at[hit], seed[hit], parts[place[hit]]
             new = np.ones(len(at), bool)
-            new[1:] = (seed[1:] != seed[:-1]) | (np.diff(at) != 1)
+            # (one word again and again has a seed at every place, all alike)
+            new[1:] = (value[seed[1:]] != value[seed[:-1]]) | (np.diff(at) != 1)
             first = np.flatnonzero(new)
             sizes = np.diff(np.append(first, len(at)))
             whole = mix(value[at] * np.uint64(_MULTIPLIER) + value[at + LEAST_WORDS - SEED])
@@ -501,14 +501,16 @@ def _repeats(found: DataFrame) -> DataFrame:
     """Spans of windows that an earlier place holds too.
 
     The occurrences of a seed are dealt into its parts. Of a seed with several, each part gives the first
-    place of each window; the first of these joins every part, where it comes first again.
+    place of each window; the first of those that several give joins every part, where it comes first again.
     """
     columns = ["key", "id", "h", "at", "windows", "starts", "ends"]
     dealt = found.where("items IS NULL").withColumn("seed", F.col("key")).withColumn(
         "key", F.xxhash64("seed", F.pmod(F.xxhash64(*ME), F.col("parts").cast("long")))
     )
     firsts = _by_key(dealt.where("parts > 1").select(*columns, "seed", "parts")).mapInArrow(_firsts, FIRSTS)
-    kept = firsts.groupBy("seed", "parts", "window").agg(F.min(F.struct("id", "h", "place")).alias("kept"))
+    kept = firsts.groupBy("seed", "parts", "window").agg(
+        F.min(F.struct("id", "h", "place")).alias("kept"), F.count("*").alias("n")
+    ).where("n > 1")  # what only one part holds is settled there
     kept = kept.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)))
     none = F.array(F.lit(0))
     known = kept.select(
