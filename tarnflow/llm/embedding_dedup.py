@@ -16,7 +16,8 @@ in one task; sums and a forest of links leave a task, never its pairs.
 Vectors that are null, of length zero, or hold null or non-finite components link with nothing; so
 do rows without an id. Vectors of equal length are compared, each length under codes of its own; where
 a length is rare, all its vectors meet. Rows that share an id are one node, but each row counts as a
-vector. Empty tables give empty results; other columns are ignored.
+vector. A cosine right at the threshold links. Vectors may be long: the sample is bounded in bytes, and
+entries go in batches of bounded size. Empty tables give empty results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ from tarnflow.llm.ngram_join import _spread
 
 COSINE = 0.95
 SAMPLE = 20_000
+#: Bytes of a sample of long vectors, of which fewer are taken.
+SAMPLE_BYTES = 1 << 26
 #: Share of pairs right at the threshold that the tables may miss; closer pairs are missed less.
 MISS = 0.003
 BUCKET = 32
@@ -265,7 +268,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         if count <= FEW:
             continue
         own = distinct.where(F.length("raw") == d)
-        picked = bounded_sample(own, sample, "h1", "h2").select("raw").toPandas()
+        most = max(1, min(sample, SAMPLE_BYTES // d))
+        picked = bounded_sample(own, most, "h1", "h2").select("raw").toPandas()
         codes = fitted_codes(_unit([bytes(x) for x in picked["raw"]], d // 8), count, cosine, miss)
         entered = entered.unionByName(
             own.select("id", "n", "raw").mapInArrow(

@@ -9,15 +9,16 @@ with the logistic loss, so that its output estimates the chance of label 1. The
 estimated from the labelled documents that may be learned from: the share of label 1, each count
 plus one half. Labelled negatives serve for nothing else.
 
-Measures come from the whole text and nothing else; they are taken once, in the tasks, for every
-document, and kept in a narrow table. At most ``SAMPLE`` positives and ``SAMPLE`` unlabelled rows, those
-first by hash of the id, are fitted on the driver (25 numbers each); everything else is scored
-where it lies.
+Measures come from the whole text and nothing else, however long it is, and are taken in the tasks. At
+most ``SAMPLE`` positives and ``SAMPLE`` unlabelled documents, those first by hash of the id, are chosen by their
+ids, measured, and fitted on the driver (25 numbers each); then every text is measured and scored
+in one pass, where it lies.
 
 Null and empty texts have measures of zero and are scored like any other text. An id that repeats
 in the labels counts as positive if all its labels are 1. Without positives or without unlabelled
 rows the score is the prior for every text. Ties, repeated rows and null ids need no care: each row
-is scored by its text alone. An empty table gives an empty result.
+is scored by its text alone. An empty table gives an empty result. Extra columns, whatever their names, travel
+along where rows are kept and are not looked at.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnflow.llm.common import bounded_sample, slices, stage
+from tarnflow.llm.common import bounded_sample, slices
 from tarnflow.llm.text_arrays import column_bytes, shingles, words
 
 SAMPLE = 20_000
@@ -115,7 +116,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = pa.ListArray.from_arrays(
             pa.array(np.arange(len(part) + 1, dtype=np.int32) * MEASURES), pa.array(x.ravel())
         )
-        yield pa.record_batch([part.column("row"), cells], ["row", "x"])
+        yield pa.record_batch([part.column("id"), cells], ["id", "x"])
 
 
 @dataclass
@@ -136,7 +137,7 @@ class Model:
 
 
 def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: int = 24,
-           steps: int = 1500, seed: int = 0) -> Model:
+           steps: int = 6000, seed: int = 0) -> Model:
     """Minimise the non-negative unbiased risk by Adam on mini-batches."""
     pool = np.vstack([positive, unlabelled]).astype(float)
     if not len(pool):
@@ -172,21 +173,25 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, hidden: i
     return Model(mean, scale, p[0], p[1], p[2], float(p[3]), prior)
 
 
-def _sample(rows: DataFrame, most: int) -> np.ndarray:
-    """The first ``most`` rows by hash of the id: a bounded sample that does not change."""
-    picked = bounded_sample(rows.select("x", "row.id"), most, "id").select("x").toPandas()
-    return np.array(picked["x"].tolist(), float).reshape(-1, MEASURES)
+def _sample(docs: DataFrame, ids: DataFrame, most: int) -> np.ndarray:
+    """Measures of the first ``most`` of ``ids`` by hash: a bounded sample that does not change.
 
-
-def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(row.id, x)``: the measures of every row, in a narrow table on shared storage."""
-    rows = docs.select(F.struct(F.col(id_col).alias("id")).alias("row"), F.col(text_col).alias("text"))
-    kind = rows.schema["row"].dataType.simpleString()
-    return stage(rows.mapInArrow(_measure, f"row {kind}, x array<float>"), "measures")
+    The ids are chosen before a text is looked at; of rows that share an id one counts.
+    """
+    chosen = bounded_sample(ids.distinct(), most, "id")
+    order = [row[0] for row in chosen.collect()]
+    few = docs.sparkSession.createDataFrame([(i,) for i in order], ids.schema)
+    found = (
+        docs.join(F.broadcast(few), "id", "left_semi")  # at most ``most`` ids
+        .mapInArrow(_measure, f"id {ids.schema['id'].dataType.simpleString()}, x array<float>")
+        .groupBy("id").agg(F.min("x").alias("x")).toPandas()
+    )
+    by_id = dict(zip(found["id"], found["x"]))
+    return np.array([by_id[i] for i in order], float).reshape(-1, MEASURES)
 
 
-def learn(taken: DataFrame, labels: DataFrame, may_learn: Column | None = None, id_col: str = "doc_id",
-          label_col: str = "quality", sample: int = SAMPLE) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None, id_col: str = "doc_id",
+          text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Model:
     """The classifier. ``may_learn`` is a condition on the id: labels of other ids are not looked
     at, and unlabelled text does not come from them either."""
     allowed = F.lit(True) if may_learn is None else may_learn
@@ -196,36 +201,41 @@ def learn(taken: DataFrame, labels: DataFrame, may_learn: Column | None = None,
     )
     counts = known.groupBy().agg(F.count_if(F.col("label") == 1).alias("p"), F.count("*").alias("n")).first()
     prior = (counts["p"] + 0.5) / (counts["n"] + 1)
-    rows = taken.withColumn(id_col, F.col("row.id")).where(allowed & F.col(id_col).isNotNull()).drop(id_col)
-    trusted = rows.join(known.where("label = 1"), F.col("row.id") == F.col("label_id"), "left_semi")
+    texts = docs.where(allowed & F.col(id_col).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text")
+    )
+    ids = texts.select("id")
+    trusted = ids.join(known.where("label = 1"), F.col("id") == F.col("label_id"), "left_semi")
     labelled = labels.select(F.col(id_col).alias("any_id")).where("any_id IS NOT NULL").distinct()
-    unlabelled = rows.join(labelled, F.col("row.id") == F.col("any_id"), "left_anti")
-    return fit_pu(_sample(trusted, sample), _sample(unlabelled, sample), min(max(prior, 0.01), 0.99))
+    unlabelled = ids.join(labelled, F.col("id") == F.col("any_id"), "left_anti")
+    return fit_pu(
+        _sample(texts, trusted, sample), _sample(texts, unlabelled, sample), min(max(prior, 0.01), 0.99)
+    )
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None,
                    id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
                    sample: int = SAMPLE) -> DataFrame:
-    """Id and ``score`` (0 to 1) of every row."""
-    taken = measured(docs, id_col, text_col)
-    model = learn(taken, labels, may_learn, id_col, label_col, sample)
+    """Id and ``score`` (0 to 1) of every row. Texts of the sample are measured to learn, all to score."""
+    model = learn(docs, labels, may_learn, id_col, text_col, label_col, sample)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, MEASURES)
-            yield pa.record_batch([batch.column("row"), pa.array(model.score(x.astype(float)))], ["row", "score"])
+        for part in slices(batches, "text"):
+            x = measures(part.column("text")).astype(np.float32)
+            yield pa.record_batch([part.column("row"), pa.array(model.score(x.astype(float)))], ["row", "score"])
 
-    kind = taken.schema["row"].dataType.simpleString()
-    return taken.mapInArrow(score, f"row {kind}, score double").select(F.col("row.id").alias(id_col), "score")
+    rows = docs.select(F.struct(F.col(id_col).alias("id")).alias("row"), F.col(text_col).alias("text"))
+    kind = rows.schema["row"].dataType.simpleString()
+    return rows.mapInArrow(score, f"row {kind}, score double").select(F.col("row.id").alias(id_col), "score")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
               id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """The rows of ``docs``, with all their columns, that score ``threshold`` or more.
 
-    Texts are measured once to learn and once to decide, so that no text is joined or moved.
+    Every text is measured once, where it is read, so that no text is joined or moved.
     """
-    model = learn(measured(docs, id_col, text_col), labels, None, id_col, label_col)
+    model = learn(docs, labels, None, id_col, text_col, label_col)
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, text_col):

@@ -264,6 +264,25 @@ def test_vectors_of_several_lengths(spark, monkeypatch):
     assert all(r.kept == (r.component_id == i) for i, r in got.items())
 
 
+def test_links_of_a_table_by_codes(spark):
+    """Planted pairs at cosine 0.95 to 0.97 among strangers, end to end against brute force."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(2500, 64)) + 0.8
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    step = rng.normal(size=(1000, 64))
+    step -= (step * x[:1000]).sum(axis=1, keepdims=True) * x[:1000]
+    step /= np.linalg.norm(step, axis=1, keepdims=True)
+    c = rng.uniform(0.9501, 0.97, (1000, 1))
+    rows = np.vstack([x, c * x[:1000] + np.sqrt(1 - c**2) * step])
+    assert len(rows) > embedding_dedup.FEW
+    near = (rows @ rows.T >= 0.95) & ~np.eye(len(rows), dtype=bool)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df.repartition(4)).collect()}
+    want = near.sum(axis=1)
+    assert want.sum() >= 2000 and all(got[i] <= want[i] for i in got)
+    assert sum(got.values()) >= 0.99 * want.sum()
+
+
 def test_bounded_samples_and_lists(spark):
     from tarnflow.llm.common import bounded_sample
 
