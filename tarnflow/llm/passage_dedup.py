@@ -328,7 +328,7 @@ class _Windows:
         self.kept[order] = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
 
 
-FIRSTS = "seed long, parts int, window long, id long, h long, place int"
+FIRSTS = "key long, seed long, window long, id long, h long, place int"
 
 
 def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,7 +339,7 @@ def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.array(w.row[f])
         yield pa.record_batch(
             [
-                *(table.column(c).combine_chunks().take(rows) for c in ("seed", "parts")), pa.array(w.window[f]),
+                *(table.column(c).combine_chunks().take(rows) for c in ("key", "seed")), pa.array(w.window[f]),
                 pa.array(w.ids[f]), pa.array(w.h[f]), pa.array(w.at[f].astype(np.int32)),
             ],
             [c.split()[0] for c in FIRSTS.split(", ")],
@@ -501,20 +501,20 @@ def _repeats(found: DataFrame) -> DataFrame:
     """Spans of windows that an earlier place holds too.
 
     The occurrences of a seed are dealt into its parts. Of a seed with several, each part gives the first
-    place of each window; the first of those that several give joins every part, where it comes first again.
+    place of each window; the first of those that several give joins the others, where it comes first again.
     """
     columns = ["key", "id", "h", "at", "windows", "starts", "ends"]
     dealt = found.where("items IS NULL").withColumn("seed", F.col("key")).withColumn(
         "key", F.xxhash64("seed", F.pmod(F.xxhash64(*ME), F.col("parts").cast("long")))
     )
-    firsts = _by_key(dealt.where("parts > 1").select(*columns, "seed", "parts")).mapInArrow(_firsts, FIRSTS)
-    kept = firsts.groupBy("seed", "parts", "window").agg(
-        F.min(F.struct("id", "h", "place")).alias("kept"), F.count("*").alias("n")
-    ).where("n > 1")  # what only one part holds is settled there
-    kept = kept.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)))
+    several = _by_key(dealt.where("parts > 1").select(*columns, "seed"))
+    firsts = stage(several.mapInArrow(_firsts, FIRSTS), "firsts")
+    place = F.struct("id", "h", "place")
+    kept = firsts.groupBy("seed", "window").agg(F.min(place).alias("kept"), F.count("*").alias("n"))
+    kept = stage(kept.where("n > 1"), "kept")  # what only one part holds is settled there
     none = F.array(F.lit(0))
-    known = kept.select(
-        F.xxhash64("seed", "part").alias("key"), "kept.id", "kept.h", F.col("kept.place").alias("at"),
+    known = firsts.join(kept, ["seed", "window"]).where(place != F.col("kept")).select(
+        "key", "kept.id", "kept.h", F.col("kept.place").alias("at"),
         F.array("window").alias("windows"), none.alias("starts"), none.alias("ends"),
     )
     return _by_key(dealt.select(*columns).unionByName(known)).mapInArrow(_later, SPANS)
