@@ -207,8 +207,9 @@ def test_merge_into_table_needs_a_table_with_row_level_operations(spark):
         merge_into_table(spark, frame(spark, TARGET).withColumn("extra", F.lit(1)), "lake.plain")
 
 
-def test_key_lookup_filters_before_it_shuffles(spark, folder):
+def test_key_lookup_filters_before_it_shuffles(spark, folder, monkeypatch):
     """For a target too big for a broadcast: narrow read, bounds pushed down, Bloom filter first."""
+    monkeypatch.setattr(module, "KEYS_AT_ONCE", 100)  # more keys than an IN predicate takes
     rows = spark.range(5000).select(
         F.format_string("k%05d", "id").alias("event_id"), F.lit(D[1]).alias("event_date"), F.lit("v").alias("v")
     )
