@@ -6,8 +6,9 @@
    ``FAN`` trees at a time, until one tree is left. So a host of any number of pages is merged by
    many tasks, and copies of a tree are merged once.
 3. Every distinct tree is aligned with its host's template, and what stands at each node of it is counted
-   over all pages: the share of the most frequent text. Pages that agree in their main block and in the
-   node's text count once, so that copies of an article don't look like a template.
+   over all pages: the share of the most frequent text. Pages that agree in the node's text and in all
+   other texts (links and what is no content by its element aside) count once, so that copies of an
+   article don't look like a template.
 4. A leaf whose text is the same on ``CONSTANT`` percent of the pages (at least ``LEAST_PAGES``) is
    template. The other leaves are slots, and a slot is content unless what it stands in says otherwise: menus,
    headers, footers, sidebars, notices, adverts, forms, comments, by element, class, id or role. Where a
@@ -45,8 +46,8 @@ FAN = 256
 HOST = re.compile("^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)")
 
 PARSED = (
-    "page_id long, url string, host string, shape long, tree string, main long,"
-    " leaves array<struct<leaf:int,hash:long>>, blocks array<struct<leaf:int,text:string>>"
+    "page_id long, url string, host string, shape long, tree string,"
+    " leaves array<struct<leaf:int,hash:long,others:long>>, blocks array<struct<leaf:int,text:string>>"
 )
 
 
@@ -59,23 +60,30 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def parse_page(page: str) -> tuple[str, int, dict[int, int], list[tuple[int, str]]]:
-    """A page's tree as JSON, the hash of its main block, what stands at each leaf, and its blocks."""
+def parse_page(page: str) -> tuple[str, list[tuple[int, int, int]], list[tuple[int, str]]]:
+    """A page's tree as JSON, what stands at each leaf and at all others, and its blocks.
+
+    Texts are known by a hash, and the others of a leaf by the sum of theirs.
+    """
     tree, texts = folded(page_tree(page))
     texts.sort(key=lambda t: t[1])
-    above = labels_above(tree)
-    main, together = "", {}
+    above, together = labels_above(tree), {}
     for leaf, _, text in texts:
         together.setdefault(leaf, []).append(text)
-        if len(text) > len(main) and not any(kind(name) == "never" for name in above[leaf]):
-            main = text
+    hashes = {leaf: _hash("\n".join(parts)) for leaf, parts in together.items()}
+    counted = {
+        leaf: hashed for leaf, hashed in hashes.items()
+        if above[leaf][-1] == "#" and not any(kind(name) == "never" for name in above[leaf])
+    }
+    total = sum(counted.values())
+    others = {leaf: (total - counted.get(leaf, 0) + (1 << 63)) % (1 << 64) - (1 << 63) for leaf in hashes}
     encoded = json.dumps(tree, ensure_ascii=False, separators=(",", ":"))
-    return encoded, _hash(main), {k: _hash("\n".join(v)) for k, v in together.items()}, [(k, t) for k, _, t in texts]
+    return encoded, [(k, v, others[k]) for k, v in hashes.items()], [(k, t) for k, _, t in texts]
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [name.split()[0] for name in re.split(",(?= )", PARSED)]
-    leaf_type = pa.list_(pa.struct([("leaf", pa.int32()), ("hash", pa.int64())]))
+    leaf_type = pa.list_(pa.struct([("leaf", pa.int32()), ("hash", pa.int64()), ("others", pa.int64())]))
     block_type = pa.list_(pa.struct([("leaf", pa.int32()), ("text", pa.string())]))
     for part in slices(batches, "html", 1 << 22):
         pages = part.column("html")
@@ -85,9 +93,9 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 part.column("page_id"), part.column("url"),
                 pa.array([host_of(u) for u in part.column("url").to_pylist()], pa.string()),
                 pa.array([_hash(t[0]) for t in out], pa.int64()),
-                pa.array([t[0] for t in out], pa.string()), pa.array([t[1] for t in out], pa.int64()),
-                pa.array([[{"leaf": k, "hash": v} for k, v in t[2].items()] for t in out], leaf_type),
-                pa.array([[{"leaf": k, "text": x} for k, x in t[3]] for t in out], block_type),
+                pa.array([t[0] for t in out], pa.string()),
+                pa.array([[{"leaf": k, "hash": v, "others": o} for k, v, o in t[1]] for t in out], leaf_type),
+                pa.array([[{"leaf": k, "text": x} for k, x in t[2]] for t in out], block_type),
             ],
             names,
         )
@@ -184,9 +192,9 @@ def constant_slots(parsed: DataFrame, shapes: DataFrame) -> DataFrame:
     """``(host, constant)``: the slots of each template whose text is the same on nearly all pages."""
     stands = shapes.select("host", "shape", "slots")
     seen = (
-        parsed.select("host", "shape", "main", F.explode("leaves").alias("l"))
+        parsed.select("host", "shape", F.explode("leaves").alias("l"))
         .join(stands, ["host", "shape"])
-        .select("host", F.expr("slots[l.leaf]").alias("slot"), "main", F.col("l.hash").alias("hash")).distinct()
+        .select("host", F.expr("slots[l.leaf]").alias("slot"), "l.others", "l.hash").distinct()
     )
     # Counts of texts first: a slot's rows are combined before they meet.
     texts = seen.groupBy("host", "slot", "hash").agg(F.count("*").alias("n"))

@@ -188,7 +188,7 @@ def test_codes_of_nothing(spark):
 
 
 def text_of(page):
-    tree, _, _, blocks = page_text.parse_page(page)
+    tree, _, blocks = page_text.parse_page(page)
     tree = html_trees.as_tree(__import__("json").loads(tree))
     kept = set(page_text.content_leaves(tree, list(range(html_trees.size(tree))), set()))
     return " ".join(t for leaf, t in blocks if leaf in kept)
